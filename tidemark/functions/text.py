@@ -31,17 +31,34 @@ def words(c: Column | str) -> Column:
     return F.filter(F.split(F.lower(_col(c)), WHITESPACE), lambda w: w != "")
 
 
+# Spark's JSON functions stop after the first complete value. A text is exactly one
+# value if it parses both as the only content of an array and as that of an object.
+
+
+def _in_array(c: Column) -> Column:
+    return F.concat(F.lit("["), c, F.lit("]"))
+
+
+def _in_object(c: Column) -> Column:
+    return F.concat(F.lit('{"v":'), c, F.lit("}"))
+
+
 def strict_json(c: Column | str) -> Column:
-    """Parse text to VARIANT; NULL unless the whole text is one JSON value.
+    """Parse text to VARIANT; NULL unless the whole text is one JSON value."""
+    c = _col(c)
+    whole = F.json_object_keys(_in_object(c)).isNotNull()
+    return F.when(whole, F.try_variant_get(F.try_parse_json(_in_array(c)), "$[0]", "variant"))
+
+
+def strict_from_json(c: Column | str, kind: str) -> Column:
+    """Parse text to a declared type; NULL unless the whole text is one such value.
 
-    Spark's JSON functions stop after the first complete value. Placing the text in
-    an array and in an object makes both parses succeed only when it is one value
-    and nothing else.
+    Fields that do not fit their type are NULL, the others are kept.
     """
     c = _col(c)
-    in_array = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
-    in_object = F.json_object_keys(F.concat(F.lit('{"v":'), c, F.lit("}")))
-    return F.when(in_object.isNotNull(), F.try_variant_get(in_array, "$[0]", "variant"))
+    whole = F.json_array_length(_in_array(c)).isNotNull()
+    typed = F.from_json(_in_object(c), f"v {kind}", {"allowSingleQuotes": "false"})
+    return F.when(whole, typed["v"])
 
 
 def is_json(c: Column | str) -> Column:

@@ -4,8 +4,9 @@ Every ``parse_*`` function keeps all its input and adds ``reason``, which is NUL
 for good rows. The ``decode_*`` functions return the good rows, the ``*_rejects``
 functions the others, so accepted and rejected rows add up to the input.
 
-JSON travels as VARIANT between the steps, so an envelope is parsed once; text
-columns are accepted wherever a VARIANT is, and are parsed strictly.
+An envelope is parsed once. Its ``args`` come out as VARIANT, or in the type that the
+next step wants: ``NORMAL_ARGS`` and ``typed_args`` spare the second pass over them.
+Text is accepted wherever a parsed column is.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import is_json, json_field, strict_json
+from tidemark.functions.text import is_json, strict_from_json, strict_json
 
 # The defaults and the reject reasons of the decoders.
 DEFAULT_IP = "0.0.0.0"
@@ -36,44 +37,58 @@ DIVERT_TOPICS = ("app_open", "vip_open", "app_vip_open")
 DIVERT_RENAMES = {"app_vip_open": "vip_open"}
 DIVERT_URI = "/base"
 
+NORMAL_ARGS = "STRUCT<topic: VARIANT, data: ARRAY<VARIANT>>"
+_EVENTS = "ARRAY<STRUCT<segmentation: STRUCT<topic: VARIANT, data: VARIANT, sign: STRING>>>"
 
-def _variant(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.VariantType):
-        return F.col(name)
-    return strict_json(name)
 
+def typed_args(schema: str) -> str:
+    """The type of normal ``args`` whose elements have the given columns."""
+    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema))
+    return f"STRUCT<topic: VARIANT, data: ARRAY<STRUCT<{fields}>>>"
 
-def _field(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "variant")
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once.
 
-def _is_string(v: Column) -> Column:
-    return F.schema_of_variant(v) == "STRING"
+    Filters on an ordinary column are pushed below it with a copy of its expression;
+    for a parse that means parsing twice. They stay above a generated column.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def _string(v: Column, path: str) -> Column:
-    """The field as text if it is a JSON string, else NULL."""
-    return F.when(_is_string(_field(v, path)), F.try_variant_get(v, path, "string"))
+def _field(v: Column, path: str) -> Column:
+    return F.try_variant_get(v, path, "variant")
+
+
+def _text_of(v: Column) -> Column:
+    """The text of a VARIANT that holds a JSON string, else NULL."""
+    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
 
 
 # --- envelopes -----------------------------------------------------------------
 
 
-def parse_envelopes(df: DataFrame, value: str = "value", post_only: bool = True) -> DataFrame:
-    """DEC-1..3: one row per envelope with ``args`` as VARIANT and a ``reason``."""
+def parse_envelopes(
+    df: DataFrame, value: str = "value", post_only: bool = True, args_type: str = "VARIANT"
+) -> DataFrame:
+    """DEC-1..3: one row per envelope with its fields and a ``reason``."""
+    envelope = (
+        f"STRUCT<Method: STRING, Headers: VARIANT, Args: {args_type}, Uri: STRING, ReceiveTime: BIGINT>"
+    )
     env = F.col("_env")
-    method = _string(env, "$.Method")
-    reason = F.when(env.isNull() | ~F.schema_of_variant(env).startswith("OBJECT"), NOT_JSON)
+    reason = F.when(env.isNull(), NOT_JSON)
     if post_only:
-        reason = reason.when(F.coalesce(method, F.lit("")) != "POST", NOT_POST)
-    return df.withColumn("_env", strict_json(value)).select(
-        F.col(value).alias("raw"),
-        method.alias("method"),
-        _field(env, "$.Headers").alias("headers"),
-        json_field(env, "Headers.host", "string", DEFAULT_IP).alias("ip"),
-        _field(env, "$.Args").alias("args"),
-        json_field(env, "Uri", "string", "").alias("gateway_uri"),
-        json_field(env, "ReceiveTime", "bigint", 0).alias("receive_time"),
+        reason = reason.when(F.coalesce(env["Method"], F.lit("")) != "POST", NOT_POST)
+    host = F.try_variant_get(env["Headers"], "$.host", "string")
+    parsed = _once(df.select(F.col(value).alias("raw")), "_env", strict_from_json("raw", envelope))
+    return parsed.select(
+        "raw",
+        env["Method"].alias("method"),
+        env["Headers"].alias("headers"),
+        F.coalesce(host, F.lit(DEFAULT_IP)).alias("ip"),
+        env["Args"].alias("args"),
+        F.coalesce(env["Uri"], F.lit("")).alias("gateway_uri"),
+        F.coalesce(env["ReceiveTime"], F.lit(0)).alias("receive_time"),
         reason.alias("reason"),
     )
 
@@ -83,15 +98,16 @@ def decode_envelopes(
     value: str = "value",
     keep_headers: bool = False,
     post_only: bool = True,
-    args_as_text: bool = False,
+    args_type: str = "VARIANT",
+    as_text: bool = False,
 ) -> DataFrame:
     """DEC-1..3: the good envelopes.
 
-    ``args_as_text`` gives ``args`` (and ``headers``) as JSON text, the form a sink
-    wants; leave it off when another decoder follows.
+    ``as_text`` gives ``args`` and ``headers`` as JSON text, the form a sink wants;
+    leave it off when another decoder follows.
     """
-    good = parse_envelopes(df, value, post_only).filter(F.col("reason").isNull())
-    if args_as_text:
+    good = parse_envelopes(df, value, post_only, args_type).filter(F.col("reason").isNull())
+    if as_text:
         good = good.withColumns(
             {
                 "args": F.coalesce(F.to_json("args"), F.lit("null")),
@@ -127,60 +143,50 @@ def chunks(data: Column | str, size: int = PIECE) -> Column:
     return F.transform(starts, lambda i: F.slice(data, i, size))
 
 
+def _parsed(df: DataFrame, name: str, kind: str) -> tuple[DataFrame, str]:
+    """The column as a parsed value: itself, or a new one when it holds JSON text."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return _once(df, "_args", strict_from_json(name, kind)), "_args"
+    return df, name
+
+
 def parse_normal(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:
-    """DEC-4: add ``topic``, ``data`` (array of VARIANT) and ``reason``."""
-    a = F.col("_args")
-    return (
-        df.withColumn("_args", _variant(df, args))
-        .withColumns(
-            {
-                "topic": _string(a, "$.topic"),
-                "data": F.try_variant_get(a, "$.data", "array<variant>"),
-            }
-        )
-        .withColumn(
-            "reason",
-            F.when(F.col("data").isNull(), NO_DATA).when(
-                ~topic_allowed("topic", topics), BAD_TOPIC
-            ),
-        )
-        .drop("_args")
-    )
+    """DEC-4: add ``topic``, ``data`` (an array) and ``reason``."""
+    rows, parsed = _parsed(df, args, NORMAL_ARGS)
+    a = F.col(parsed)
+    if isinstance(rows.schema[parsed].dataType, T.VariantType):
+        topic, data = _field(a, "$.topic"), F.try_variant_get(a, "$.data", "array<variant>")
+    else:
+        topic, data = a["topic"], a["data"]
+    out = rows.withColumns({"topic": _text_of(topic), "data": data})
+    reason = F.when(F.col("data").isNull(), NO_DATA).when(~topic_allowed("topic", topics), BAD_TOPIC)
+    return out.withColumn("reason", reason).drop("_args")
 
 
 def decode_normal(
     df: DataFrame, topics: Sequence[str], args: str = "args", size: int = PIECE
 ) -> DataFrame:
     """DEC-4 and DEC-5: ``(topic, ip, data)`` with ``data`` a JSON array of <= ``size``."""
-    return _good_normal(df, topics, args).select(
-        "topic", "ip", F.explode(chunks("data", size)).alias("_piece")
-    ).select("topic", "ip", F.to_json("_piece").alias("data"))
+    pieces = _listed(df, topics, args).select("topic", "ip", F.explode(chunks("data", size)).alias("_piece"))
+    return pieces.select("topic", "ip", F.to_json("_piece").alias("data"))
 
 
-def decode_elements(
-    df: DataFrame, topics: Sequence[str], schema: str, args: str = "args"
-) -> DataFrame:
-    """DEC-4 for jobs that want typed elements: ``(topic, ip, <schema columns>)``.
+def decode_elements(df: DataFrame, topics: Sequence[str], schema: str, value: str = "value") -> DataFrame:
+    """DEC-1, DEC-2 and DEC-4 for jobs that want typed elements.
 
-    The elements go from the array straight to columns, without the JSON text of
-    the pieces in between.
+    From raw envelopes to ``(topic, host, <schema columns>)`` in one parse, without
+    the JSON text of the pieces in between.
     """
-    return (
-        _good_normal(df, topics, args)
-        .select("topic", F.col("ip").alias("host"), F.explode("data").alias("_e"))
-        .select(
-            "topic", "host", F.try_variant_get("_e", "$", f"struct<{_struct(schema)}>").alias("_s")
-        )
-        .select("topic", "host", "_s.*")
+    requests = decode_envelopes(df, value, args_type=typed_args(schema))
+    elements = _listed(requests, topics, "args").select(
+        "topic", F.col("ip").alias("host"), F.explode("data").alias("_element")
     )
+    return elements.select("topic", "host", "_element.*")
 
 
-def _struct(schema: str) -> str:
-    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema))
-
-
-def _good_normal(df: DataFrame, topics: Sequence[str], args: str) -> DataFrame:
-    return parse_normal(df, topics, args).filter(F.col("reason").isNull())
+def _listed(df: DataFrame, topics: Sequence[str], args: str) -> DataFrame:
+    # Rows without an array need no filter: they explode to nothing.
+    return parse_normal(df, topics, args).filter(topic_allowed("topic", topics))
 
 
 def normal_rejects(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:
@@ -193,9 +199,9 @@ def normal_rejects(df: DataFrame, topics: Sequence[str], args: str = "args") ->
 
 
 def _text(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.VariantType):
-        return F.to_json(name)
-    return F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return F.col(name)
+    return F.to_json(name)
 
 
 # --- event batches -------------------------------------------------------------
@@ -207,56 +213,55 @@ def parse_event_batch(
     """DEC-6 and DEC-7: one row per event, or one per message without an event list.
 
     Adds ``topic``, ``sign``, ``data`` (text as received), ``body`` (its parsed form)
-    and ``reason``. Without ``check_data`` the text of ``data`` is not validated.
+    and ``reason``. Without ``check_data`` the text of ``data`` is not parsed.
     """
-    message = df.withColumn("_args", _variant(df, args)).withColumn(
-        "_events",
-        F.try_variant_get(strict_json(_string(F.col("_args"), "$.events")), "$", "array<variant>"),
-    )
-    no_list = F.col("_events").isNull()
+    rows, parsed = _parsed(df, args, "STRUCT<events: VARIANT>")
+    a = F.col(parsed)
+    if isinstance(rows.schema[parsed].dataType, T.VariantType):
+        events = _field(a, "$.events")
+    else:
+        events = a["events"]
+    listed = _once(rows, "_list", strict_from_json(_text_of(events), _EVENTS))
     # A message without a list keeps one row, which carries its reason.
-    events = message.withColumn("_listed", ~no_list).withColumn(
-        "_event",
-        F.explode(F.when(no_list, F.array(F.lit(None).cast("variant"))).otherwise(F.col("_events"))),
-    )
-    seg, raw = F.col("_seg"), F.col("_data")
-    out = events.withColumn("_seg", _field(F.col("_event"), "$.segmentation")).withColumns(
-        {
-            "topic": _string(seg, "$.topic"),
-            "sign": F.try_variant_get(seg, "$.sign", "string"),
-            "_data": _field(seg, "$.data"),
-        }
+    event = F.when(F.col("_list").isNull(), F.array(F.lit(None))).otherwise(F.col("_list"))
+    out = listed.select(
+        *[c for c in df.columns],
+        F.col("_list").isNotNull().alias("_listed"),
+        F.explode(event).alias("_event"),
     )
+    seg, raw = F.col("_event.segmentation"), F.col("_event.segmentation.data")
+    text = _text_of(raw)
     out = out.withColumns(
         {
-            "data": F.when(_is_string(raw), F.try_variant_get(raw, "$", "string")).otherwise(F.to_json(raw)),
-            "body": F.when(_is_string(raw), strict_json(F.try_variant_get(raw, "$", "string"))),
+            "topic": _text_of(seg["topic"]),
+            "sign": seg["sign"],
+            "data": F.coalesce(text, F.to_json(raw)),
+            # What counts as empty is "" or one of these JSON values.
+            "_empty": raw.isNull()
+            | (text == "")
+            | (text.isNull() & F.to_json(raw).isin("null", "false", "0", "[]", "{}")),
         }
     )
-    # The JSON texts that count as empty.
-    empty = F.coalesce(F.col("data"), F.lit("")).isin("", "null", "false", "0", "[]", "{}")
-    # A string that spells one of these is not empty, only the value itself is.
-    empty = empty & ~(_is_string(raw) & (F.col("data") != ""))
+    allowed = topic_allowed("topic", topics)
+    body = strict_json(F.when(allowed, text)) if check_data else F.lit(None).cast("variant")
+    out = _once(out, "body", body) if check_data else out.withColumn("body", body)
     reason = (
         F.when(~F.col("_listed"), BAD_EVENTS)
-        .when(seg.isNull() | ~F.schema_of_variant(seg).startswith("OBJECT"), NO_SEGMENTATION)
-        .when(~topic_allowed("topic", topics), BAD_TOPIC)
-        .when(F.coalesce(empty, F.lit(True)), EMPTY_DATA)
+        .when(seg.isNull(), NO_SEGMENTATION)
+        .when(~allowed, BAD_TOPIC)
+        .when(F.coalesce(F.col("_empty"), F.lit(False)), EMPTY_DATA)
     )
     if check_data:
         reason = reason.when(F.col("body").isNull(), BAD_DATA)
-    return out.withColumn("reason", reason).drop(
-        "_args", "_events", "_event", "_seg", "_data", "_listed"
-    )
+    return out.withColumn("reason", reason).drop("_event", "_listed", "_empty")
 
 
 def decode_event_batch(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:
-    """DEC-6: ``(topic, ip, data)``, one row per valid event, ``data`` as JSON text."""
-    return (
-        parse_event_batch(df, topics, args)
-        .filter(F.col("reason").isNull())
-        .select("topic", "ip", F.to_json("body").alias("data"))
-    )
+    """DEC-6: ``(topic, ip, data)``, one row per valid event.
+
+    ``data`` is the JSON text as received, now known to be valid.
+    """
+    return parse_event_batch(df, topics, args).filter(F.col("reason").isNull()).select("topic", "ip", "data")
 
 
 def event_batch_rejects(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:

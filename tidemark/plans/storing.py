@@ -150,7 +150,13 @@ def deliver_with_retry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stamped_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return stamp(cs.traffic(spark, sf).select("event_id"))
+    stamped = stamp(cs.traffic(spark, sf).select("event_id"))
+    return stamped.select(
+        "event_id",
+        F.length("id").alias("id_length"),
+        (F.col("add_date") == F.to_date("add_time")).cast("int").alias("same_day"),
+        (F.col("update_time") == F.col("add_time")).cast("int").alias("same_time"),
+    )
 
 
 _DETAILS = f"""with {TRAFFIC}, details as (
@@ -174,7 +180,8 @@ with {TRAFFIC} select left(req_date, 8) || '01' as month, plat, count(*) as n, c
 from traffic group by all"""),
     Plan("stamped_sink", "SNK-3 SNK-5 F-18", stamped_sink, f"""
 with {TRAFFIC} select event_id, req_time, website, visit_id, 1 as stamped from traffic"""),
-    Plan("stamped_columns", "F-18", stamped_columns),
+    Plan("stamped_columns", "F-18", stamped_columns, """
+select event_id, 36 as id_length, 1 as same_day, 1 as same_time from events"""),
     Plan("stat_table", "AG-5 (stored)", stat_table, f"""
 with {TRAFFIC}
 select plat, agent_type, website, cast(count(*) as integer) as pv_count,

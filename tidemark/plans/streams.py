@@ -83,7 +83,7 @@ def stream_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "facts")
 
     def operator(df: DataFrame) -> DataFrame:
-        return decode.decode_elements(decode.decode_envelopes(df), cs.TOPICS, cs.ELEMENT)
+        return decode.decode_elements(df, cs.TOPICS, cs.ELEMENT)
 
     messages = cs.request_envelopes(cs.traffic(spark, sf)).withColumn(
         "at", F.get_json_object("value", "$.ReceiveTime").cast("bigint")

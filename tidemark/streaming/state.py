@@ -13,13 +13,14 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.nulls import NOT_SET
 from tidemark.functions.times import slot_start
 from tidemark.operators.dwell import VISIT_KEYS
 
-# Fixed value: how long the state of a dwell slot is kept, in seconds.
+# The length of a dwell slot and how long its state is kept, in seconds.
+SLOT = 1800
 DWELL_TTL = 3600
 
 
@@ -69,7 +70,6 @@ class ViewLog:
 
     def __init__(self, views: dict[tuple[int, str], list[int]]):
         self.views = views
-        self.changed: set[tuple[int, str]] = set()
         self.signs: dict[str, list[int]] = {}
         for sign, page in sorted(views):
             self.signs.setdefault(page, []).append(sign)
@@ -99,7 +99,6 @@ class ViewLog:
             signs.insert(bisect_left(signs, t), t)
         self.opened += 1
         self.views[key] = [t, t, self.opened]
-        self.changed.add(key)
         if self.latest is None or t >= self.latest[0]:
             self.latest = key
 
@@ -115,77 +114,74 @@ class ViewLog:
         if grown <= 0:
             return None
         view[0], view[1] = min(view[0], t), max(view[1], t)
-        self.changed.add(key)
         return key[1], key[0], grown
 
 
-class DwellProcessor(StatefulProcessor):
-    """Increments of one visit and slot, in order of arrival."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.stored = handle.getMapState(
-            "views", "sign long, website string", "start long, end long, opened long"
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = {(k[0], k[1]): list(v) for k, v in self.stored.iterator()}
-        if not known:
-            # The state goes an hour after the slot's end, on the event-time clock.
-            expiry = (key[-1] + 1800 + DWELL_TTL) * 1000
-            self.handle.registerTimer(max(expiry, timerValues.getCurrentWatermarkInMs() + 1))
-        log = ViewLog(known)
-        events = pd.concat(rows).sort_values(["req_time", "event_id"], kind="stable")
-        out = []
-        for event_id, channel, page, t in zip(
-            events["event_id"], events["channel"], events["website"], events["req_time"]
-        ):
-            grown = log.add(page, int(t))
-            if grown:
-                out.append((event_id, *key, channel or NOT_SET, *grown))
-        for view in log.changed:
-            self.stored.updateValue(view, tuple(log.views[view]))
-        yield pd.DataFrame(out, columns=_DWELL_COLUMNS)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.stored.clear()
-        yield pd.DataFrame([], columns=_DWELL_COLUMNS)
-
-    def close(self) -> None:
-        pass
-
-
 _DWELL = (
     "event_id BIGINT, plat INT, agent_type INT, visit_id STRING, slot BIGINT, channel STRING, "
     "website STRING, sign BIGINT, view_time BIGINT"
 )
 _DWELL_COLUMNS = [c.split()[0] for c in _DWELL.split(", ")]
+_EVENT_COLUMNS = [*VISIT_KEYS, "slot", "req_time", "event_id", "website", "channel"]
+_VIEWS = (
+    "plat ARRAY<INT>, agent_type ARRAY<INT>, visit_id ARRAY<STRING>, slot ARRAY<BIGINT>, "
+    "sign ARRAY<BIGINT>, page ARRAY<STRING>, start ARRAY<BIGINT>, end ARRAY<BIGINT>, opened ARRAY<BIGINT>"
+)
+
+
+def _dwell_bucket(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Take the new events of a bucket of visits; keep their views for the hour after the slot."""
+    watermark = state.getCurrentWatermarkMs() // 1000
+    visits: dict[tuple, dict[tuple[int, str], list[int]]] = {}
+    for *visit, sign, page, start, end, opened in zip(*state.get) if state.exists else ():
+        if visit[3] + SLOT + DWELL_TTL > watermark:
+            visits.setdefault(tuple(visit), {})[sign, page] = [start, end, opened]
+    out = []
+    if not state.hasTimedOut:
+        events = [row for batch in batches for row in zip(*(batch[c].tolist() for c in _EVENT_COLUMNS))]
+        logs: dict[tuple, ViewLog] = {}
+        for *key, t, event_id, page, channel in sorted(events, key=lambda e: e[4:6]):
+            visit = tuple(key)
+            if visit not in logs:
+                logs[visit] = ViewLog(visits.setdefault(visit, {}))
+            grown = logs[visit].add(page, t)
+            if grown:
+                out.append((event_id, *visit, channel or NOT_SET, *grown))
+    rows = [(*visit, *view, *times) for visit, views in visits.items() for view, times in views.items()]
+    if rows:
+        state.update(tuple(list(column) for column in zip(*rows)))
+        last = max(visit[3] for visit in visits) + SLOT + DWELL_TTL
+        state.setTimeoutTimestamp(max(last, watermark + 1) * 1000)
+    else:
+        state.remove()
+    if out:
+        yield pd.DataFrame(out, columns=_DWELL_COLUMNS)
 
 
-def dwell_stream(df: DataFrame, delay: str = "1 hour") -> DataFrame:
+def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int = 256) -> DataFrame:
     """DW-9: dwell increments of a stream, each emitted as soon as it is known.
 
     Equals ``dwell_rows`` when a visit's events arrive in time order; a late event
     extends the nearest view of its page, or opens one.
+
+    State is kept per bucket of visits, since calling Python once per visit costs far
+    more than the work itself. Give a large cluster more buckets than tasks; a
+    checkpoint belongs to one number of buckets.
     """
-    keys = [*VISIT_KEYS, "slot"]
+    visit = [*VISIT_KEYS, "slot"]
     events = df.select(
         *VISIT_KEYS,
-        slot_start("req_time").alias("slot"),
+        slot_start("req_time", SLOT).alias("slot"),
         F.timestamp_seconds("req_time").alias("ts"),
         "event_id",
         "channel",
         "website",
         "req_time",
     )
-    merged = merge_repeats(events, [*keys, "req_time", "website"], "event_id", ends=True)
+    merged = merge_repeats(events, [*visit, "req_time", "website"], "event_id", ends=True)
     return (
-        merged.withWatermark("ts", delay)
-        .groupBy(*keys)
-        .transformWithStateInPandas(
-            statefulProcessor=DwellProcessor(),
-            outputStructType=_DWELL,
-            outputMode="append",
-            timeMode="EventTime",
-        )
+        merged.withColumn("bucket", F.pmod(F.xxhash64(*visit), F.lit(buckets)))
+        .withWatermark("ts", delay)
+        .groupBy("bucket")
+        .applyInPandasWithState(_dwell_bucket, _DWELL, _VIEWS, "append", GroupStateTimeout.EventTimeTimeout)
     )
