@@ -6,9 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that counts as white space between words.
-WHITESPACE = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
-)
+WHITESPACE = r"[\p{Z}\t-\r\x1C-\x1F\x85]+"
 
 # Schemes whose last path segment may carry ``;params``.
 SCHEMES_WITH_PARAMS = [
@@ -27,8 +25,8 @@ def _col(c: Column | str) -> Column:
 
 
 def words(c: Column | str) -> Column:
-    """AG-1: lower-cased words split at white space, without empty ones."""
-    return F.filter(F.split(F.lower(_col(c)), WHITESPACE), lambda w: w != "")
+    """AG-1: lower-cased words split at white space; the first or last may be empty."""
+    return F.split(F.lower(_col(c)), WHITESPACE)
 
 
 # Spark's JSON functions stop after the first complete value. A text is exactly one

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +16,8 @@ TRAFFIC_KEYS = ("plat", "agent_type", "website")
 
 def tokenize(df: DataFrame, value: str = "value") -> DataFrame:
     """AG-1: ``(n, word)`` with n = 1, one row per word."""
-    return df.select(F.lit(1).cast("bigint").alias("n"), F.explode(words(value)).alias("word"))
+    split = df.select(F.lit(1).cast("bigint").alias("n"), F.explode(words(value)).alias("word"))
+    return split.filter(F.col("word") != "")
 
 
 def keyed_reduce(df: DataFrame, keys: Sequence[str | Column], *aggregates: Column) -> DataFrame:
@@ -24,7 +27,7 @@ def keyed_reduce(df: DataFrame, keys: Sequence[str | Column], *aggregates: Colum
 
 def word_count(df: DataFrame, value: str = "value") -> DataFrame:
     """AG-3: final ``(n, word)`` per word."""
-    return keyed_reduce(tokenize(df, value), ["word"], F.sum("n").alias("n")).select("n", "word")
+    return keyed_reduce(tokenize(df, value), ["word"], F.count("*").alias("n")).select("n", "word")
 
 
 def running_sum(
@@ -59,10 +62,14 @@ def running_sum(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     numbered = rows.withColumn("_inside", F.sum("_value").over(inside))
-    return (
-        numbered.join(carried, [*keys, "_block"])
-        .withColumn(name, F.col("_carry") + F.col("_inside"))
-        .drop("_block", "_value", "_inside", "_carry")
+    # Null-safe, since NULL is a key like any other here.
+    at = [*keys, "_block"]
+    carried = carried.select("_carry", *[F.col(c).alias(f"_c{i}") for i, c in enumerate(at)])
+    same = reduce(
+        operator.and_, [numbered[c].eqNullSafe(carried[f"_c{i}"]) for i, c in enumerate(at)]
+    )
+    return numbered.join(carried, same).select(
+        *df.columns, (F.col("_carry") + F.col("_inside")).alias(name)
     )
 
 
@@ -75,13 +82,11 @@ def with_request_date(df: DataFrame, req_time: str = "req_time") -> DataFrame:
 def traffic_by_hour(df: DataFrame, keys: Sequence[str] = TRAFFIC_KEYS) -> DataFrame:
     """AG-5: exact page views, visitors and addresses per key, date and hour.
 
-    Repeated ``(visit, ip)`` pairs are merged before the distinct counts, so a busy
-    visitor or hour shrinks on the map side.
+    Distinct ids are merged before the shuffle and spread over it by id, so a busy
+    hour or visitor does not end up in one task.
     """
-    grain = [*keys, "req_date", "req_hour"]
-    seen = df.groupBy(*grain, "visit_id", "ip").agg(F.count("*").alias("_pv"))
-    return seen.groupBy(*grain).agg(
-        F.sum("_pv").alias("pv_count"),
+    return df.groupBy(*keys, "req_date", "req_hour").agg(
+        F.count("*").alias("pv_count"),
         F.count_distinct("visit_id").alias("uv_count"),
         F.count_distinct("ip").alias("ip_count"),
     )

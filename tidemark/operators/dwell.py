@@ -4,15 +4,17 @@ A visit's state lives for one half-hour slot. Each event that comes later than t
 one before it credits the time between them to the page that was open, under the
 ``sign`` of that page's view: the time at which the view was opened.
 
-Only two rows of a second can matter: the first one emits the increment, the last
-one decides which page is open afterwards. So the events of a second are merged
-first, on the map side where possible, and a slot is left with at most ``width``
-rows however many events a visit has. That bounds every window below.
+In a second only two events of a page can matter: its first may trigger the increment,
+its last may decide which page is open afterwards. The others are merged away, on the
+map side where possible, so what is left of a visit in a slot is bounded by the seconds
+of the slot and the pages of the site, however many events the visit has.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,38 +30,34 @@ def with_slot(df: DataFrame, width: int = 1800, req_time: str = "req_time") -> D
     return df.withColumn("slot", slot_start(req_time, width))
 
 
-def _seconds(df: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
-    """One row per visit, slot and second."""
-    first, last = F.min_by, F.max_by
-    return (
+def _ends_of_seconds(df: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
+    """The first and last event of each visit, second and page (and channel)."""
+    merged = (
         with_slot(df, width)
-        .groupBy(*keys, "slot", "req_time")
-        .agg(
-            F.min("event_id").alias("event_id"),
-            first("channel", "event_id").alias("channel"),
-            first("website", "event_id").alias("first_page"),
-            last("website", "event_id").alias("last_page"),
-            (F.min("website") != F.max("website")).alias("moved"),
-        )
+        .groupBy(*keys, "slot", "req_time", "website", "channel")
+        .agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
     )
+    ends = F.when(F.col("first_id") == F.col("last_id"), F.array("first_id")).otherwise(
+        F.array("first_id", "last_id")
+    )
+    return merged.withColumn("event_id", F.explode(ends)).drop("first_id", "last_id")
 
 
 def _with_views(df: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
-    """Add to each second the page, sign and time that were current before it."""
-    visit = Window.partitionBy(*keys, "slot").orderBy("req_time")
-    so_far = visit.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.lag("last_page").over(visit)
-    opened = before.isNull() | (before != F.col("first_page")) | F.col("moved")
+    """Add to each event the page, sign and time that were current before it."""
+    visit = Window.partitionBy(*keys, "slot").orderBy("req_time", "event_id")
+    earlier = visit.rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.col("time_before").isNull() | ~F.col("page_before").eqNullSafe(F.col("website"))
     return (
-        _seconds(df, width, keys)
+        _ends_of_seconds(df, width, keys)
         .withColumns(
             {
-                "page_before": before,
+                "page_before": F.lag("website").over(visit),
                 "time_before": F.lag("req_time").over(visit),
-                "sign": F.max(F.when(opened, F.col("req_time"))).over(so_far),
             }
         )
-        .withColumn("sign_before", F.lag("sign").over(visit))
+        .withColumn("opened", F.when(opened, F.col("req_time")))
+        .withColumn("sign_before", F.max("opened").over(earlier))
     )
 
 
@@ -73,7 +71,7 @@ def dwell_rows(
     """
     return (
         _with_views(df, width, keys)
-        .filter(F.col("time_before").isNotNull())
+        .filter(F.col("req_time") > F.col("time_before"))
         .select(
             "event_id",
             *keys,
@@ -140,10 +138,15 @@ def nearest_view(
     later = F.first(known, ignorenulls=True).over(
         line.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
-    nearest = seconds.withColumns({"_earlier": earlier, "_later": later}).select(
-        *at, _closest(here, F.col("_earlier"), F.col("_later")).alias("nearest")
+    found = seconds.withColumns({"_earlier": earlier, "_later": later}).select(
+        *[F.col(c).alias(f"_{c}") for c in at],
+        _closest(here, F.col("_earlier"), F.col("_later")).alias("nearest"),
+    )
+    # Null-safe, since visits and pages without a name are grouped like any other.
+    same = reduce(operator.and_, [probes[c].eqNullSafe(found[f"_{c}"]) for c in at])
+    return probes.join(found.filter(F.col("nearest").isNotNull()), same, "left").select(
+        *probes.columns, "nearest"
     )
-    return probes.join(nearest, at, "left")
 
 
 def _closest(here: Column, earlier: Column, later: Column) -> Column:

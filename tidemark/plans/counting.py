@@ -38,7 +38,7 @@ def running_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def running_word_count(spark: SparkSession, sf: str) -> DataFrame:
     tokens = table(spark, sf, "documents").select(
-        "doc_id", F.posexplode(words("text")).alias("pos", "word")
+        "doc_id", F.posexplode(F.array_remove(words("text"), "")).alias("pos", "word")
     )
     counted = aggregate.running_sum(
         tokens, ["word"], ["doc_id", "pos"], block=F.floor(F.col("doc_id") / DOC_BLOCK)
@@ -75,7 +75,7 @@ def pair_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # The characters that separate words, in the checking engine's syntax.
-SPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+SPACE = r"[\p{Z}\t-\r\x1C-\x1F\x{85}]+"
 
 
 def _count_sql(source: str) -> str:
