@@ -5,8 +5,8 @@ for good rows. The ``decode_*`` functions return the good rows, the ``*_rejects`
 functions the others, so accepted and rejected rows add up to the input.
 
 An envelope is parsed once. Its ``args`` come out as VARIANT, or in the type that the
-next step wants: ``NORMAL_ARGS`` and ``typed_args`` spare the second pass over them.
-Text is accepted wherever a parsed column is.
+next step wants, such as ``NORMAL_ARGS``, which spares the second pass over them. Text
+is accepted wherever a parsed column is.
 """
 
 from __future__ import annotations
@@ -38,13 +38,11 @@ DIVERT_RENAMES = {"app_vip_open": "vip_open"}
 DIVERT_URI = "/base"
 
 NORMAL_ARGS = "STRUCT<topic: VARIANT, data: ARRAY<VARIANT>>"
-_EVENTS = "ARRAY<STRUCT<segmentation: STRUCT<topic: VARIANT, data: VARIANT, sign: STRING>>>"
 
 
-def typed_args(schema: str) -> str:
-    """The type of normal ``args`` whose elements have the given columns."""
+def _struct(schema: str) -> str:
     fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema))
-    return f"STRUCT<topic: VARIANT, data: ARRAY<STRUCT<{fields}>>>"
+    return f"STRUCT<{fields}>"
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -177,10 +175,17 @@ def decode_elements(df: DataFrame, topics: Sequence[str], schema: str, value: st
     From raw envelopes to ``(topic, host, <schema columns>)`` in one parse, without
     the JSON text of the pieces in between.
     """
-    requests = decode_envelopes(df, value, args_type=typed_args(schema))
-    elements = _listed(requests, topics, "args").select(
-        "topic", F.col("ip").alias("host"), F.explode("data").alias("_element")
+    element = _struct(schema)
+    parsed = parse_envelopes(df, value, args_type=f"STRUCT<topic: VARIANT, data: ARRAY<{element}>>")
+    # One element of another kind makes a typed array NULL. Such arrays, which are rare,
+    # are taken apart element by element; the odd ones become rows of NULLs.
+    anyway = F.transform(
+        F.try_variant_get(strict_json("raw"), "$.Args.data", "array<variant>"),
+        lambda e: F.from_json(F.to_json(e), element),
     )
+    requests = parsed.filter(F.col("reason").isNull())
+    listed = _listed(requests, topics, "args").withColumn("data", F.coalesce("data", anyway))
+    elements = listed.select("topic", F.col("ip").alias("host"), F.explode("data").alias("_element"))
     return elements.select("topic", "host", "_element.*")
 
 
@@ -221,21 +226,23 @@ def parse_event_batch(
         events = _field(a, "$.events")
     else:
         events = a["events"]
-    listed = _once(rows, "_list", strict_from_json(_text_of(events), _EVENTS))
+    listed = _once(rows, "_list", strict_from_json(_text_of(events), "ARRAY<VARIANT>"))
     # A message without a list keeps one row, which carries its reason.
     event = F.when(F.col("_list").isNull(), F.array(F.lit(None))).otherwise(F.col("_list"))
     out = listed.select(
-        *[c for c in df.columns],
-        F.col("_list").isNotNull().alias("_listed"),
-        F.explode(event).alias("_event"),
+        *df.columns, F.col("_list").isNotNull().alias("_listed"), F.explode(event).alias("_event")
+    ).withColumns(
+        {"_seg": _field(F.col("_event"), "$.segmentation"), "_data": _field(F.col("_event"), "$.segmentation.data")}
     )
-    seg, raw = F.col("_event.segmentation"), F.col("_event.segmentation.data")
-    text = _text_of(raw)
+    seg, raw = F.col("_seg"), F.col("_data")
+    topic, text = _text_of(_field(seg, "$.topic")), _text_of(raw)
+    no_object = seg.isNull() | (topic.isNull() & ~F.schema_of_variant(seg).startswith("OBJECT"))
     out = out.withColumns(
         {
-            "topic": _text_of(seg["topic"]),
-            "sign": seg["sign"],
+            "topic": topic,
+            "sign": F.try_variant_get(seg, "$.sign", "string"),
             "data": F.coalesce(text, F.to_json(raw)),
+            "_bare": F.coalesce(no_object, F.lit(True)),
             # What counts as empty is "" or one of these JSON values.
             "_empty": raw.isNull()
             | (text == "")
@@ -243,17 +250,17 @@ def parse_event_batch(
         }
     )
     allowed = topic_allowed("topic", topics)
-    body = strict_json(F.when(allowed, text)) if check_data else F.lit(None).cast("variant")
+    body = strict_json(F.when(allowed, _text_of(raw))) if check_data else F.lit(None).cast("variant")
     out = _once(out, "body", body) if check_data else out.withColumn("body", body)
     reason = (
         F.when(~F.col("_listed"), BAD_EVENTS)
-        .when(seg.isNull(), NO_SEGMENTATION)
+        .when(F.col("_bare"), NO_SEGMENTATION)
         .when(~allowed, BAD_TOPIC)
         .when(F.coalesce(F.col("_empty"), F.lit(False)), EMPTY_DATA)
     )
     if check_data:
         reason = reason.when(F.col("body").isNull(), BAD_DATA)
-    return out.withColumn("reason", reason).drop("_event", "_listed", "_empty")
+    return out.withColumn("reason", reason).drop("_event", "_seg", "_data", "_listed", "_bare", "_empty")
 
 
 def decode_event_batch(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:

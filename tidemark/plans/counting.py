@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import words
-from tidemark.operators import aggregate, iterate, shape
+from tidemark.operators import aggregate, custom, iterate, shape
 from tidemark.plans.base import Plan
 from tidemark.session import new_path
 from tidemark.sinks.files import write_text
@@ -74,6 +76,26 @@ def pair_results(spark: SparkSession, sf: str) -> DataFrame:
     return shape.pair_result(counted).select("pair.a", "pair.b", "n")
 
 
+def custom_reduce(spark: SparkSession, sf: str) -> DataFrame:
+    """Visits and greatest k per page type, reduced by Python code."""
+    rows = custom.map_rows(
+        table(spark, sf, "events").select("event_type", "props"),
+        lambda page, props: (page, 1, json.loads(props)["k"]),
+        "page STRING, n BIGINT, k BIGINT",
+    )
+    return custom.reduce_rows(rows, ["page"], lambda a, b: (a[0] + b[0], max(a[1], b[1])))
+
+
+def custom_flat_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of the conversations, split by Python code."""
+    rows = custom.flat_map_rows(
+        table(spark, sf, "conversations").select("text"),
+        lambda text: ((1, word) for word in text.lower().split()),
+        "n BIGINT, word STRING",
+    )
+    return aggregate.keyed_reduce(rows, ["word"], F.sum("n").alias("n"))
+
+
 # The characters that separate words, in the checking engine's syntax.
 SPACE = r"[\p{Z}\t-\r\x1C-\x1F\x{85}]+"
 
@@ -100,6 +122,10 @@ from tokens"""),
     Plan("keyed_reduce", "AG-4 UDF-3", keyed_reduce, """
 select l_returnflag, l_linestatus, count(*) as n, cast(sum(cast(l_quantity as bigint)) as bigint) as quantity,
        max(l_orderkey) as last_order from lineitem group by all"""),
+    Plan("custom_reduce", "UDF-1 UDF-3 UDF-4", custom_reduce, """
+select event_type as page, count(*) as n, max(cast(json_extract_string(props, '$.k') as bigint)) as k
+from events group by all"""),
+    Plan("custom_flat_map", "UDF-2", custom_flat_map, _count_sql("conversations")),
     Plan("iterate_pairs", "SRC-3 DEC-13 DEC-14 IT-1 IT-2 ST-6", iterate_pairs, """
 with recursive pairs as (select event_id, user_id % 49 + 1 as a, event_id % 49 + 1 as b from events),
 steps as (

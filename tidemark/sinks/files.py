@@ -45,7 +45,8 @@ def write_fact_table(
     """
     laid_out = df.withColumn("add_month", F.trunc("add_date", "month"))
     if cluster:
-        laid_out = laid_out.repartitionByRange("add_month", *order)
+        # The hash splits rows that share all the sort columns.
+        laid_out = laid_out.repartitionByRange("add_month", *order, F.xxhash64(*df.columns))
     writer = laid_out.sortWithinPartitions("add_month", *order).write.mode(mode)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
