@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.routing import split_in_two
-from tidemark.session import shared_dir
+from tidemark.session import new_path
 
 Step = Callable[[Column], dict[str, Column]]
 
@@ -26,33 +26,37 @@ def iterate(
 
     ``step`` gets the state as a struct column and returns its new fields; ``again``
     gets the struct after a step. One round runs up to ``steps_per_round`` steps of a
-    row inside a single expression, with no shuffle. The rows that need more go into
-    the next round, whose input is checkpointed on shared storage, until none is left.
+    row inside a single expression, with no shuffle. It is written to shared storage,
+    finished rows apart from the others, and the next round reads only the others.
     """
+    spark = df.sparkSession
     fields = {f: df.schema[f].dataType.simpleString() for f in state}
     kept = [c for c in df.columns if c not in fields]
 
-    def pack(values: dict[str, Column], more: Column) -> Column:
-        typed = [values[f].cast(t).alias(f) for f, t in fields.items()]
+    def packed(values: dict[str, Column], more: Column) -> Column:
+        typed = [values[f].cast(kind).alias(f) for f, kind in fields.items()]
         return F.struct(F.struct(*typed).alias("s"), more.alias("more"))
 
     def advance(acc: Column, _: Column) -> Column:
-        done = step(acc.s)
-        stepped = F.struct(*[done.get(f, acc.s[f]).cast(t).alias(f) for f, t in fields.items()])
-        return F.when(acc.more, F.struct(stepped.alias("s"), F.coalesce(again(stepped), F.lit(False)).alias("more"))).otherwise(acc)
+        old = {f: acc.s[f] for f in fields}
+        stepped = packed({**old, **step(acc.s)}, F.lit(True))
+        more = F.coalesce(again(stepped.s), F.lit(False))
+        return F.when(acc.more, F.struct(stepped.s.alias("s"), more.alias("more"))).otherwise(acc)
 
     rounds = F.sequence(F.lit(1), F.lit(steps_per_round))
-    active = df.withColumn("_it", pack({f: F.col(f) for f in fields}, F.lit(True))).select(*kept, "_it")
-    finished: list[DataFrame] = []
-    shared_dir(df.sparkSession)
+    active, finished = df, []
     for _ in range(max_rounds):
-        ran = active.withColumn("_it", F.aggregate(rounds, F.col("_it"), advance)).checkpoint()
-        more, done = split_in_two(ran, F.col("_it.more"))
-        finished.append(done)
-        if more.isEmpty():
-            out = reduce(DataFrame.unionByName, finished)
-            return out.select(*kept, "_it.s.*")
-        active = more
+        start = packed({f: F.col(f) for f in fields}, F.lit(True))
+        ran = active.select(*kept, F.aggregate(rounds, start, advance).alias("_it")).select(
+            *kept, "_it.s.*", F.col("_it.more").cast("int").alias("_more")
+        )
+        path = new_path(spark, "iterate")
+        ran.write.partitionBy("_more").parquet(path)
+        more, done = split_in_two(spark.read.schema(ran.schema).parquet(path), F.col("_more") == 1)
+        finished.append(done.select(df.columns))
+        active = more.select(df.columns)
+        if active.isEmpty():
+            return reduce(DataFrame.unionByName, finished)
     raise RuntimeError(f"rows still iterate after {max_rounds * steps_per_round} steps")
 
 
