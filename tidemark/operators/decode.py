@@ -234,33 +234,32 @@ def parse_event_batch(
     ).withColumns(
         {"_seg": _field(F.col("_event"), "$.segmentation"), "_data": _field(F.col("_event"), "$.segmentation.data")}
     )
-    seg, raw = F.col("_seg"), F.col("_data")
-    topic, text = _text_of(_field(seg, "$.topic")), _text_of(raw)
-    no_object = seg.isNull() | (topic.isNull() & ~F.schema_of_variant(seg).startswith("OBJECT"))
+    seg, text = F.col("_seg"), F.col("_text")
     out = out.withColumns(
         {
-            "topic": topic,
+            "topic": _text_of(_field(seg, "$.topic")),
             "sign": F.try_variant_get(seg, "$.sign", "string"),
-            "data": F.coalesce(text, F.to_json(raw)),
-            "_bare": F.coalesce(no_object, F.lit(True)),
-            # What counts as empty is "" or one of these JSON values.
-            "_empty": raw.isNull()
-            | (text == "")
-            | (text.isNull() & F.to_json(raw).isin("null", "false", "0", "[]", "{}")),
+            "_text": _text_of(F.col("_data")),
         }
-    )
+    ).withColumn("data", F.coalesce(text, F.to_json("_data")))
     allowed = topic_allowed("topic", topics)
-    body = strict_json(F.when(allowed, _text_of(raw))) if check_data else F.lit(None).cast("variant")
-    out = _once(out, "body", body) if check_data else out.withColumn("body", body)
+    # What counts as empty is "" or one of these JSON values.
+    empty = F.col("data").isNull() | F.when(text.isNull(), F.col("data")).otherwise(
+        F.when(text == "", "null")
+    ).isin("null", "false", "0", "[]", "{}")
+    is_object = F.col("topic").isNotNull() | F.schema_of_variant(seg).startswith("OBJECT")
     reason = (
         F.when(~F.col("_listed"), BAD_EVENTS)
-        .when(F.col("_bare"), NO_SEGMENTATION)
+        .when(~F.coalesce(is_object, F.lit(False)), NO_SEGMENTATION)
         .when(~allowed, BAD_TOPIC)
-        .when(F.coalesce(F.col("_empty"), F.lit(False)), EMPTY_DATA)
+        .when(F.coalesce(empty, F.lit(False)), EMPTY_DATA)
     )
     if check_data:
+        out = _once(out, "body", strict_json(F.when(allowed, text)))
         reason = reason.when(F.col("body").isNull(), BAD_DATA)
-    return out.withColumn("reason", reason).drop("_event", "_seg", "_data", "_listed", "_bare", "_empty")
+    else:
+        out = out.withColumn("body", F.lit(None).cast("variant"))
+    return _once(out, "reason", reason).drop("_event", "_seg", "_data", "_text", "_listed")
 
 
 def decode_event_batch(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:

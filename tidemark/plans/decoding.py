@@ -10,7 +10,7 @@ from tidemark.operators.aggregate import traffic_by_hour, traffic_by_hour_sketch
 from tidemark.plans.base import TRAFFIC, Plan
 from tidemark.session import new_path
 from tidemark.sources import clickstream as cs
-from tidemark.sources.files import table
+from tidemark.sources.files import collection, table
 
 PIECE = "array<struct<event_id: bigint, visit_id: string, k: int>>"
 
@@ -103,7 +103,7 @@ def route_divert(spark: SparkSession, sf: str) -> DataFrame:
 
 def topic_route_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """The routes as a table; events without a route keep a NULL uri."""
-    routes = spark.createDataFrame([("view", "/view"), ("click", "/click"), ("signup", "/open")], "topic STRING, uri STRING")
+    routes = collection(spark, [("view", "/view"), ("click", "/click"), ("signup", "/open")], "topic STRING, uri STRING")
     rows = cs.traffic(spark, sf).select("event_id", F.col("website").alias("topic"))
     return decode.with_uri(rows, routes).select("event_id", "topic", "uri")
 
@@ -202,7 +202,7 @@ from texts where topic in ('view', 'click') and coalesce(broken, '') <> 'empty d
 {SENT} select '/base' as uri, replace(topic, 'app_vip_open', 'vip_open') as event_file,
        visit_id as sign, event_id, k
 from sent where topic in ('app_open', 'app_vip_open') and broken is null"""),
-    Plan("topic_route_lookup", "DEC-10", topic_route_lookup, """
+    Plan("topic_route_lookup", "DEC-10 SRC-2", topic_route_lookup, """
 select event_id, event_type as topic,
        case event_type when 'view' then '/view' when 'click' then '/click' when 'signup' then '/open' end as uri
 from events"""),

@@ -30,9 +30,8 @@ ROUTES = {"view": "/view", "app_open": "/open"}
 
 def traffic(spark: SparkSession, directory: str) -> DataFrame:
     """Events as page requests; the epoch second is that of the UTC wall clock."""
-    events = table(spark, directory, "events")
-    user, k = F.col("user_id"), F.get_json_object("props", "$.k").cast("int")
-    channel = k % 3
+    events = table(spark, directory, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    user, channel = F.col("user_id"), F.col("k") % 3
     return events.select(
         "event_id",
         F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("ts")).alias("req_time"),
@@ -42,7 +41,7 @@ def traffic(spark: SparkSession, directory: str) -> DataFrame:
         F.col("event_type").alias("website"),
         F.concat(F.lit("10.0.0."), (user % 100).cast("string")).alias("ip"),
         F.when(channel == 0, "").otherwise(F.concat(F.lit("ch"), channel.cast("string"))).alias("channel"),
-        k.alias("k"),
+        "k",
     )
 
 
