@@ -77,6 +77,13 @@ def test_normal_form_from_text(spark):
     assert rejects.filter("args = 'oops'").first().reason == decode.NO_DATA
 
 
+def test_dead_letters_keep_the_message(spark):
+    text = '{"Method":"POST","Args":{"topic":"a","data":[{"x":1,"x":2}]}}'
+    requests = decode.decode_envelopes(lines(spark, [text]), keep_raw=True)
+    assert [tuple(r) for r in decode.normal_rejects(requests, TOPICS).collect()] == [(text, decode.NO_DATA)]
+    assert [tuple(r) for r in decode.event_batch_rejects(requests, TOPICS).collect()] == [(text, None, decode.BAD_EVENTS)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 20, 101])
 def test_chunks_flatten_back(spark, n):
     row = spark.range(1).select(F.array(*[F.lit(i) for i in range(n)]).cast("array<int>").alias("d")).select(decode.chunks("d").alias("c")).first()

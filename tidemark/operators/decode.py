@@ -98,11 +98,13 @@ def decode_envelopes(
     post_only: bool = True,
     args_type: str = "VARIANT",
     as_text: bool = False,
+    keep_raw: bool = False,
 ) -> DataFrame:
     """DEC-1..3: the good envelopes.
 
     ``as_text`` gives ``args`` and ``headers`` as JSON text, the form a sink wants;
-    leave it off when another decoder follows.
+    leave it off when another decoder follows. ``keep_raw`` keeps the message for the
+    dead letters of that decoder.
     """
     good = parse_envelopes(df, value, post_only, args_type).filter(F.col("reason").isNull())
     if as_text:
@@ -112,7 +114,7 @@ def decode_envelopes(
                 "headers": F.to_json("headers"),
             }
         )
-    kept = ["method", *(["headers"] if keep_headers else []), "ip", "args"]
+    kept = [*(["raw"] if keep_raw else []), "method", *(["headers"] if keep_headers else []), "ip", "args"]
     return good.select(*kept, "gateway_uri", "receive_time")
 
 
@@ -204,9 +206,9 @@ def normal_rejects(df: DataFrame, topics: Sequence[str], args: str = "args") ->
 
 
 def _text(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.col(name)
-    return F.to_json(name)
+    """The rejected text: the column, or the whole message where there is none."""
+    text = F.col(name) if isinstance(df.schema[name].dataType, T.StringType) else F.to_json(name)
+    return F.coalesce(text, F.col("raw")) if "raw" in df.columns else text
 
 
 # --- event batches -------------------------------------------------------------
