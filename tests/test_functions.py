@@ -81,8 +81,8 @@ def test_url_parts(spark):
 
 
 def test_camel_case(spark):
-    got = values(spark, [("redis_source",), ("",), ("_",), ("__a_bC_",)], "v string", fn.camel_case("v"))
-    assert [r[0] for r in got] == ["RedisSource", "", "", "ABc"]
+    got = values(spark, [("queue_source",), ("",), ("_",), ("__a_bC_",)], "v string", fn.camel_case("v"))
+    assert [r[0] for r in got] == ["QueueSource", "", "", "ABc"]
 
 
 def test_words_split_like_python(spark):

@@ -70,7 +70,7 @@ def json_field(c: Column | str, name: str, kind: str, default: object) -> Column
 
 
 def camel_case(c: Column | str) -> Column:
-    """F-11: ``redis_source`` becomes ``RedisSource``."""
+    """F-11: ``queue_source`` becomes ``QueueSource``."""
     parts = F.filter(F.split(F.lower(_col(c)), "_"), lambda p: p != "")
     return F.array_join(
         F.transform(
