@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, mixing, quality, sharding
+from tidemark.llm import decontaminate, jaccard_join, mixing, quality, sharding, token_counts
 
 #: Weights of the mixing query: an invented tree of domains, languages and sources.
 MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}}
 
+#: A public vocabulary with scores, counted with as a unigram model.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,6 +37,11 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.feistel_shards(_table(spark, sf_dir, "documents"))
 
 
+def op7_unigram_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Tokens of every document under a public vocabulary."""
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), token_counts.read_vocabulary(vocabulary))
+
+
 def op8_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of all words, domain before language before source, at most two epochs."""
     mixed = mixing.mix_to_weights(_table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS)
@@ -57,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_jaccard_join,
         op4_feistel_shards,
+        op7_unigram_token_counts,
         op8_mix_to_weights,
         op9_quality_machine,
         op10_spaced_seed_decontamination,
