@@ -38,6 +38,8 @@ FIRST_SHARE = 30
 #: Texts and tokens of a batch whose tokens are put together before they are shuffled.
 BATCH_DOCS, BATCH_TOKENS = 4096, 1 << 20
 MANY = 0xFFFF
+#: Tokens of a block of texts that are compared with another block at once, about.
+BLOCK_TOKENS = 200_000
 #: Tokens that one task of a shuffle by token should get, about.
 TASK_TOKENS = 8_000_000
 
@@ -213,8 +215,8 @@ def _classes(table: pa.Table) -> pa.Table:
 
 
 def _subclasses(band: int) -> int:
-    """Subclasses of frequent tokens for sets of a band of sizes: some six to a full prefix."""
-    return max(1, int(1.25**band) // 30)
+    """Subclasses of frequent tokens for sets of a band of sizes, about a third of a full prefix."""
+    return max(1, int(1.25**band) // 15)
 
 
 def signatures(n: int, tokens: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -269,31 +271,87 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
+def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Shared tokens of each of one list with each of the other.
+
+    Tokens of many sets go through a product of 0-1 matrices, of which there are few by
+    their number of occurrences; the others through their lists of sets.
+    """
+    sizes = [len(x) for x in (*one, *other)]
+    _, token = np.unique(np.concatenate([*one, *other]), return_inverse=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    common = np.bincount(token) > 64
+    column = (np.cumsum(common) - 1)[token]
+    dense = np.zeros((len(sizes), common.sum()), np.float32)
+    hot = common[token]
+    dense[owner[hot], column[hot]] = 1
+    out = (dense[: len(one)] @ dense[len(one) :].T).astype(np.int64)
+    token, owner = token[~hot], owner[~hot]
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    for step in range(1, 64):  # sets of one list stand before those of the other
+        same = token[step:] == token[:-step]
+        if not same.any():
+            break
+        x, y = owner[:-step][same], owner[step:][same]
+        across = (x < len(one)) & (y >= len(one))
+        np.add.at(out, (x[across], y[across] - len(one)), 1)
+    return out
+
+
+def _links_of_blocks(table: pa.Table) -> pa.Table:
+    """Links between groups, found in one pair of blocks of a family; none that others imply."""
+    rows = table.to_pydict()
+    low, high = rows["low"][0], rows["high"][0]
+    at = [np.flatnonzero(np.array(rows["block"]) == block) for block in (low, high)]
+    ids, n, group = (np.array(rows[c], np.int64) for c in ("doc_id", "n", "component"))
+    tokens = [np.array(x, np.int64) for x in rows["shared"]]
+    links, parent = [], {}
+    if all(len(x) for x in at):
+        x, y = at
+        common = _overlaps([tokens[i] for i in x], [tokens[i] for i in y])
+        link = 100 * common >= PERCENT * (n[x][:, None] + n[y][None, :] - common)
+        i, j = np.nonzero(link & (group[x][:, None] != group[y][None, :]))
+
+        def root(g: int) -> int:
+            while parent.setdefault(g, g) != g:
+                parent[g] = parent[parent[g]]
+                g = parent[g]
+            return g
+
+        for p, q in zip(x[i].tolist(), y[j].tolist(), strict=True):
+            one, other = root(int(group[p])), root(int(group[q]))
+            if one != other:
+                parent[one] = other
+                links.append((int(ids[p]), int(ids[q])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
 def _links(sets: DataFrame) -> DataFrame:
     """Links enough to connect whatever is connected.
 
-    Where a signature meets, all are compared with the smallest id first.  Only those that
-    this leaves in different groups are then compared with each other.
+    Where a signature meets, all are compared with the smallest id first.  Signatures whose
+    texts this leaves in different groups make up families, by that smallest id; in a
+    family all texts are compared, in pairs of blocks of bounded size.
     """
     signed = stored(sets.select("doc_id", "n", F.explode("signed").alias("signature")), "signed")
-    fits = lambda x, y: 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
+    fits = 100 * F.least("n", "first.n") >= PERCENT * F.greatest("n", "first.n")
     first = signed.groupBy("signature").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("texts")).where("texts > 1").drop("texts")
     stars = stored(
-        signed.join(first, "signature").where((F.col("doc_id") > F.col("first.doc_id")) & fits(F.col("n"), F.col("first.n"))).select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(),
+        signed.join(first, "signature").where((F.col("doc_id") > F.col("first.doc_id")) & fits).select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(),
         "stars",
     )
     links = stored(_verified(stars, sets), "links")
-    grouped = signed.join(components(links).withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    split = grouped.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("signature")
-    rest = stored(grouped.join(split, "signature"), "rest")
-    left, right = rest.alias("l"), rest.alias("r")
-    more = (
-        left.join(right, (F.col("l.signature") == F.col("r.signature")) & (F.col("l.component") != F.col("r.component")) & (F.col("l.doc_id") < F.col("r.doc_id")) & fits(F.col("l.n"), F.col("r.n")))
-        .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    return links.unionByName(_verified(stored(more, "more"), sets))
+    groups = components(links).withColumnRenamed("id", "doc_id")
+    grouped = stored(signed.join(groups, "doc_id", "left").select("signature", "doc_id", F.coalesce("component", "doc_id").alias("component")), "grouped")
+    split = grouped.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc_id").alias("family")).where("low < high").select("signature", "family")
+    families = stored(grouped.join(split, "signature").select("family", "doc_id", "component").distinct(), "families")
+    members = families.join(sets.select("doc_id", "n", "shared"), "doc_id")
+    blocks = families.join(sets.select("doc_id", F.size("shared").alias("tokens")), "doc_id").groupBy("family").agg(F.ceil(F.sum("tokens") / BLOCK_TOKENS).alias("blocks"))
+    dealt = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    paired = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    paired = paired.select("family", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "doc_id", "n", "component", "shared")
+    return links.unionByName(paired.groupBy("family", "low", "high").applyInArrow(_links_of_blocks, "a long, b long"))
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
