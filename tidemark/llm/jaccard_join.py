@@ -375,7 +375,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     asked = stored(may_link.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "asked")
     tokens = asked.agg(F.sum("n")).head()[0] or 0
     second = stored(
-        read.join(asked.select("doc_id", "k1", "k2"), "doc_id").select("doc_id", "k1", "k2", "text").mapInArrow(_second_round(max(at_least, tokens // TASK_TOKENS)), SECOND_SCHEMA),
+        # The same plan at every size: a broadcast would end where the texts get many.
+        read.join(asked.select("doc_id", "k1", "k2").hint("merge"), "doc_id").select("doc_id", "k1", "k2", "text").mapInArrow(_second_round(max(at_least, tokens // TASK_TOKENS)), SECOND_SCHEMA),
         "tokens",
     )
     replies = second.where("bucket >= 0").select("batch", "bucket", "tokens", "counts").groupBy("bucket").applyInArrow(_classes, "batch long, tokens binary, kinds binary")
