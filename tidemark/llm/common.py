@@ -29,7 +29,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered for up to ``limit`` words."""
 
-    def __init__(self, limit: int = 1 << 20, seed: int = 0):
+    def __init__(self, limit: int = 1 << 19, seed: int = 0):
         super().__init__()
         self.limit, self.seed = limit, seed
 
