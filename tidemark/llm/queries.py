@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, mixing, quality, sharding, token_counts
+from tidemark.llm import decontaminate, jaccard_join, licenses, mixing, neighbours, quality, sharding, token_counts, warc
+from tidemark.session import new_path
 
 #: Weights of the mixing query: an invented tree of domains, languages and sources.
 MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}}
@@ -27,16 +28,34 @@ def mix_levels() -> dict:
     return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return jaccard_join.near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest neighbours of every hundredth vector among all others."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 8 shards."""
     return sharding.feistel_shards(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written as WARC records and read back from the archives."""
+    path = new_path(spark, "llm-archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path, with_payload=False).where("reason IS NULL")
+    return records.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to")
+
+
 def op7_unigram_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Tokens of every document under a public vocabulary."""
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), token_counts.read_vocabulary(vocabulary))
@@ -63,8 +82,11 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_license_scan,
         op2_jaccard_join,
+        op3_inverted_multi_index,
         op4_feistel_shards,
+        op6_warc_salvage,
         op7_unigram_token_counts,
         op8_mix_to_weights,
         op9_quality_machine,
