@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.session import new_path
 
@@ -21,6 +22,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slot_count(keys: int, most: int = 1 << 26) -> int:
+    """Flags that thin ``keys`` out to about a thousandth of what is not among them."""
+    n = 1 << 10
+    while n < min(32 * keys, most):
+        n *= 2
+    return n
+
+
+def slots_of_hash(hashed: Column, n_slots: int) -> tuple[Column, Column]:
+    """The two places of a 64-bit hash among the flags."""
+    last = F.lit(n_slots - 1).cast("long")
+    return hashed.bitwiseAND(last).cast("int"), F.shiftright(hashed, 32).bitwiseAND(last).cast("int")
+
+
+def slot_flags(hashes: DataFrame, n_slots: int) -> Column:
+    """An array of flags as a scalar subquery: true at the places of the ``hashes`` (one column).
+
+    For thinning out rows before an exact join.  Its size is ``n_slots`` bytes, whatever
+    the tables hold.
+    """
+    both = F.array(*[slot.cast("long") for slot in slots_of_hash(F.col(hashes.columns[0]), n_slots)])
+    taken = hashes.select(F.explode(both).alias("id")).distinct().withColumn("taken", F.lit(1))
+    flags = hashes.sparkSession.range(n_slots).join(taken, "id", "left").select((F.col("id") * 2 + F.coalesce("taken", F.lit(0))).alias("x"))
+    return flags.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x % 2 == 1).alias("slots")).scalar()
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words in UTF-8 with A-Z in lower case; none for a null text."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()

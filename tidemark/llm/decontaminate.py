@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slot_count, slot_flags, slots_of_hash
+
 #: Of every stretch of 8 to 13 words with at most a fifth substituted, one of the masks
 #: meets four kept words at some place (checked over all substitutions in the tests).
 MASKS = ("11101", "110011")
@@ -40,7 +42,7 @@ def seeds_of(words: Column, flags: Column | None = None, n_slots: int = 0) -> Co
     """Structs of seed and place, over all masks; with ``flags`` of those whose slots are set."""
 
     def set_there(at: Column, mask: str) -> Column:
-        one, other = _slots(_seed(words, at, mask), n_slots)
+        one, other = slots_of_hash(_seed(words, at, mask), n_slots)
         return F.get(flags, one) & F.get(flags, other)
 
     def found(mask: str) -> Column:
@@ -75,23 +77,6 @@ def seed_table(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     return with_context(items.withColumn("seeds", seeds_of(F.col("words")))).distinct()
 
 
-def slots_of(seeds: DataFrame, n_slots: int) -> Column:
-    """An array of flags as a scalar subquery: true where a seed hashes to.
-
-    It only thins out the seeds of documents before the exact join.  Its size is
-    ``n_slots`` bytes, whatever the tables hold.
-    """
-    both = F.array(*[slot.cast("long") for slot in _slots(F.col("seed"), n_slots)])
-    taken = seeds.select(F.explode(both).alias("id")).distinct().withColumn("taken", F.lit(1))
-    flags = taken.sparkSession.range(n_slots).join(taken, "id", "left").select((F.col("id") * 2 + F.coalesce("taken", F.lit(0))).alias("x"))
-    return flags.agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x % 2 == 1).alias("slots")).scalar()
-
-
-def _slots(seed: Column, n_slots: int) -> tuple[Column, Column]:
-    last = F.lit(n_slots - 1).cast("long")
-    return seed.bitwiseAND(last).cast("int"), F.shiftright(seed, 32).bitwiseAND(last).cast("int")
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -115,10 +100,8 @@ def contaminated(
     """
     items = seed_table(benchmark, item_col, item_text_col)
     n_seeds = items.agg(F.count_distinct("seed")).head()[0]
-    n_slots = 1 << 10
-    while n_slots < min(32 * n_seeds, most_slots):
-        n_slots *= 2
-    slots = slots_of(items, n_slots)
+    n_slots = slot_count(n_seeds, most_slots)
+    slots = slot_flags(items.select("seed"), n_slots)
     read = docs.select(F.col(id_col).alias("doc_id"), word_hashes(text_col).alias("words"))
     # The flags are named once, so the optimizer puts them in place of the column and no
     # row carries them.

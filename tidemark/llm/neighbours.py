@@ -168,7 +168,7 @@ def nearest(
                 ["query_id", "query", "list", "seconds"],
             )
 
-    asked = read.where("is_query").select("vec_id", "vector").distinct().repartition("vec_id")
+    asked = read.where("is_query").select("vec_id", "vector").distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id")
     visits = asked.mapInArrow(visit, "query_id long, query array<double>, list int, seconds array<int>")
     # Cells of one first centroid make a list; entries of a list, and the queries that
     # visit cells of it, are dealt into blocks of bounded size, and each pair of blocks is a row.

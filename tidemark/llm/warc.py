@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slot_count, slot_flags, slots_of_hash, stored
+
 VERSION = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -116,19 +118,27 @@ def _parse_plain(data, start: int) -> Found:
     return Found(start, end + len(END) - start, headers, payload)
 
 
-def _parse_member(data, start: int, most: int) -> Found:
+def _parse_member(data: bytes, start: int, most: int) -> Found:
     """The record in the gzip member at ``start``, of ``most`` bytes at most."""
-    unpacker = zlib.decompressobj(31)
+    unpacker, parts, size, at = zlib.decompressobj(31), [], 0, start
+    view = memoryview(data)
     try:
-        plain = unpacker.decompress(data[start:], most)
+        while not unpacker.eof and at < len(data):
+            piece = view[at : at + (1 << 16)]
+            parts.append(unpacker.decompress(piece, most - size + 1))
+            size += len(parts[-1])
+            if size > most or unpacker.unconsumed_tail:
+                raise ValueError("gzip member is too large")
+            at += len(piece)
     except zlib.error as e:
         raise ValueError(f"gzip: {e}") from None
     if not unpacker.eof:
-        raise ValueError("gzip member does not end" if not unpacker.unconsumed_tail else "gzip member is too large")
+        raise ValueError("gzip member does not end")
+    plain = b"".join(parts)
     inner = _parse_plain(plain, 0)
     if inner.length != len(plain):
         raise ValueError("gzip member holds more than its record")
-    return Found(start, len(data) - start - len(unpacker.unused_data), inner.headers, inner.payload)
+    return Found(start, at - len(unpacker.unused_data) - start, inner.headers, inner.payload)
 
 
 def salvage(data: bytes, most: int = 1 << 30) -> Iterator[Found]:
@@ -141,9 +151,7 @@ def salvage(data: bytes, most: int = 1 << 30) -> Iterator[Found]:
     at, gap, reason = 0, 0, None
 
     def attempt(start: int) -> Found:
-        if data[start : start + 3] == _GZIP:
-            return _parse_member(memoryview(data)[start:], 0, most) if start else _parse_member(data, 0, most)
-        return _parse_plain(data, start)
+        return _parse_member(data, start, most) if data[start : start + 3] == _GZIP else _parse_plain(data, start)
 
     while at < len(data):
         try:
@@ -153,8 +161,6 @@ def salvage(data: bytes, most: int = 1 << 30) -> Iterator[Found]:
             following = marks.search(data, at + 1)
             at = following.start() if following else len(data)
             continue
-        if data[at : at + 3] == _GZIP:
-            found.offset = at
         if gap < at:
             yield Found(gap, at - gap, reason=reason)
         yield found
@@ -179,10 +185,17 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     """
     read = _with_digest(pages, id_col, url_col, html_col)
     length = F.octet_length("payload")
-    kept = read.where(length >= LEAST_REVISIT).groupBy("digest").agg(F.max("page_id").alias("kept"), F.count("*").alias("rows")).where("rows > 1 AND kept IS NOT NULL").drop("rows")
+    kept = stored(read.where(length >= LEAST_REVISIT).groupBy("digest").agg(F.max("page_id").alias("kept"), F.count("*").alias("rows")).where("rows > 1 AND kept IS NOT NULL").drop("rows"), "kept")
     longest = read.agg(F.max(length)).head()[0] or 0
-    refers = F.when((length >= LEAST_REVISIT) & (F.coalesce(F.col("page_id") != F.col("kept"), F.col("kept").isNotNull())), F.col("kept"))
-    linked = read.join(kept, "digest", "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    # Flags of the repeated digests keep all other payloads out of the join's shuffle.
+    n_slots = slot_count(kept.count())
+    flags = slot_flags(kept.select(F.xxhash64("digest")), n_slots)
+    one, other = slots_of_hash(F.xxhash64("digest"), n_slots)
+    repeated = (length >= LEAST_REVISIT) & F.get(flags, one) & F.get(flags, other)
+    refers = F.when(F.coalesce(F.col("page_id") != F.col("kept"), F.col("kept").isNotNull()), F.col("kept"))
+    columns = ("page_id", "url", "payload", "digest")
+    linked = read.where(repeated).join(kept, "digest", "left").select(*columns, refers.alias("refers_to"))
+    linked = linked.unionByName(read.where(~repeated).select(*columns, F.lit(None).cast("long").alias("refers_to")))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
