@@ -1,0 +1,220 @@
+"""Licenses, decontamination, quality and token counts, against plain versions of them."""
+
+import itertools
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, licenses, quality, token_counts
+from tidemark.llm.common import WordHashes
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+DOCS = "doc_id long, text string, n_chars long, score string, words string"
+
+
+def words(n, seed=0):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("abcdefghij", k=rng.randint(3, 8))) for _ in range(n)]
+
+
+def docs_of(spark, texts):
+    """Documents with extra columns whose names clash with those of results."""
+    return spark.createDataFrame([(i, t, len(t or ""), "x", "y") for i, t in texts], DOCS)
+
+
+# --- licenses ---------------------------------------------------------------------------
+
+
+def contained(text):
+    """Notices whose word triples are in the text, four fifths of them, wherever they stand."""
+    have = licenses.license_words(text)
+    triples = {tuple(have[i : i + 3]) for i in range(len(have) - 2)}
+    found = set()
+    for name, notices in licenses.TEMPLATES.items():
+        for number, notice in enumerate(notices):
+            w = licenses.license_words(notice)
+            wanted = {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+            if len(wanted & triples) >= 0.8 * len(wanted):
+                found.add((name, number))
+    return found
+
+
+def test_every_notice_is_found_at_any_place(spark):
+    texts = []
+    for i, (name, notices) in enumerate(licenses.TEMPLATES.items()):
+        for j, notice in enumerate(notices):
+            lead = words(7 * i + 13 * j, seed=i)
+            texts.append((100 * i + j, " ".join([*lead, notice, *words(90, seed=j)])))
+    got = {(r.doc_id, r.license, r.template) for r in licenses.license_scan(docs_of(spark, texts)).collect()}
+    assert got == {(d, *hit) for d, t in texts for hit in contained(t)}
+    assert {d for d, *_ in got} == {d for d, _ in texts}
+
+
+def test_licenses_of_the_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {(r.doc_id, r.license, r.template) for r in licenses.license_scan(docs).collect()}
+    assert got == {(r.doc_id, *hit) for r in docs.collect() for hit in contained(r.text)}
+
+
+def test_license_edges(spark):
+    notice = licenses.TEMPLATES["MIT"][0]
+    texts = [(1, None), (2, ""), (3, "two words"), (None, notice), (4, notice), (4, notice), (5, notice + " " + " ".join(words(60000)) + " " + notice)]
+    got = sorted((str(r.doc_id), r.license, r.first_word, r.containment) for r in licenses.license_scan(docs_of(spark, texts)).collect())
+    assert got == sorted((d, "MIT", 0, 1.0) for d in ("None", "4", "4", "5"))
+    assert licenses.license_scan(docs_of(spark, [])).count() == 0
+    assert licenses.license_scan(docs_of(spark, texts), {"none": ("two words",)}).count() == 0
+
+
+# --- decontamination --------------------------------------------------------------------
+
+
+def plain_matches(docs, items):
+    """All alignments of all stretches."""
+    import regex
+
+    cut = lambda t: [w for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w]
+    out = set()
+    for d, text in docs:
+        a = cut(text)
+        for i, item in items:
+            b = cut(item)
+            n = min(len(b), decontaminate.STRETCH)
+            if len(b) >= decontaminate.LEAST and any(
+                sum(x == y for x, y in zip(a[p : p + n], b[q : q + n], strict=False)) >= -(-n * 4 // 5)
+                for p in range(len(a) - n + 1)
+                for q in range(len(b) - n + 1)
+            ):
+                out.add((d, i))
+    return out
+
+
+def test_masks_survive_a_fifth_of_substitutions():
+    masks = [[i for i, bit in enumerate(m) if bit == "1"] for m in decontaminate.MASKS]
+    for n in range(decontaminate.LEAST, decontaminate.STRETCH + 1):
+        for miss in itertools.combinations(range(n), n - -(-n * 4 // 5)):
+            assert any(not {o + p for p in m} & set(miss) for m in masks for o in range(n - m[-1]))
+
+
+def test_substituted_passages_are_found(spark):
+    rng = random.Random(3)
+    items = [(i, " ".join(words(n, seed=100 + i))) for i, n in enumerate([7, 8, 9, 10, 11, 12, 13, 20, 40, 60])]
+    docs = []
+    for d in range(120):
+        passage = items[d % len(items)][1].split()
+        start = rng.randrange(max(1, len(passage) - 13))
+        passage = passage[start : start + rng.randint(6, 20)]
+        for p in rng.sample(range(len(passage)), min(len(passage), rng.randint(0, 4))):
+            passage[p] = "other"
+        docs.append((d, " ".join([*words(rng.randint(0, 30), seed=d), *passage, *words(rng.randint(0, 30), seed=d + 500)]).upper()))
+    frame = docs_of(spark, docs)
+    benchmark = spark.createDataFrame([(i, t, "z") for i, t in items], "item_id long, text string, seed string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame, benchmark).collect()}
+    assert got == plain_matches(docs, items)
+    assert 20 < len(got) < 110
+
+
+def test_contaminated_documents(spark, sf):
+    docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    whole = [(r.doc_id, r.item_id) for r in docs.crossJoin(items.withColumnRenamed("text", "item")).where(F.col("text").contains(F.col("item"))).collect()]
+    assert set(whole) <= got
+    assert len({d for d, _ in got}) < 0.1 * docs.count()
+
+
+def test_decontamination_edges(spark):
+    item = " ".join(words(20))
+    benchmark = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (None, item)], "item_id long, text string")
+    docs = docs_of(spark, [(1, None), (2, ""), (3, item), (3, item), (None, item), (4, " ".join(words(50000, seed=9)) + " " + item)])
+    got = sorted((str(r.doc_id), str(r.item_id)) for r in decontaminate.contaminated(docs, benchmark).collect())
+    assert got == sorted(itertools.product(("3", "4", "None"), ("1", "None")))
+    assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
+    assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
+
+
+# --- quality ----------------------------------------------------------------------------
+
+
+def test_pairs_in_linear_time():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    machine = quality.Machine(0.3, rng.normal(size=quality.DIM).astype(np.float32), rng.normal(size=(quality.DIM, 4)).astype(np.float32))
+    ids, values = rng.integers(0, quality.DIM, 30), rng.normal(size=30)
+    lengths = np.array([10, 1, 19])
+    want, start = [], 0
+    for n in lengths:
+        i, x = ids[start : start + n], values[start : start + n]
+        pairs = sum(machine.factors[i[a]] @ machine.factors[i[b]] * x[a] * x[b] for a in range(n) for b in range(a + 1, n))
+        want.append(0.3 + machine.weights[i] @ x + pairs)
+        start += n
+    assert np.allclose(quality.scores(machine, ids, values, lengths), want, rtol=1e-4)
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality.quality_scores(docs, quality.fit(docs, labels)).join(labels, "doc_id").where(quality.held_out(F.col("doc_id")))
+    right, n = scored.agg(F.sum((F.col("predicted") == F.col("quality")).cast("int")), F.count("*")).head()
+    assert right / n > 0.95
+
+
+def test_quality_edges(spark):
+    docs = docs_of(spark, [(0, None), (1, ""), (2, "a b c"), (2, "a b c"), (None, "a"), (3, "word " * 60000)])
+    labels = spark.createDataFrame([(0, 1), (0, 0), (2, 1), (3, 0), (None, 1), (5, 1), (1, None), (1, 7)], "doc_id long, quality int")
+    for known in (labels, labels.limit(0), labels.where("quality = 1")):
+        machine = quality.fit(docs, known)
+        rows = quality.quality_scores(docs, machine).collect()
+        assert len(rows) == 6
+        assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+        kept = quality.keep_quality(docs, machine)
+        assert kept.columns == docs.columns
+        assert kept.count() == sum(r.predicted for r in rows)
+    assert quality.quality_scores(docs.limit(0), quality.fit(docs.limit(0), labels)).count() == 0
+
+
+def test_features_of_long_words_are_bounded():
+    ids, values = quality.features("x" * 10**6 + " " + "y" * 100, [None, float("nan"), -3.0], WordHashes(limit=2))
+    assert ids.max() < quality.DIM
+    assert len(ids) == len(values)
+
+
+# --- token counts -----------------------------------------------------------------------
+
+needs_vocabulary = pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary")
+
+
+@needs_vocabulary
+@pytest.mark.parametrize("byte_fallback", [True, False])
+def test_counts_equal_the_library(byte_fallback):
+    read = token_counts.read_vocabulary(VOCABULARY)
+    vocabulary = token_counts.Vocabulary(read.pieces, byte_fallback)
+    rng = random.Random(1)
+    letters = list("abcdefgh  \n\t.,éß日本😀") + [token_counts.SPACE, "<s>", "<0x0A>", "▁▁", "  ", "th", "ing"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += [None, "", " ", "a" * 3000, " " * 500, "日" * 100, "\n\n", "a\u0085b c"]
+    counter = token_counts.Counter(vocabulary, limit=50)
+    assert [counter.count(t) for t in texts] == token_counts.library_counts(token_counts.reference_tokenizer(vocabulary), texts)
+
+
+def test_ties_go_to_the_piece_that_starts_first():
+    """Two paths of one score: the library takes the first that reaches it."""
+    for pieces in itertools.permutations([("a", -1.0), ("b", -1.0), ("ab", -2.0), ("ba", -2.0), ("aba", -3.0), ("▁", -1.0)]):
+        vocabulary = token_counts.Vocabulary((("<unk>", 0.0), *pieces), False)
+        texts = ["".join(t) for n in range(6) for t in itertools.product("ab ", repeat=n)]
+        counter = token_counts.Counter(vocabulary)
+        assert [counter.count(t) for t in texts] == token_counts.library_counts(token_counts.reference_tokenizer(vocabulary), texts)
+
+
+@needs_vocabulary
+def test_token_counts_of_documents(spark, sf):
+    vocabulary = token_counts.read_vocabulary(VOCABULARY)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r.doc_id: (r.n_tokens, r.n_bytes) for r in token_counts.token_counts(docs, vocabulary).collect()}
+    rows = docs.collect()
+    counts = token_counts.library_counts(token_counts.reference_tokenizer(vocabulary), [r.text for r in rows])
+    assert got == {r.doc_id: (c, len(r.text.encode())) for r, c in zip(rows, counts, strict=True)}
+    edges = token_counts.token_counts(docs_of(spark, [(1, None), (None, ""), (2, "a"), (2, "a")]), vocabulary)
+    assert sorted((str(r.doc_id), r.n_tokens) for r in edges.collect()) == [("1", 0), ("2", 1), ("2", 1), ("None", 0)]
+    assert token_counts.token_counts(docs.limit(0), vocabulary).count() == 0

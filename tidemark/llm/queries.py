@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, licenses, mixing, neighbours, quality, sharding, token_counts, warc
+from tidemark.llm import decontaminate, jaccard_join, licenses, maxent_lm, mixing, neighbours, quality, sharding, token_counts, warc
 from tidemark.session import new_path
 
 #: Weights of the mixing query: an invented tree of domains, languages and sources.
@@ -48,6 +48,12 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.feistel_shards(_table(spark, sf_dir, "documents"))
 
 
+def op5_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from four fifths of them."""
+    docs = _table(spark, sf_dir, "documents")
+    return maxent_lm.score(docs, maxent_lm.fit(docs))
+
+
 def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages, written as WARC records and read back from the archives."""
     path = new_path(spark, "llm-archives")
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_jaccard_join,
         op3_inverted_multi_index,
         op4_feistel_shards,
+        op5_maxent_scores,
         op6_warc_salvage,
         op7_unigram_token_counts,
         op8_mix_to_weights,
