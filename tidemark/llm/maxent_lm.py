@@ -32,26 +32,38 @@ END = CLASSES - 1
 TEMPLATES = 5
 #: Tokens of a gradient step, rounds over shares of the training texts.
 STEP_TOKENS, ROUNDS, RATE = 1 << 15, 3, 0.3
-#: Words whose counts travel to the tasks; counts of all others are joined.
-KNOWN_LIMIT = 1 << 18
-#: The end of a text among the words; no word has this hash but by chance.
-END_HASH = 0x656E64206F662074
+#: Words whose counts travel to the tasks, in a table of so many places; a word whose
+#: place a more frequent one has, and all others, are joined to their counts.
+KNOWN_LIMIT, PLACES = 1 << 18, 1 << 20
+#: The end of a text among the words: no word has it but by chance.
+END_CODE = 0x656E64206F662074
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
 
 
-class Coder:
-    """Hashes and ending keys of words, remembered up to a limit."""
+class Coder(WordHashes):
+    """Codes of words, remembered up to a limit: 52 bits of the word's hash above the 12
+    bits of its key, which hashes its last three bytes."""
 
-    def __init__(self):
-        self.hashes, self.keys = WordHashes(), WordHashes(seed=1)
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and key of each word; the key is that of the last three bytes."""
+        if len(self) >= self.limit:
+            self.clear()
+        code = self[word] = xxhash.xxh64_intdigest(word) & ~(KEYS - 1) | xxhash.xxh64_intdigest(word[-3:], 1) % KEYS
+        return code
+
+    def encode(self, text: str | None) -> np.ndarray:
         words = words_of(text)
-        hashes = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        keys = np.fromiter(map(self.keys.__getitem__, [w[-3:] for w in words]), np.uint64, len(words))
-        return hashes, (keys % np.uint64(KEYS)).astype(np.int64)
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def key_of(codes: np.ndarray) -> np.ndarray:
+    return (codes & np.uint64(KEYS - 1)).astype(np.int64)
+
+
+def place_of(codes: np.ndarray) -> np.ndarray:
+    return ((codes >> np.uint64(12)) & np.uint64(PLACES - 1)).astype(np.int64)
 
 
 def held_out(doc_id: Column, folds: int = 5, fold: int = 1) -> Column:
@@ -59,47 +71,41 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], coder: Coder, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Hashes, keys and lengths of whole texts put together up to about ``most`` words."""
-    hashes, keys, lengths, held = [], [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch], coder: Coder, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and lengths of whole texts put together up to about ``most`` words."""
+    codes, held = [], 0
     for batch in batches:
         for text in batch.column("text"):
-            h, k = coder.encode(text.as_py())
-            hashes.append(h)
-            keys.append(k)
-            lengths.append(len(h))
-            held += len(h)
+            codes.append(coder.encode(text.as_py()))
+            held += len(codes[-1])
             if held >= most:
-                yield np.concatenate(hashes), np.concatenate(keys), np.array(lengths)
-                hashes, keys, lengths, held = [], [], [], 0
-    if lengths:
-        yield np.concatenate(hashes), np.concatenate(keys), np.array(lengths)
+                yield np.concatenate(codes), np.array([len(c) for c in codes])
+                codes, held = [], 0
+    if codes:
+        yield np.concatenate(codes), np.array([len(c) for c in codes])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with their keys and counts, by chunk; and neighbour counts of keys, by task.
+    """Words with their counts, by chunk (kind 0); neighbour counts of keys, by task.
 
-    Of neighbour counts a row has the key as ``word``, the hashed neighbour as ``key`` and
+    Of neighbour counts a row has the cell (key and hashed neighbour) as ``word`` and
     ``kind`` 1.
     """
     coder, near = Coder(), np.zeros(KEYS * NEIGHBOURS, np.int64)
-    schema = pa.schema([("kind", pa.int32()), ("word", pa.int64()), ("key", pa.int32()), ("count", pa.int64())])
-
-    def table(kind, word, key, count):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(word), kind, np.int32)), pa.array(word), pa.array(key.astype(np.int32)), pa.array(count.astype(np.int64))], schema=schema)
-
-    for hashes, keys, lengths in _chunks(batches, coder, 1 << 20):
-        words, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-        yield table(0, words.view(np.int64), keys[first], counts)
-        yield table(0, np.array([END_HASH], np.int64), np.array([KEYS]), np.array([len(lengths)]))
-        inside = np.ones(len(keys), bool)
-        ends = np.cumsum(lengths)
-        inside[ends[lengths > 0] - 1] = False
-        at = np.flatnonzero(inside[:-1]) if len(keys) else np.empty(0, np.int64)
+
+    def table(kind: int, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(words), kind, np.int32)), pa.array(words), pa.array(counts.astype(np.int64))], ["kind", "word", "count"])
+
+    for codes, lengths in _chunks(batches, coder, 1 << 20):
+        words, counts = np.unique(codes, return_counts=True)
+        yield table(0, np.append(words, np.uint64(END_CODE)).view(np.int64), np.append(counts, len(lengths)))
+        keys, inside = key_of(codes), np.ones(len(codes), bool)
+        inside[np.cumsum(lengths)[lengths > 0] - 1] = False
+        at = np.flatnonzero(inside)
         for a, b in ((at, at + 1), (at + 1, at)):
             near += np.bincount(keys[a] * NEIGHBOURS + keys[b] % NEIGHBOURS, minlength=KEYS * NEIGHBOURS)
     cells = np.flatnonzero(near)
-    yield table(1, cells // NEIGHBOURS, cells % NEIGHBOURS, near[cells])
+    yield table(1, cells, near[cells])
 
 
 def cluster_keys(near: np.ndarray, seed: int = 5, rounds: int = 15) -> np.ndarray:
@@ -125,35 +131,34 @@ def cluster_keys(near: np.ndarray, seed: int = 5, rounds: int = 15) -> np.ndarra
     return classes
 
 
-def contexts(hashes: np.ndarray, classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weight rows of each place's context, and the class there, over texts with their ends."""
-    n = len(hashes) + len(lengths)
+def contexts(codes: np.ndarray, classes: np.ndarray, lengths: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Weight rows of each place's context, by template, and the class there; texts with their ends."""
+    n = len(codes) + len(lengths)
     ends = np.cumsum(lengths + 1) - 1
-    word = np.zeros(n, bool)
-    word[ends] = True
-    word = ~word
-    h, c = np.zeros(n + 2, np.uint64), np.full(n + 2, END, np.int64)
-    h[2:][word], c[2:][word] = hashes, classes
-    one, two, before = h[1:-1].copy(), h[:-2].copy(), c[1:-1]
     starts = ends - lengths
+    word = np.ones(n, bool)
+    word[ends] = False
+    h, c = np.zeros(n + 2, np.uint64), np.full(n + 2, END, np.int64)
+    h[2:][word], c[2:][word] = codes, classes
+    one, two, before = h[1:-1], h[:-2].copy(), c[1:-1]
+    # Before a text stands an end, of code 0; the skipped words of its first two are ends too.
     two[starts] = 0
-    # The word before the first of a text is the end, whose hash is 0; so is the skipped one.
-    two[np.minimum(starts + 1, ends)] = 0
-    top = np.uint64(64 - 16)
-    rows = np.empty((n, TEMPLATES), np.int64)
-    rows[:, 0] = (one * _MIX[0]) >> top
-    rows[:, 1] = ((two + np.uint64(1)) * _MIX[1]) >> top
-    rows[:, 2] = ((one * _MIX[2]) ^ (two * _MIX[3])) * _MIX[0] >> top
-    rows[:, 3] = (before + 7) * 31
-    rows[:, 4] = 1
-    return rows, c[2:]
-
-
-def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    top = np.uint64(48)
+    rows = [
+        (one * _MIX[0]) >> top,
+        ((two + np.uint64(1)) * _MIX[1]) >> top,
+        ((one * _MIX[2]) ^ (two * _MIX[3])) * _MIX[0] >> top,
+        (before + 7) * 31,
+        np.ones(n, np.int64),
+    ]
+    return [r.astype(np.uint16) for r in rows], c[2:]
+
+
+def log_softmax(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     """Natural logarithms of the class probabilities of each context."""
-    logits = weights[rows[:, 0]]
-    for t in range(1, TEMPLATES):
-        logits = logits + weights[rows[:, t]]
+    logits = weights[rows[0]]
+    for row in rows[1:]:
+        logits += weights[row]
     logits -= logits.max(1, keepdims=True)
     return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
@@ -163,21 +168,22 @@ def _train_round(classes: np.ndarray, weights, squares):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, w, g, seen = Coder(), weights.value.copy(), squares.value.copy(), 0
-        for hashes, keys, lengths in _chunks(batches, coder, STEP_TOKENS):
-            rows, at = contexts(hashes, classes[keys], lengths)
+        for codes, lengths in _chunks(batches, coder, STEP_TOKENS):
+            rows, at = contexts(codes, classes[key_of(codes)], lengths)
             pull = np.exp(log_softmax(w, rows))
             pull[np.arange(len(at)), at] -= 1
-            # Sums over equal rows, class by class.
-            for t in range(TEMPLATES):
-                used, place = np.unique(rows[:, t], return_inverse=True)
-                cells = (place[:, None] * CLASSES + np.arange(CLASSES)).ravel()
-                step = np.bincount(cells, pull.ravel(), len(used) * CLASSES).reshape(-1, CLASSES) / len(at)
-                g[used] += (step * step).astype(np.float32)
-                w[used] -= (RATE * step / np.sqrt(g[used])).astype(np.float32)
+            pull /= len(at)
+            for row in rows:
+                order = np.argsort(row, kind="stable")  # a radix sort, for this type
+                sorted_rows = row[order]
+                first = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
+                used, step = sorted_rows[first], np.add.reduceat(pull[order], first, axis=0)
+                g[used] += step * step
+                w[used] -= RATE * step / np.sqrt(g[used])
             seen += len(at)
         if seen:
             for block, (dw, dg) in enumerate(zip(np.split(w - weights.value, 64), np.split(g - squares.value, 64), strict=True)):
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "seen": [seen], "change": [dw.astype(np.float32).tobytes()], "squared": [dg.astype(np.float32).tobytes()]})
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "seen": [seen], "change": [dw.tobytes()], "squared": [dg.tobytes()]})
 
     return run
 
@@ -198,8 +204,8 @@ def _averaged(table: pa.Table) -> pa.Table:
 class Model:
     """Class weights, classes of keys, and the counts of training words.
 
-    ``counts`` (word, key, count) is a stored table of all training words; ``known`` holds
-    the most frequent ones, sorted by hash.
+    ``counts`` (word, count) is a stored table of all training words; ``known`` has the
+    codes and counts of the most frequent ones at their places, 0 elsewhere.
     """
 
     weights: np.ndarray
@@ -219,21 +225,23 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
     """
     spark = docs.sparkSession
     read = docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    parts = read.select("text").mapInArrow(_count, "kind int, word long, key int, count long")
-    sums = stored(parts.groupBy("kind", "word", "key").agg(F.sum("count").alias("count")), "counts")
-    # Two words of one hash would be one word with two keys: the smaller key counts.
-    counts = stored(sums.where("kind = 0").groupBy("word").agg(F.min("key").alias("key"), F.sum("count").alias("count")), "words")
-    near = np.zeros((KEYS, NEIGHBOURS))
-    for batch in sums.where("kind = 1").select("word", "key", "count").toArrow().to_batches():  # KEYS * NEIGHBOURS rows at most
-        near[batch.column("word").to_numpy(), batch.column("key").to_numpy()] = batch.column("count").to_numpy()
-    classes = np.append(cluster_keys(near), END)
-    by_key = counts.groupBy("key").agg(F.sum("count").alias("tokens"), F.count("*").alias("types")).toArrow()  # KEYS + 1 rows at most
+    parts = read.select("text").mapInArrow(_count, "kind int, word long, count long")
+    sums = stored(parts.groupBy("kind", "word").agg(F.sum("count").alias("count")), "counts")
+    counts = sums.where("kind = 0").select("word", "count")
+    near = np.zeros(KEYS * NEIGHBOURS)
+    cells = sums.where("kind = 1").toArrow()  # KEYS * NEIGHBOURS rows at most
+    near[cells.column("word").to_numpy()] = cells.column("count").to_numpy()
+    classes = np.append(cluster_keys(near.reshape(KEYS, NEIGHBOURS)), END)
+    key = F.when(F.col("word") == END_CODE, KEYS).otherwise(F.col("word").bitwiseAND(F.lit(KEYS - 1).cast("long"))).cast("int")
+    by_key = counts.groupBy(key.alias("key")).agg(F.sum("count").alias("tokens"), F.count("*").alias("types")).toArrow()  # KEYS + 1 rows at most
     of = classes[by_key.column("key").to_numpy()]
     class_tokens = np.bincount(of, by_key.column("tokens").to_numpy(), CLASSES)
     class_types = np.bincount(of, by_key.column("types").to_numpy(), CLASSES)
-    frequent = counts.orderBy(F.desc("count"), "word").limit(KNOWN_LIMIT).select("word", "count").toArrow()
-    words, times = frequent.column("word").to_numpy(), frequent.column("count").to_numpy()
-    order = np.argsort(words.view(np.uint64))
+    frequent = counts.where(F.col("word") != END_CODE).orderBy(F.desc("count"), "word").limit(KNOWN_LIMIT).toArrow()
+    words, times = (frequent.column(c).to_numpy()[::-1] for c in ("word", "count"))
+    known, known_times = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.int64)
+    codes = np.ascontiguousarray(words).view(np.uint64)
+    known[place_of(codes)], known_times[place_of(codes)] = codes, times  # the last to come, the most frequent, stays
 
     weights, squares = np.zeros((ROWS, CLASSES), np.float32), np.full((ROWS, CLASSES), 1e-6, np.float32)
     share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(ROUNDS))
@@ -244,10 +252,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
             at = slice(row["block"] * ROWS // 64, (row["block"] + 1) * ROWS // 64)
             weights[at] += np.frombuffer(row["change"], np.float32).reshape(-1, CLASSES)
             squares[at] += np.frombuffer(row["squared"], np.float32).reshape(-1, CLASSES)
-    return Model(weights, classes, counts, (words[order].view(np.uint64), times[order]), int(class_tokens.sum()), int(class_types.sum()), class_tokens, class_types)
+    return Model(weights, classes, counts, (known, known_times), int(class_tokens.sum()), int(class_types.sum()), class_tokens, class_types)
 
 
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, log_context double, rare array<struct<word:long,times:long>>"
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, log_context double, rare array<long>"
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,55 +264,49 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Tokens are words between ASCII white space (A-Z in lower case) and one end of text.
     ``base_score`` is the log10 probability under smoothed unigram counts, ``score`` that
     of the model.  Null and empty texts are an end alone; a null id is held out; repeated
-    rows are scored each.
+    rows are scored each; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    norm = np.log10(model.class_tokens + 0.5 * (model.class_types + 1))
     known, times = model.known
-    with np.errstate(divide="ignore"):
-        norm = np.log10(model.class_tokens + 0.5 * (model.class_types + 1))
-    shared = spark.sparkContext.broadcast((model.weights, model.classes, np.append(known, np.uint64(2**64 - 1)), np.append(times, 0), norm))
+    shared = spark.sparkContext.broadcast((model.weights, model.classes, known, np.log10(times + 0.5), norm))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, classes, known, times, norm = shared.value
-        coder = Coder()
-        for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                for piece, (hashes, keys, lengths) in _scored_pieces(part, coder):
-                    rows, at = contexts(hashes, classes[keys], lengths)
-                    total = log_softmax(weights, rows)[np.arange(len(at)), at] / np.log(10) - norm[at]
-                    context = np.add.reduceat(total, np.cumsum(lengths + 1) - lengths - 1)
-                    place = np.searchsorted(known[:-1], hashes)
-                    found = known[place] == hashes
-                    owner = np.repeat(np.arange(len(lengths)), lengths)
-                    logs = np.bincount(owner[found], np.log10(times[place[found]] + 0.5), len(lengths))
-                    n_known = np.bincount(owner[found], minlength=len(lengths))
-                    other, n_other = np.unique(np.stack([owner[~found].astype(np.uint64), hashes[~found]]), axis=1, return_counts=True) if (~found).any() else (np.empty((2, 0), np.uint64), np.empty(0, np.int64))
-                    ends = np.searchsorted(other[0], np.arange(len(lengths) + 1, dtype=np.uint64))
-                    rare = pa.StructArray.from_arrays([pa.array(other[1].view(np.int64)), pa.array(n_other.astype(np.int64))], ["word", "times"])
-                    yield pa.RecordBatch.from_arrays(
-                        [piece.column("row"), piece.column("doc_id"), piece.column("held_out"), pa.array(lengths + 1), pa.array(n_known), pa.array(logs), pa.array(context.astype(np.float64)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), rare)],
-                        ["row", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_context", "rare"],
-                    )
-
-    def _scored_pieces(part: pa.RecordBatch, coder: Coder):
-        """Rows of a part, by about as many words as one step takes."""
+    def pieces(batch: pa.RecordBatch, coder: Coder) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+        """Rows of a batch with their codes, about as many words as one step takes."""
         coded, first, held = [], 0, 0
-        for i, text in enumerate(part.column("text")):
+        for i, text in enumerate(batch.column("text")):
             coded.append(coder.encode(text.as_py()))
-            held += len(coded[-1][0])
-            if held >= 1 << 17 or i == part.num_rows - 1:
-                yield part.slice(first, i + 1 - first), (np.concatenate([h for h, _ in coded]), np.concatenate([k for _, k in coded]), np.array([len(h) for h, _ in coded]))
+            held += len(coded[-1])
+            if held >= STEP_TOKENS or i == batch.num_rows - 1:
+                yield batch.slice(first, i + 1 - first), np.concatenate(coded), np.array([len(c) for c in coded])
                 coded, first, held = [], i + 1, 0
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, classes, known, logs_of, norm = shared.value
+        coder = Coder()
+        for batch in batches:
+            for part, codes, lengths in pieces(batch, coder):
+                rows, at = contexts(codes, classes[key_of(codes)], lengths)
+                total = log_softmax(weights, rows)[np.arange(len(at)), at].astype(np.float64) / np.log(10) - norm[at]
+                context = np.add.reduceat(total, np.cumsum(lengths + 1) - lengths - 1)
+                place = place_of(codes)
+                found = known[place] == codes
+                owner = np.repeat(np.arange(len(lengths)), lengths)
+                logs = np.bincount(owner[found], logs_of[place[found]], len(lengths))
+                n_known = np.bincount(owner[found], minlength=len(lengths))
+                ends = np.append(0, np.cumsum(lengths - n_known)).astype(np.int32)
+                rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(codes[~found].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(lengths + 1), pa.array(n_known), pa.array(logs), pa.array(context), rare],
+                    ["row", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_context", "rare"],
+                )
+
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
+    # Stored, so that the numbers of the rows stay as they are.
     scored = stored(read.mapInArrow(run, SCORED), "scored")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.times").alias("times"))
-    counted = rare.join(model.counts.select("word", "count"), "word", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("rare_logs"),
-        F.sum(F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
-    )
-    end = model.counts.where(F.col("word") == END_HASH).agg(F.sum("count")).head()[0] or 0
+    rare = scored.select("row", F.explode("rare").alias("word")).join(model.counts, "word", "left")
+    counted = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("rare_logs"), F.count("count").alias("rare_known"))
+    end = model.counts.where(F.col("word") == END_CODE).agg(F.sum("count")).head()[0] or 0
     logs = F.col("log_counts") + F.coalesce("rare_logs", F.lit(0.0)) + float(np.log10(end + 0.5))
     whole = float(np.log10(model.n_tokens + 0.5 * (model.n_types + 1)))
     return scored.join(counted, "row", "left").select(
