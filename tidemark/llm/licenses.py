@@ -22,6 +22,8 @@ from tidemark.llm.common import WordHashes
 
 #: Words of a shingle, bands of one MinHash each, least words of a window step.
 WORDS, BANDS, LEAST_STEP = 3, 64, 8
+#: Words that are scanned at once, about.
+SCAN_WORDS = 1 << 17
 #: Share of a template's shingles that a window must hold.
 CONTAINMENT = 0.8
 
@@ -84,9 +86,16 @@ def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
     return _mixed(sum(h[i : i + last] * np.uint64(2 * i + 3) for i in range(WORDS)) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+_LAST = np.uint32(2**32 - 1)
+
+
 def _band(tokens: np.ndarray, band: int) -> np.ndarray:
-    """The order of tokens in a band, as numbers to take the smallest of."""
-    return ((tokens ^ np.uint64((0x165667B19E3779F9 * (2 * band + 1)) % 2**64)) * np.uint64((0x85EBCA77C2B2AE63 * (2 * band + 1)) % 2**64 | 1)) >> np.uint64(32)
+    """The order of tokens (32 bits of them) in a band, as numbers to take the smallest of."""
+    return (tokens ^ np.uint32(0x165667B1 * (2 * band + 1) % 2**32)) * np.uint32(0x85EBCA77 * (2 * band + 1) % 2**32 | 1)
+
+
+def _short(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(32)).astype(np.uint32)
 
 
 class Templates:
@@ -95,7 +104,8 @@ class Templates:
     def __init__(self, templates: Mapping[str, tuple[str, ...]]):
         hashes = WordHashes()
         self.sets: list[tuple[str, int, np.ndarray]] = []
-        self.by_step: dict[int, list[int]] = {}
+        #: Of each step and band, the MinHashes and the templates that they retrieve.
+        self.bands: dict[int, list[list[tuple[np.uint32, int]]]] = {}
         for name, texts in templates.items():
             for number, text in enumerate(texts):
                 words = license_words(text)
@@ -104,46 +114,50 @@ class Templates:
                     step = LEAST_STEP
                     while step < len(words):
                         step *= 2
-                    self.by_step.setdefault(step, []).append(len(self.sets))
+                    bands = self.bands.setdefault(step, [[] for _ in range(BANDS)])
+                    for band, members in enumerate(bands):
+                        members.append((_band(_short(tokens), band).min(), len(self.sets)))
                     self.sets.append((name, number, tokens))
-        # Sorted MinHashes of all templates of a step, by band, with the templates they retrieve.
-        self.bands: dict[int, list[tuple[np.ndarray, list[list[int]]]]] = {}
-        for step, members in self.by_step.items():
-            for band in range(BANDS):
-                mins = np.array([_band(self.sets[t][2], band).min() for t in members])
-                values = np.unique(mins)
-                self.bands.setdefault(step, []).append((values, [[members[i] for i in np.flatnonzero(mins == v)] for v in values]))
-
-    def scan(self, words: list[bytes], hashes: WordHashes) -> list[tuple[str, int, int, float]]:
-        """(license, template, first word of the window, containment) of all that verify, each template where it fits best."""
-        tokens = shingles(words, hashes)
-        best: dict[int, tuple[float, int]] = {}
-        if not len(tokens):
-            return []
-        candidates: dict[int, set[tuple[int, int]]] = {step: set() for step in self.bands}
-        last_step = max(self.bands)
+
+    def scan(self, texts: list[list[bytes]], hashes: WordHashes) -> Iterator[tuple[int, str, int, int, float]]:
+        """(text, license, template, first word of the window, containment) of all that verify, each template where it fits best.
+
+        Texts stand one after the other, each filled up to a whole number of the longest
+        step, so windows start at the same words whatever texts are scanned together.
+        """
+        unit = max(self.bands)
+        found = [shingles(words, hashes) for words in texts]
+        sizes = np.array([len(x) for x in found])
+        starts = np.append(0, np.cumsum(-(-sizes // unit) * unit))
+        if not starts[-1]:
+            return
+        tokens, filled = np.zeros(starts[-1], np.uint64), np.zeros(starts[-1], bool)
+        for x, start in zip(found, starts, strict=False):
+            tokens[start : start + len(x)] = x
+            filled[start : start + len(x)] = True
+        empty, short = np.flatnonzero(~filled), _short(tokens)
+        candidates: set[tuple[int, int, int]] = set()
         for band in range(BANDS):
-            mins, step = _band(tokens, band), LEAST_STEP
-            mins = np.minimum.reduceat(mins, np.arange(0, len(mins), step))
+            mins, step = _band(short, band), 1
+            mins[empty] = _LAST
             while True:
                 if step in self.bands:
-                    values, members = self.bands[step][band]
-                    windows = np.minimum(mins, np.append(mins[1:], mins[-1]))
-                    place = np.minimum(np.searchsorted(values, windows), len(values) - 1)
-                    for w in np.flatnonzero(values[place] == windows):
-                        candidates[step].update((int(w), t) for t in members[place[w]])
-                if step >= last_step:
+                    windows = np.minimum(mins, np.append(mins[1:], _LAST))
+                    for value, template in self.bands[step][band]:
+                        candidates.update((template, step, int(w)) for w in np.flatnonzero(windows == value))
+                if step == unit:
                     break
-                step *= 2
-                mins = np.minimum.reduceat(mins, np.arange(0, len(mins), 2))
-        for step, pairs in candidates.items():
-            for window, template in pairs:
-                start = window * step
-                wanted = self.sets[template][2]
-                share = np.isin(wanted, tokens[start : start + 2 * step]).mean()
-                if share >= CONTAINMENT and (share, -start) > best.get(template, (0.0, 0)):
-                    best[template] = (float(share), -start)
-        return [(*self.sets[t][:2], -start, share) for t, (share, start) in sorted(best.items())]
+                mins, step = np.minimum(mins[0::2], mins[1::2]), 2 * step
+        best: dict[tuple[int, int], tuple[float, int]] = {}
+        for template, step, window in candidates:
+            text = int(np.searchsorted(starts, window * step, side="right")) - 1
+            first = window * step - int(starts[text])
+            wanted = self.sets[template][2]
+            share = float(np.isin(wanted, found[text][first : first + 2 * step]).mean())
+            if share >= CONTAINMENT and (share, -first) > best.get((text, template), (0.0, 0)):
+                best[text, template] = (share, -first)
+        for (text, template), (share, first) in sorted(best.items()):
+            yield text, *self.sets[template][:2], -first, share
 
 
 def license_scan(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,11 +176,24 @@ def license_scan(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            rows = [(doc_id.as_py(), *found) for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True) for found in shared.value.scan(license_words(text.as_py()), hashes)]
+        types = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64())
+
+        def scanned(ids: list, texts: list) -> pa.RecordBatch:
+            rows = [(ids[i], *rest) for i, *rest in shared.value.scan(texts, hashes)]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
-            types = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "license", "template", "first_word", "containment"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "license", "template", "first_word", "containment"])
+
+        for batch in batches:
+            ids, texts, held = [], [], 0
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                ids.append(doc_id)
+                texts.append(license_words(text.as_py()))
+                held += len(texts[-1])
+                if held >= SCAN_WORDS:
+                    yield scanned(ids, texts)
+                    ids, texts, held = [], [], 0
+            if ids:
+                yield scanned(ids, texts)
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return read.mapInArrow(run, "doc_id long, license string, template int, first_word long, containment double")
