@@ -28,10 +28,10 @@ from tidemark.llm.common import WordHashes, stored, words_of
 #: hashed neighbours that describe a key.
 ROWS, CLASSES, KEYS, NEIGHBOURS = 1 << 16, 16, 1 << 12, 64
 END = CLASSES - 1
-#: Feature templates of a context: last word, skipped word, both, last class, a constant.
-TEMPLATES = 5
+#: Blocks of weight rows in which changes are put together.
+BLOCKS = 64
 #: Tokens of a gradient step, rounds over shares of the training texts.
-STEP_TOKENS, ROUNDS, RATE = 1 << 15, 3, 0.3
+STEP_TOKENS, ROUNDS, RATE = 1 << 15, 2, 0.3
 #: Words whose counts travel to the tasks, in a table of so many places; a word whose
 #: place a more frequent one has, and all others, are joined to their counts.
 KNOWN_LIMIT, PLACES = 1 << 18, 1 << 20
@@ -45,6 +45,9 @@ class Coder(WordHashes):
     """Codes of words, remembered up to a limit: 52 bits of the word's hash above the 12
     bits of its key, which hashes its last three bytes."""
 
+    def __init__(self):
+        super().__init__(limit=1 << 20)
+
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
@@ -149,7 +152,6 @@ def contexts(codes: np.ndarray, classes: np.ndarray, lengths: np.ndarray) -> tup
         ((two + np.uint64(1)) * _MIX[1]) >> top,
         ((one * _MIX[2]) ^ (two * _MIX[3])) * _MIX[0] >> top,
         (before + 7) * 31,
-        np.ones(n, np.int64),
     ]
     return [r.astype(np.uint16) for r in rows], c[2:]
 
@@ -182,22 +184,22 @@ def _train_round(classes: np.ndarray, weights, squares):
                 w[used] -= RATE * step / np.sqrt(g[used])
             seen += len(at)
         if seen:
-            for block, (dw, dg) in enumerate(zip(np.split(w - weights.value, 64), np.split(g - squares.value, 64), strict=True)):
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "seen": [seen], "change": [dw.tobytes()], "squared": [dg.tobytes()]})
+            # Half precision is enough for changes that are averaged; rows without any stay here.
+            changes = np.stack([w - weights.value, np.sqrt(g) - np.sqrt(squares.value)], axis=1).astype(np.float16)
+            for block, part in enumerate(np.split(changes, BLOCKS)):
+                used = np.flatnonzero(part.any((1, 2))).astype(np.uint16)
+                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "seen": [seen], "used": [used.tobytes()], "change": [part[used].tobytes()]})
 
     return run
 
 
 def _averaged(table: pa.Table) -> pa.Table:
-    """Changes of a block of rows, averaged over the tasks by their tokens, one at a time."""
+    """Changes of a block of rows, averaged over the tasks by their tokens."""
     seen = np.array(table.column("seen").to_pylist(), np.float64)
-    out = {}
-    for name in ("change", "squared"):
-        total = 0.0
-        for part, weight in zip(table.column(name), seen / seen.sum(), strict=True):
-            total = total + weight * np.frombuffer(part.as_buffer(), np.float32)
-        out[name] = [np.asarray(total, np.float32).tobytes()]
-    return pa.table({"block": table.column("block").slice(0, 1), **out})
+    total = np.zeros((ROWS // BLOCKS, 2, CLASSES), np.float64)
+    for used, part, weight in zip(table.column("used"), table.column("change"), seen / seen.sum(), strict=True):
+        total[np.frombuffer(used.as_buffer(), np.uint16)] += weight * np.frombuffer(part.as_buffer(), np.float16).reshape(-1, 2, CLASSES)
+    return pa.table({"block": table.column("block").slice(0, 1), "change": [total.astype(np.float32).tobytes()]})
 
 
 @dataclass
@@ -247,11 +249,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
     share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(ROUNDS))
     for part in range(ROUNDS):
         sent = [spark.sparkContext.broadcast(x) for x in (weights, squares)]
-        changes = read.where(share == part).select("text").mapInArrow(_train_round(classes, *sent), "block int, seen long, change binary, squared binary")
-        for row in changes.groupBy("block").applyInArrow(_averaged, "block int, change binary, squared binary").collect():  # as large as the model
-            at = slice(row["block"] * ROWS // 64, (row["block"] + 1) * ROWS // 64)
-            weights[at] += np.frombuffer(row["change"], np.float32).reshape(-1, CLASSES)
-            squares[at] += np.frombuffer(row["squared"], np.float32).reshape(-1, CLASSES)
+        changes = read.where(share == part).select("text").mapInArrow(_train_round(classes, *sent), "block int, seen long, used binary, change binary")
+        for row in changes.groupBy("block").applyInArrow(_averaged, "block int, change binary").collect():  # as large as the model
+            at = slice(row["block"] * ROWS // BLOCKS, (row["block"] + 1) * ROWS // BLOCKS)
+            change = np.frombuffer(row["change"], np.float32).reshape(-1, 2, CLASSES)
+            weights[at] += change[:, 0]
+            squares[at] = (np.sqrt(squares[at]) + change[:, 1]) ** 2
     return Model(weights, classes, counts, (known, known_times), int(class_tokens.sum()), int(class_types.sum()), class_tokens, class_types)
 
 
