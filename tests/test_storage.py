@@ -41,15 +41,14 @@ def test_mutations_rewrite_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "table")
     df = spark.range(40).select("id", F.concat(F.lit("m"), F.col("id") % 4).alias("add_month"))
     df.write.partitionBy("add_month").parquet(path)
-    untouched = sorted(os.listdir(f"{path}/add_month=m3"))
-    assert mutable.delete_from(spark, path, F.col("add_month") == "m0") == 1
+    whole = len(os.listdir(f"{path}/add_month=m0"))
+    assert 2 * mutable.delete_from(spark, path, F.col("add_month") == "m0") == whole  # each file has a checksum file
     assert mutable.delete_from(spark, path, F.col("id") == 1) == 1
     assert mutable.update_table(spark, path, F.col("id") == 2, {"id": "id + 100"}) == 1
     assert mutable.delete_from(spark, path, F.col("id") == 12345) == 0
-    rows = {r.id for r in spark.read.parquet(path).collect()}
+    rows = {r.id for r in mutable.read_table(spark, path).collect()}
     assert rows == {i for i in range(40) if i % 4 and i != 1 and i != 2} | {102}
-    assert sorted(os.listdir(f"{path}/add_month=m3")) == untouched
-    assert "add_month=m0" not in os.listdir(path)
+    assert len(mutable.changes_of(spark, path)) == 3
     with pytest.raises(ValueError):
         mutable.update_table(spark, path, F.lit(True), {"add_month": "'x'"})
 
@@ -61,9 +60,13 @@ def test_keyed_table_keeps_the_newest_row(spark, tmp_path):
     for batch, df in ((0, first), (1, second), (1, second)):
         keyed.upsert(df, path, batch, ["k"], ["o"])
     assert sorted(tuple(r) for r in keyed.read_latest(spark, path, ["k"]).collect()) == [("a", 0, "new"), ("b", 1, "z")]
-    folded = str(tmp_path / "folded")
-    keyed.compact(spark, path, folded, ["k"], 1)
-    assert spark.read.parquet(folded).count() == 2
+    third = spark.createDataFrame([("b", 5, "later")], "k string, o int, v string")
+    keyed.upsert(third, path, 2, ["k"], ["o"])
+    keyed.compact(spark, path, ["k"], 1)
+    assert sorted(tuple(r) for r in keyed.read_latest(spark, path, ["k"], 1).collect()) == [("a", 0, "new"), ("b", 1, "z")]
+    assert sorted(tuple(r) for r in keyed.read_latest(spark, path, ["k"]).collect()) == [("a", 0, "new"), ("b", 5, "later")]
+    plan = keyed.read_latest(spark, path, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "(batch_id#" in plan and "> 1)" in plan  # folded batches are pruned
 
 
 def test_text_and_print(spark, tmp_path, capsys):
@@ -110,3 +113,58 @@ def test_working_area_is_the_configured_one(spark):
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert session.new_path(spark, "x").startswith(base.rstrip("/"))
     assert session.new_path(spark, "x") != session.new_path(spark, "x")
+
+
+def test_mutations_reach_every_partition(spark, tmp_path):
+    """NULL partitions, and names that a path must escape."""
+    path = str(tmp_path / "odd")
+    rows = [(i, m) for i, m in enumerate([None, "a/b", "x:y", "p=q", " ", "%"] * 3)]
+    spark.createDataFrame(rows, "id long, add_month string").write.partitionBy("add_month").parquet(path)
+    for i in (0, 1, 2, 3):
+        assert mutable.delete_from(spark, path, F.col("id") == i) == 1
+    mutable.delete_from(spark, path, F.col("add_month").isin("a/b", "x:y") | F.col("add_month").isNull())
+    mutable.update_table(spark, path, F.col("add_month") == "p=q", {"id": "id + 100"})
+    got = {(r.id, r.add_month) for r in mutable.read_table(spark, path).collect()}
+    assert got == {(i + 100 * (m == "p=q"), m) for i, m in rows if m in ("p=q", " ", "%") and i > 3}
+    mutable.delete_from(spark, path, F.lit(True))
+    assert mutable.read_table(spark, path).count() == 0
+
+
+def test_a_streamed_table_takes_changes_and_more_batches(spark, tmp_path):
+    path = str(tmp_path / "streamed")
+    rows = spark.range(10).select(F.col("id").alias("n"), F.lit(1).alias("plat"), F.col("id").alias("req_time"), F.lit(1).alias("agent_type"))
+    for batch in (0, 1):
+        files.write_stamped(rows, path, batch)
+    mutable.delete_from(spark, path, F.col("n") == 3)
+    mutable.update_table(spark, path, F.col("n") == 4, {"req_time": "req_time * 2 + 1"})
+    files.write_stamped(rows, path, 2)
+    got = sorted((r.n, r.req_time) for r in mutable.read_table(spark, path).collect())
+    assert got == sorted([(n, n) for n in range(10)] + 2 * [(n, 9 if n == 4 else n) for n in range(10) if n != 3])
+
+
+def test_a_change_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    spark.range(40).select("id", (F.col("id") % 2).alias("add_month")).write.partitionBy("add_month").parquet(path)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(mutable, "_publish", fail)
+        with pytest.raises(OSError):
+            mutable.update_table(spark, path, F.col("id") < 5, {"id": "id * 2 + 100"}, change_id="once")
+    assert sorted(r.id for r in mutable.read_table(spark, path).collect()) == list(range(40))
+    for _ in range(3):  # tries after the first that took effect do nothing
+        mutable.update_table(spark, path, F.col("id") < 5, {"id": "id * 2 + 100"}, change_id="once")
+    assert sorted(r.id for r in mutable.read_table(spark, path).collect()) == [*range(5, 40), 100, 102, 104, 106, 108]
+
+
+def test_changed_files_keep_the_storage_order(spark, sf, tmp_path):
+    path = str(tmp_path / "facts")
+    files.write_fact_table(details(spark, sf), path)
+    mutable.update_table(spark, path, F.col("plat") == 1, {"req_time": "req_time - interval 5 days"})
+    data = mutable.changes_of(spark, path)[0]["data"]
+    order = ("plat", "req_time", "agent_type")
+    for f in spark.read.parquet(data).inputFiles():
+        keys = [tuple(r) for r in spark.read.parquet(f).select(*order).collect()]
+        assert keys == sorted(keys)

@@ -1,6 +1,7 @@
 """Streams equal their batch forms, resume from their checkpoint, and jobs are checked."""
 
 import json
+import time
 from dataclasses import replace
 
 import pytest
@@ -76,6 +77,7 @@ def test_message_job_resumes_and_stores_once(spark, tmp_path):
 
     spec = jobs.JobSpec(
         name="messages-test", topic=str(source), operator=lambda df: decode.decode_normal(decode.decode_envelopes(df), ["a"]),
+        source_options={"files_per_trigger": 1},
         sink="parquet", sink_options={"path": out}, checkpoint=str(tmp_path / "checkpoint"), until_drained=True,
     )
     put("1.txt", {"topic": "a", "data": list(range(15))}, {"topic": "b", "data": [1]})
@@ -136,3 +138,57 @@ def test_stream_dwell_equals_batch_on_ordered_input(spark, tmp_path):
     columns = ["event_id", "website", "sign", "view_time", "slot"]
     got = spark.read.parquet(spec.sink_options["path"]).select(*columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, dwell.dwell_rows(df).select(*columns).collect()))
+
+
+def test_a_restart_without_a_checkpoint_of_its_own_keeps_stored_rows(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    spec = jobs.JobSpec(name="again", topic=str(source), operator=lambda df: df, sink="parquet", sink_options={"path": out}, until_drained=True)
+    for word in ("one", "two"):
+        (source / f"{word}.txt").write_text(word)
+        jobs.drain(jobs.start_job(spark, spec))
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == ["one", "two"]
+
+
+def test_a_backlog_drains_without_pauses(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for i in range(6):
+        (source / f"{i}.txt").write_text(str(i))
+    spec = jobs.JobSpec(name="backlog", topic=str(source), operator=lambda df: df, source_options={"files_per_trigger": 1}, sink="text", sink_options={"path": out}, poll_seconds=60)
+    began = time.time()
+    query = jobs.start_job(spark, spec)
+    try:
+        while sum(p["numInputRows"] for p in query.recentProgress) < 6 and time.time() - began < 50:
+            time.sleep(0.2)
+        assert len([p for p in query.recentProgress if p["numInputRows"]]) == 6
+    finally:
+        query.stop()
+    assert sorted(r.value for r in spark.read.text(out).collect()) == list("012345")
+
+
+def test_dwell_state_keeps_null_keys_apart(spark, tmp_path):
+    spec = dwell_job(tmp_path)
+    rows = [(i, BASE + 10 * i, "u", None if i % 2 else 1, 1, "AB"[i // 2 % 2], "ip", "", 0) for i in range(12)]
+    df = spark.createDataFrame(rows, TRAFFIC)
+    for step in range(2):
+        write_json(df.filter(F.floor(F.col("event_id") / 6) == step), str(tmp_path / "in"), step)
+        jobs.drain(jobs.start_job(spark, spec))
+    columns = ["event_id", "plat", "website", "sign", "view_time"]
+    got = spark.read.parquet(spec.sink_options["path"]).select(*columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, dwell.dwell_rows(df).select(*columns).collect()))
+    assert got.filter("plat IS NULL").count() == 5
+
+
+def test_first_seen_comes_from_the_first_batch_that_has_it(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    schema = "k string, visit_id string, event_id long, ts timestamp"
+    spec = jobs.JobSpec(
+        name="first", topic=f"{source}/step-*", source="json", source_options={"schema": schema},
+        operator=lambda df: state.first_seen_stream(df, ["k"]), sink="parquet", sink_options={"path": out}, until_drained=True,
+    )
+    for step, rows in enumerate([[(5, 900), (9, 100)], [(1, 50), (2, 60)]]):
+        df = spark.createDataFrame([("a", "u", i, t) for i, t in rows], "k string, visit_id string, event_id long, t long")
+        write_json(df.select("k", "visit_id", "event_id", F.timestamp_seconds("t").alias("ts")).coalesce(1), str(source), step)
+        jobs.drain(jobs.start_job(spark, spec))
+    assert [r.event_id for r in spark.read.parquet(out).collect()] == [9]

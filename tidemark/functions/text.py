@@ -10,7 +10,7 @@ WHITESPACE = r"[\p{Z}\t-\r\x1C-\x1F\x85]+"
 
 # Schemes whose last path segment may carry ``;params``.
 SCHEMES_WITH_PARAMS = [
-    "", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtspu",
+    "", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu",
     "sip", "sips", "mms", "sftp", "tel",
 ]
 

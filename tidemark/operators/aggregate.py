@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,28 +45,23 @@ def running_sum(
     a hot key is spread, the result does not depend on it.
     """
     value = F.lit(1).cast("bigint") if value is None else value
-    keys = list(keys)
-    rows = df.withColumns({"_block": block, "_value": value})
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # A struct is never NULL, and equal to another with the same NULLs in it: so plain
+    # equality serves, and one exchange by key and block serves sums, window and join.
+    rows = df.withColumns({"_key": F.struct(*keys), "_block": block, "_value": value}).repartition("_key", "_block")
+    before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        rows.groupBy(*keys, "_block")
+        rows.groupBy("_key", "_block")
         .agg(F.sum("_value").alias("_sum"))
         .withColumn("_carry", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
         .drop("_sum")
     )
     inside = (
-        Window.partitionBy(*keys, "_block")
+        Window.partitionBy("_key", "_block")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     numbered = rows.withColumn("_inside", F.sum("_value").over(inside))
-    # Null-safe, since NULL is a key like any other here.
-    at = [*keys, "_block"]
-    carried = carried.select("_carry", *[F.col(c).alias(f"_c{i}") for i, c in enumerate(at)])
-    same = reduce(
-        operator.and_, [numbered[c].eqNullSafe(carried[f"_c{i}"]) for i, c in enumerate(at)]
-    )
-    return numbered.join(carried, same).select(
+    return numbered.join(carried, ["_key", "_block"]).select(
         *df.columns, (F.col("_carry") + F.col("_inside")).alias(name)
     )
 

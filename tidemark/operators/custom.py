@@ -1,7 +1,8 @@
 """User code in Python, for what column expressions cannot say.
 
-Functions get and give plain row tuples. They run inside the tasks on Arrow batches;
-prefer built-in functions wherever there is one.
+Functions get and give plain row tuples, with the values as they are: whole integers,
+None for NULL, dicts for structs. They run inside the tasks on Arrow batches; prefer
+built-in functions wherever there is one.
 """
 
 from __future__ import annotations
@@ -9,34 +10,38 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 FlatMap = Callable[..., Iterable[tuple]]
 
 
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
+def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple]:
+    return zip(*(column.to_pylist() for column in batch.columns))
 
 
-def _rows(batch: pd.DataFrame) -> Iterator[tuple]:
-    return zip(*(batch[c].tolist() for c in batch.columns))
+def _batch(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(schema)], schema=schema
+    )
 
 
-def flat_map_rows(df: DataFrame, fn: FlatMap, schema: str) -> DataFrame:
+def flat_map_rows(df: DataFrame, fn: FlatMap, schema: str | StructType) -> DataFrame:
     """UDF-2: ``fn(*row)`` gives any number of output rows."""
-    names = _names(schema)
+    made = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(made)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [made for row in _rows(batch) for made in fn(*row)]
-            yield pd.DataFrame(out, columns=names)
+            yield _batch([out for row in _rows(batch) for out in fn(*row)], arrow)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, made)
 
 
-def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str | StructType) -> DataFrame:
     """UDF-1: ``fn(*row)`` gives one output row."""
     return flat_map_rows(df, lambda *row: (fn(*row),), schema)
 
@@ -51,23 +56,26 @@ def reduce_rows(
     side by side, and only their results meet in one task.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-
-    def squeeze(batch: pd.DataFrame) -> pd.DataFrame:
-        out = [
-            (*key, *reduce(fn, _rows(group[rest])))
-            for key, group in batch.groupby(keys, dropna=False, sort=False)
-        ]
-        return pd.DataFrame(out, columns=[*keys, *rest])
-
-    def squeeze_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [*keys, *(c for c in df.columns if c not in keys)]
+    ordered = df.select(*columns)
+    schema, n = ordered.schema, len(keys)
+    arrow = to_arrow_schema(schema)
+
+    def squeeze(batch: pa.RecordBatch | pa.Table) -> pa.RecordBatch:
+        groups: dict[tuple, list[tuple]] = {}
+        for row in _rows(batch):
+            groups.setdefault(row[:n], []).append(row[n:])
+        return _batch([(*key, *reduce(fn, rows)) for key, rows in groups.items()], arrow)
+
+    def squeeze_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield squeeze(batch)
 
-    schema = df.select(*keys, *rest).schema
-    parts = df.select(*keys, *rest).mapInPandas(squeeze_batches, schema)
+    def squeeze_table(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([squeeze(table.select(columns))])
+
+    parts = ordered.mapInArrow(squeeze_batches, schema)
     # All that one task has of a key goes to one part. So a task that is run again after
     # a loss, and cuts its batches differently, still gives each part the same total.
     shared = parts.withColumn("_part", F.spark_partition_id() % spread).groupBy(*keys, "_part")
-    merged = shared.applyInPandas(lambda pdf: squeeze(pdf[[*keys, *rest]]), schema)
-    return merged.groupBy(*keys).applyInPandas(squeeze, schema)
+    return shared.applyInArrow(squeeze_table, schema).groupBy(*keys).applyInArrow(squeeze_table, schema)

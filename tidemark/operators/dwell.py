@@ -4,10 +4,11 @@ A visit's state lives for one half-hour slot. Each event that comes later than t
 one before it credits the time between them to the page that was open, under the
 ``sign`` of that page's view: the time at which the view was opened.
 
-In a second only two events of a page can matter: its first may trigger the increment,
-its last may decide which page is open afterwards. The others are merged away, on the
-map side where possible, so what is left of a visit in a slot is bounded by the seconds
-of the slot and the pages of the site, however many events the visit has.
+Of a second only three things matter: its first event, which triggers the increment, the
+page of its last, which is open afterwards, and whether it holds several pages, because
+one was opened then. So a second becomes one row, on the map side where possible, and a
+visit in a slot has no more rows than the slot has seconds, however many events, pages
+and channels it has.
 """
 
 from __future__ import annotations
@@ -30,34 +31,38 @@ def with_slot(df: DataFrame, width: int = 1800, req_time: str = "req_time") -> D
     return df.withColumn("slot", slot_start(req_time, width))
 
 
-def _ends_of_seconds(df: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
-    """The first and last event of each visit, second and page (and channel)."""
-    merged = (
+def _seconds(df: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
+    """Each second of a visit: its first event, its last page, and whether it has several."""
+    named = F.count("website")
+    several = (F.min("website") != F.max("website")) | ((named > 0) & (named < F.count("*")))
+    return (
         with_slot(df, width)
-        .groupBy(*keys, "slot", "req_time", "website", "channel")
-        .agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
-    )
-    ends = F.when(F.col("first_id") == F.col("last_id"), F.array("first_id")).otherwise(
-        F.array("first_id", "last_id")
+        .groupBy(*keys, "slot", "req_time")
+        .agg(
+            F.min(F.struct("event_id", "channel", "website")).alias("first"),
+            F.max(F.struct("event_id", "website")).alias("last"),
+            F.coalesce(several, F.lit(False)).alias("several"),
+        )
     )
-    return merged.withColumn("event_id", F.explode(ends)).drop("first_id", "last_id")
 
 
 def _with_views(df: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
-    """Add to each event the page, sign and time that were current before it."""
-    visit = Window.partitionBy(*keys, "slot").orderBy("req_time", "event_id")
+    """Add to each second the page, sign and time that were current before it."""
+    visit = Window.partitionBy(*keys, "slot").orderBy("req_time")
     earlier = visit.rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.col("time_before").isNull() | ~F.col("page_before").eqNullSafe(F.col("website"))
+    changed = ~F.col("page_before").eqNullSafe(F.col("first.website"))
+    opened = F.col("time_before").isNull() | F.col("several") | changed
     return (
-        _ends_of_seconds(df, width, keys)
+        _seconds(df, width, keys)
         .withColumns(
             {
-                "page_before": F.lag("website").over(visit),
+                "page_before": F.lag("last.website").over(visit),
                 "time_before": F.lag("req_time").over(visit),
             }
         )
         .withColumn("opened", F.when(opened, F.col("req_time")))
         .withColumn("sign_before", F.max("opened").over(earlier))
+        .withColumns({"event_id": F.col("first.event_id"), "channel": F.col("first.channel")})
     )
 
 

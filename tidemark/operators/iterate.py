@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
-from tidemark.operators.routing import split_in_two
 from tidemark.session import new_path
 
+#: Steps of the longest round.
+LONGEST_ROUND = 1024
+
 Step = Callable[[Column], dict[str, Column]]
 
 
@@ -20,14 +23,16 @@ def iterate(
     step: Step,
     again: Callable[[Column], Column],
     steps_per_round: int = 32,
-    max_rounds: int = 1000,
+    max_rounds: int | None = None,
 ) -> DataFrame:
     """Apply ``step`` to each row at least once and as long as ``again`` holds.
 
     ``step`` gets the state as a struct column and returns its new fields; ``again``
-    gets the struct after a step. One round runs up to ``steps_per_round`` steps of a
-    row inside a single expression, with no shuffle. It is written to shared storage,
-    finished rows apart from the others, and the next round reads only the others.
+    gets the struct after a step. One round runs a number of steps of a row inside a
+    single expression, with no shuffle: ``steps_per_round`` at first, twice as many in
+    each later round up to 1024. It is written to shared storage, finished rows apart
+    from the others, and the next round reads only the others. There is no limit on the
+    rounds unless the caller gives one.
     """
     spark = df.sparkSession
     fields = {f: df.schema[f].dataType.simpleString() for f in state}
@@ -43,21 +48,24 @@ def iterate(
         more = F.coalesce(again(stepped.s), F.lit(False))
         return F.when(acc.more, F.struct(stepped.s.alias("s"), more.alias("more"))).otherwise(acc)
 
-    rounds = F.sequence(F.lit(1), F.lit(steps_per_round))
-    active, finished = df, []
-    for _ in range(max_rounds):
+    active, root, steps = df, new_path(spark, "iterate"), steps_per_round
+    for number in itertools.count():
+        if number == max_rounds:
+            raise RuntimeError(f"rows still iterate after {max_rounds} rounds")
+        rounds = F.sequence(F.lit(1), F.lit(steps))
         start = packed({f: F.col(f) for f in fields}, F.lit(True))
         ran = active.select(*kept, F.aggregate(rounds, start, advance).alias("_it")).select(
             *kept, "_it.s.*", F.col("_it.more").cast("int").alias("_more")
         )
-        path = new_path(spark, "iterate")
+        path = f"{root}/_round={number}"
         ran.write.partitionBy("_more").parquet(path)
-        more, done = split_in_two(spark.read.schema(ran.schema).parquet(path), F.col("_more") == 1)
-        finished.append(done.select(df.columns))
-        active = more.select(df.columns)
+        active = spark.read.schema(ran.schema).parquet(path).filter("_more = 1").select(df.columns)
         if active.isEmpty():
-            return reduce(DataFrame.unionByName, finished)
-    raise RuntimeError(f"rows still iterate after {max_rounds * steps_per_round} steps")
+            break
+        steps = max(steps_per_round, min(2 * steps, LONGEST_ROUND))
+    # All rounds are read at once, however many there were.
+    stored = StructType([*ran.schema.fields]).add("_round", IntegerType())
+    return spark.read.schema(stored).parquet(root).filter("_more = 0").select(df.columns)
 
 
 def sum_pairs(df: DataFrame, limit: int = 100) -> DataFrame:

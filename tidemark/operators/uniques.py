@@ -16,10 +16,12 @@ def first_seen(
     df: DataFrame,
     keys: Sequence[str],
     visit: str = "visit_id",
-    order: str = "event_id",
+    order: Sequence[str] = ("req_time", "event_id"),
     dedupe: bool = True,
 ) -> DataFrame:
-    """The ids that are new for their key, with the ``order`` value of their first row.
+    """The ids that are new for their key, with the last ``order`` column of their first row.
+
+    The first row is that of the earliest time, of equal times that of the smallest id.
 
     A plain minimum per (key, id): repeats are merged before the shuffle, so a busy
     key or visitor costs no more than a quiet one. With ``dedupe`` off every row is
@@ -27,8 +29,9 @@ def first_seen(
     """
     columns = [*keys, visit]
     if not dedupe:
-        return df.select(*columns, order)
-    return df.groupBy(*columns).agg(F.min(order).alias(order))
+        return df.select(*columns, order[-1])
+    first = F.min(F.struct(*order)).getField(order[-1])
+    return df.groupBy(*columns).agg(first.alias(order[-1]))
 
 
 def traffic_uv(df: DataFrame, **options) -> DataFrame:

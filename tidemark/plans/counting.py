@@ -15,9 +15,10 @@ from tidemark.sinks.files import write_text
 from tidemark.sources.files import table, text_lines
 from tidemark.sources.generate import pair_text
 
-# Rows per block of a running count: what one task holds of one key at most.
-BLOCK = 1 << 20
-DOC_BLOCK = 1 << 12
+# Event ids, and documents, per block of a running count: what one task holds of one key
+# at most is the rows of a block.
+BLOCK = 1 << 11
+DOC_BLOCK = 1 << 7
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:

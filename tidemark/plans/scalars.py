@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark import functions as fn
 from tidemark.functions.nulls import NULL_ACT_DATETIME, NULL_DATE, NULL_DATETIME
-from tidemark.functions.text import SCHEMES_WITH_PARAMS
 from tidemark.plans.base import TRAFFIC, Plan
 from tidemark.sources import clickstream as cs
 from tidemark.sources.files import table
@@ -127,7 +126,8 @@ _DAYS = "select unnest(generate_series(s, e, interval 1 day)) as d from periods
 
 _URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _PARAMS = r"^((?:.*/)?[^/;]*);([^/]*)$"
-_SCHEMES = ", ".join(f"'{s}'" for s in SCHEMES_WITH_PARAMS)
+# Fixed values, stated here anew: schemes whose last path segment may carry parameters.
+_SCHEMES = "'', 'ftp', 'hdl', 'prospero', 'http', 'imap', 'https', 'shttp', 'rtsp', 'rtsps', 'rtspu', 'sip', 'sips', 'mms', 'sftp', 'tel'"
 
 PLANS = [
     Plan("url_breakdown", "F-10", url_breakdown, f"""

@@ -79,18 +79,52 @@ def _stored(spark: SparkSession, sf: str) -> str:
 def delete_stored(spark: SparkSession, sf: str) -> DataFrame:
     path = _stored(spark, sf)
     mutable.delete_from(spark, path, _predicate())
-    return _shown(spark.read.parquet(path))
+    return _shown(mutable.read_table(spark, path))
 
 
 def update_stored(spark: SparkSession, sf: str) -> DataFrame:
     path = _stored(spark, sf)
     mutable.update_table(spark, path, _predicate(), _CHANGES)
-    return _shown(spark.read.parquet(path))
+    return _shown(mutable.read_table(spark, path))
+
+
+def _orders(spark: SparkSession, sf: str) -> str:
+    """Orders stored by the month of their date, over several years."""
+    path = new_path(spark, "orders")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    files.write_fact_table(rows.withColumn("add_date", F.to_date("o_orderdate")), path, order=["o_custkey", "o_orderkey"])
+    return path
+
+
+def _shown_orders(spark: SparkSession, path: str) -> DataFrame:
+    rows = mutable.read_table(spark, path)
+    return rows.select("o_orderkey", "o_custkey", "o_orderstatus", F.date_format("add_month", "yyyy-MM-dd").alias("month"))
+
+
+def delete_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Deletes in a table of many months, most of which stay untouched."""
+    path = _orders(spark, sf)
+    hit = (F.year("add_date") == 1996) & (F.col("o_orderstatus") != "O") | (F.col("o_orderkey") % 1000 == 7)
+    mutable.delete_from(spark, path, hit & (F.col("add_month") >= "1996-01-01"), order=["o_custkey", "o_orderkey"])
+    return _shown_orders(spark, path)
+
+
+def update_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Two updates one after the other, the first of them tried twice under one id."""
+    path = _orders(spark, sf)
+    order = ["o_custkey", "o_orderkey"]
+    year = F.year("add_date")
+    for _ in range(2):
+        mutable.update_table(spark, path, year == 1995, {"o_custkey": "o_custkey * 2 + 1"}, order=order, change_id="double")
+    mutable.update_table(spark, path, (year >= 1995) & (F.col("o_custkey") % 3 == 0), {"o_orderstatus": "'X'"}, order=order)
+    return _shown_orders(spark, path)
 
 
 def partitioned_layout(spark: SparkSession, sf: str) -> DataFrame:
     """Read one platform and time range back; the filters reach the files."""
     stored = spark.read.parquet(_stored(spark, sf))
+    at = F.unix_timestamp("req_time")
+    stored = stored.filter((F.col("add_month") >= "2024-01-01") & (F.col("plat") == 1) & at.between(1704412800, 1705276800))
     return stored.groupBy(F.date_format("add_month", "yyyy-MM-dd").alias("month"), F.col("plat").cast("int").alias("plat")).agg(
         F.count("*").alias("n"), F.sum("loading_time").alias("loading")
     )
@@ -115,7 +149,7 @@ def stat_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kv_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Two batches of visits into a keyed table: odd pages first, then the others."""
+    """Two batches of visits into a keyed table: those of the first half month, then the others."""
     path = new_path(spark, "keyed")
     rows = cs.traffic(spark, sf).select("visit_id", "website", "event_id", "req_time", "channel")
     early = F.col("req_time") < 1705276800
@@ -126,12 +160,14 @@ def kv_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kv_compacted(spark: SparkSession, sf: str) -> DataFrame:
-    """Last status per customer, one batch per order priority, folded into one."""
-    path, folded = new_path(spark, "keyed"), new_path(spark, "folded")
+    """Last status per customer in three batches by order key; two are folded, the last is not."""
+    path = new_path(spark, "keyed")
     rows = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderkey")
-    keyed.upsert(rows, path, 0, ["o_custkey"], ["o_orderkey"])
-    keyed.compact(spark, path, folded, ["o_custkey"], 0)
-    return keyed.read_latest(spark, folded, ["o_custkey"])
+    for batch in range(3):
+        last = F.least(F.floor(F.col("o_orderkey") / 2000), F.lit(2)) == batch
+        keyed.upsert(rows.filter(last), path, batch, ["o_custkey"], ["o_orderkey"])
+    keyed.compact(spark, path, ["o_custkey"], 1)
+    return keyed.read_latest(spark, path, ["o_custkey"])
 
 
 def _flaky(payload: str) -> str:
@@ -170,14 +206,23 @@ _UPDATED = f"""{_DETAILS} select event_id, req_time, plat, agent_type, website,
   case when hit then loading_time * 2 + 1 else loading_time end as loading_time,
   case when hit then 2 else req_status end as req_status from details"""
 
+_ORDERS = """with months as (
+  select o_orderkey, o_custkey, o_orderstatus, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') as month from orders)"""
+
 PLANS = [
     Plan("delete_where", "MU-1 DEC-16", delete_where_rows, _DELETED),
     Plan("update_where", "MU-2 DEC-16", update_where_rows, _UPDATED),
     Plan("delete_stored", "MU-1 SNK-5 SNK-6", delete_stored, _DELETED),
     Plan("update_stored", "MU-2 SNK-5 SNK-6", update_stored, _UPDATED),
+    Plan("delete_months", "MU-1 SNK-6", delete_months, f"""{_ORDERS} select * from months
+where not ((month like '1996%' and o_orderstatus <> 'O' or o_orderkey % 1000 = 7) and month >= '1996-01-01')"""),
+    Plan("update_months", "MU-2 SNK-6", update_months, f"""{_ORDERS}, doubled as (
+  select * replace (case when month like '1995%' then o_custkey * 2 + 1 else o_custkey end as o_custkey) from months)
+select * replace (case when month >= '1995-01-01' and o_custkey % 3 = 0 then 'X' else o_orderstatus end as o_orderstatus)
+from doubled"""),
     Plan("partitioned_layout", "SNK-6", partitioned_layout, f"""
 with {TRAFFIC} select left(req_date, 8) || '01' as month, plat, count(*) as n, cast(sum(k) as bigint) as loading
-from traffic group by all"""),
+from traffic where plat = 1 and req_time between 1704412800 and 1705276800 group by all"""),
     Plan("stamped_sink", "SNK-3 SNK-5 F-18", stamped_sink, f"""
 with {TRAFFIC} select event_id, req_time, website, visit_id, 1 as stamped from traffic"""),
     Plan("stamped_columns", "F-18", stamped_columns, """

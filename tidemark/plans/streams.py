@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from tidemark.plans.counting import _count_sql
 from tidemark.plans.dwelling import _rows_sql
 from tidemark.schemas import TRAFFIC as TRAFFIC_SCHEMA
 from tidemark.session import new_path
+from tidemark.sinks import mutable
 from tidemark.sinks.keyed import read_latest
 from tidemark.sources import clickstream as cs
 from tidemark.sources.files import table
@@ -78,6 +80,45 @@ def stream_dwell(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def stream_dwell_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Dwell where a third of the visits have no platform: NULL is a key like any other."""
+    path = new_path(spark, "dwell")
+    rows = cs.traffic(spark, sf).withColumn("plat", F.when(F.col("visit_id").cast("int") % 3 != 0, F.col("plat")))
+    _in_steps(spark, rows, _traffic_job(spark, "dwell-nulls", state.dwell_stream, path), "event_id")
+    return spark.read.parquet(path).drop("batch_id")
+
+
+def _refused(payload: str) -> str:
+    return json.dumps({"success": not payload.endswith("7")})
+
+
+def stream_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """A job that delivers visitors with an injected sender and stores the outcomes."""
+    path = new_path(spark, "delivered")
+    spec = jobs.JobSpec(
+        name="delivery", topic=new_path(spark, "visits"), source="json", source_options={"schema": TRAFFIC_SCHEMA},
+        operator=lambda df: df.filter("website = 'purchase'").select(F.col("visit_id").alias("payload")),
+        sink="deliver", sink_options={"path": path, "send": _refused},
+    )
+    _in_steps(spark, cs.traffic(spark, sf), spec, "event_id")
+    sent = spark.read.parquet(path)
+    return sent.groupBy(F.col("payload").alias("sign"), "attempts", F.col("ok").cast("int").alias("ok")).agg(F.count("*").alias("n"))
+
+
+def stream_delete_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Delete from and update a table that a stamped stream of JSON rows has filled."""
+    path = new_path(spark, "streamed")
+    spec = jobs.JobSpec(
+        name="streamed", topic=new_path(spark, "rows"), source="messages",
+        operator=lambda df: df, sink="stamped", sink_options={"path": path, "schema": TRAFFIC_SCHEMA},
+    )
+    rows = cs.traffic(spark, sf)
+    _in_steps(spark, rows.select("event_id", F.to_json(F.struct(*rows.columns)).alias("value")), spec, "event_id", text=True)
+    mutable.delete_from(spark, path, F.col("website") == "click")
+    mutable.update_table(spark, path, F.col("plat") == 2, {"k": "k * 2 + 1"})
+    return mutable.read_table(spark, path).select("event_id", "plat", "website", "k")
+
+
 def stream_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
     """Messages to a stamped table by a declared job, then the hourly summary."""
     path = new_path(spark, "facts")
@@ -89,7 +130,7 @@ def stream_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
         "at", F.get_json_object("value", "$.ReceiveTime").cast("bigint")
     )
     spec = jobs.JobSpec(
-        name="hourly", topic=new_path(spark, "messages"), source="messages", source_options={"files_per_trigger": None},
+        name="hourly", topic=new_path(spark, "messages"), source="messages",
         operator=operator, sink="stamped", sink_options={"path": path}, parallelism=8,
     )
     _in_steps(spark, messages, spec, "at", text=True)
@@ -102,6 +143,14 @@ PLANS = [
     Plan("stream_first_seen", "UV-4 UV-5 ST-2", stream_first_seen, f"""
 with {TRAFFIC} select distinct req_date as date, plat, agent_type, website, visit_id from traffic"""),
     Plan("stream_dwell", "DW-8 DW-9 ST-2 ST-3", stream_dwell, _rows_sql(1800)),
+    Plan("stream_dwell_nulls", "DW-9", stream_dwell_nulls, _rows_sql(1800).replace(
+        "cast(1 + user_id % 2 as integer) as plat", "case when user_id % 3 <> 0 then cast(1 + user_id % 2 as integer) end as plat")),
+    Plan("stream_delivery", "SNK-8 SNK-10", stream_delivery, f"""
+with {TRAFFIC} select visit_id as sign, case when visit_id like '%7' then 3 else 1 end as attempts,
+  case when visit_id like '%7' then 0 else 1 end as ok, count(*) as n from traffic where website = 'purchase' group by all"""),
+    Plan("stream_delete_stored", "MU-1 MU-2 SNK-3 SNK-10", stream_delete_stored, f"""
+with {TRAFFIC} select event_id, plat, website, case when plat = 2 then k * 2 + 1 else k end as k
+from traffic where website <> 'click'"""),
     Plan("stream_job_hourly", "SRC-4 SRC-5 SRC-6 SRC-7 ST-1 ST-4 SNK-3 SNK-10 PL-1 PL-2", stream_job_hourly, f"""
 with {TRAFFIC}
 select plat, agent_type, website, req_date, req_hour, count(*) as pv_count,

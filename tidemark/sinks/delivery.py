@@ -27,7 +27,7 @@ def is_success(reply: str | None, field: str) -> bool:
     """Whether the reply is a JSON object with a truthy ``field``."""
     try:
         parsed = json.loads(reply) if reply is not None else None
-    except ValueError:
+    except (TypeError, ValueError):
         return False
     return isinstance(parsed, dict) and bool(parsed.get(field))
 

@@ -23,9 +23,21 @@ def print_rows(df: DataFrame) -> DataStreamWriter | None:
     return None
 
 
-def write_text(df: DataFrame, path: str, column: str = "value") -> None:
+def write_text(df: DataFrame, path: str, column: str = "value", mode: str = "error") -> None:
     """SNK-2: one line per row."""
-    df.select(F.col(column).cast("string").alias("value")).write.text(path)
+    df.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
+
+
+def lay_out(df: DataFrame, parts: Sequence[str], order: Sequence[str], cluster: bool = True) -> DataFrame:
+    """SNK-6: the storage layout: sorted in each file, with ``cluster`` in ranges over the files.
+
+    The ranges follow the partition columns and the order, so files cover narrow ranges
+    that parquet statistics can skip, a partition is written by many tasks, and each task
+    writes few files. A hash splits rows that share all the sort columns.
+    """
+    if cluster:
+        df = df.repartitionByRange(*parts, *order, F.xxhash64(*df.columns))
+    return df.sortWithinPartitions(*parts, *order)
 
 
 def write_fact_table(
@@ -38,16 +50,11 @@ def write_fact_table(
 ) -> None:
     """SNK-5 and SNK-6: append to a table partitioned by month of ``add_date``.
 
-    With ``cluster`` the rows are range-partitioned by month and storage order before
-    the sort, so files cover narrow ranges that parquet statistics can skip, a month
-    is written by many tasks, and each task writes few files. A micro-batch leaves it
-    off: it adds one month, and needs no shuffle. Errors fail the write.
+    A micro-batch leaves ``cluster`` off: it adds one month, and needs no shuffle.
+    Errors fail the write.
     """
-    laid_out = df.withColumn("add_month", F.trunc("add_date", "month"))
-    if cluster:
-        # The hash splits rows that share all the sort columns.
-        laid_out = laid_out.repartitionByRange("add_month", *order, F.xxhash64(*df.columns))
-    writer = laid_out.sortWithinPartitions("add_month", *order).write.mode(mode)
+    monthly = df.withColumn("add_month", F.trunc("add_date", "month"))
+    writer = lay_out(monthly, ["add_month"], order, cluster).write.mode(mode)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy("add_month").parquet(path)
@@ -71,9 +78,12 @@ def jdbc_options(url: str, table: str, batch_rows: int = INSERT_ROWS, **options:
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, connections: int = 8, **options: str) -> None:
-    """SNK-9: append to a relational table over at most ``connections`` connections."""
+    """SNK-9: append to a relational table over at most ``connections`` connections.
+
+    The rows are dealt out anew, so what made them keeps its own parallelism.
+    """
     opts = {**jdbc_options(url, table, **options), "numPartitions": str(connections)}
-    df.write.format("jdbc").options(**opts).mode("append").save()
+    df.repartition(connections).write.format("jdbc").options(**opts).mode("append").save()
 
 
 def read_jdbc(

@@ -2,7 +2,8 @@
 
 Every micro-batch adds the last row of each of its keys under its own batch number,
 and a read takes the newest row per key. So a batch costs what it holds, not what
-the table holds; ``compact`` folds the batches when there are many.
+the table holds; ``compact`` folds the batches up to one of them, and a read then
+starts at the fold.
 """
 
 from __future__ import annotations
@@ -26,11 +27,36 @@ def upsert(df: DataFrame, path: str, batch_id: int, keys: Sequence[str], order:
     return df
 
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current row of each key."""
-    return last_per_key(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")
+FOLDED = "_folded"
 
 
-def compact(spark: SparkSession, path: str, into: str, keys: Sequence[str], last_batch: int) -> None:
-    """Write the current rows as one batch of a new table at ``into``."""
-    read_latest(spark, path, keys).write.parquet(f"{into}/batch_id={last_batch}")
+def _folded(spark: SparkSession, path: str) -> int | None:
+    """The last batch of the newest complete fold."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{FOLDED}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    done = [s.getPath() for s in fs.listStatus(folder)]
+    done = [p for p in done if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max((int(p.getName().removeprefix("upto-")) for p in done), default=None)
+
+
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str], last_batch: int | None = None) -> DataFrame:
+    """The current row of each key; with ``last_batch`` as it was after that batch."""
+    rows = spark.read.parquet(path)
+    if last_batch is not None:
+        rows = rows.filter(F.col("batch_id") <= last_batch)
+    fold = _folded(spark, path)
+    if fold is not None and (last_batch is None or fold <= last_batch):
+        base = spark.read.parquet(f"{path}/{FOLDED}/upto-{fold}").withColumn("batch_id", F.lit(fold))
+        rows = rows.filter(F.col("batch_id") > fold).unionByName(base)
+    return last_per_key(rows, keys, ["batch_id"]).drop("batch_id")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], last_batch: int) -> None:
+    """Fold the batches up to ``last_batch`` into one; later ones stay as they are.
+
+    The fold counts once it is complete. The folded batches are no longer read, and may
+    be removed when no reader of before is left.
+    """
+    read_latest(spark, path, keys, last_batch).write.mode("overwrite").parquet(f"{path}/{FOLDED}/upto-{last_batch}")

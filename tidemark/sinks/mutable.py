@@ -1,57 +1,135 @@
-"""Applying deletes and updates to a stored, partitioned table."""
+"""Applying deletes and updates to a stored, partitioned table.
+
+A change rewrites the files that hold a matching row, once, into a directory of its own
+below ``_changes``, and takes effect when one small file there names the files that it
+replaces. Until then readers see the old rows, whatever fails. Files that are appended
+later, also by a running stream, are part of the table as before. ``read_table`` gives
+the rows as changed; Spark's own readers skip ``_changes``.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.mutate import delete_where, update_where
-from tidemark.session import new_path
+from tidemark.sinks.files import STORAGE_ORDER, lay_out
+
+CHANGES = "_changes"
+FILE = "_metadata.file_path"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def changes_of(spark: SparkSession, path: str) -> list[dict]:
+    """The changes that took effect, in their order."""
+    fs, folder = _filesystem(spark, f"{path}/{CHANGES}")
+    if not fs.exists(folder):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
+    return [json.loads(r.value) for name in names for r in spark.read.text(f"{path}/{CHANGES}/{name}", wholetext=True).collect()]
+
+
+def _publish(spark: SparkSession, path: str, number: int, change: dict) -> None:
+    """Let a change take effect, by one rename; fails if another change took the number."""
+    fs, staged = _filesystem(spark, f"{path}/{CHANGES}/{uuid.uuid4().hex}.tmp")
+    _, final = _filesystem(spark, f"{path}/{CHANGES}/change-{number:08d}.json")
+    out = fs.create(staged, False)
+    out.write(bytearray(json.dumps(change).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(staged, final):
+        fs.delete(staged, False)
+        raise RuntimeError(f"another change of {path} came first; try again")
+
+
+def _parts(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The live files of the table, those of each change apart."""
+    changes = changes_of(spark, path)
+    removed = {f for change in changes for f in change["replaced"]}
+    out = []
+    for base in [path, *[c["data"] for c in changes if c["data"]]]:
+        rows = spark.read.parquet(base)
+        # A filter on the path leaves files out when they are listed; they are not opened.
+        out.append(rows.filter(~F.col(FILE).isin(sorted(removed))) if removed else rows)
+    return out
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a stored table, with its changes."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _parts(spark, path))
 
 
 def _rewrite(
-    spark: SparkSession, path: str, part: str, predicate: Column, change: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    path: str,
+    parts: Sequence[str],
+    order: Sequence[str],
+    predicate: Column,
+    change: Callable[[DataFrame], DataFrame],
+    change_id: str | None,
 ) -> int:
-    """Rewrite the partitions that hold a matching row; the others are not read.
+    """Rewrite the files that hold a matching row; others are neither read whole nor written.
 
-    The new content is completed on shared storage before the old one is replaced.
-    Returns the number of rewritten partitions.
+    Returns the number of replaced files.
     """
-    rows = spark.read.parquet(path)
-    # One value per touched partition, so at most one per month of data.
-    touched = [r[0] for r in rows.filter(predicate).select(part).distinct().collect()]
+    changes = changes_of(spark, path)
+    if change_id is not None and any(c["id"] == change_id for c in changes):
+        return 0
+    live = _parts(spark, path)
+    # Names of files, of which the driver lists all in any case.
+    found = [
+        {r[0] for r in rows.filter(predicate).select(FILE).distinct().collect()}
+        for rows in live
+    ]
+    touched = sorted(set().union(*found))
     if not touched:
+        if change_id is not None:
+            _publish(spark, path, len(changes), {"id": change_id, "data": None, "replaced": []})
         return 0
-    staged = new_path(spark, "rewrite")
-    in_touched = F.col(part).isin(touched)
-    change(rows.filter(in_touched)).write.partitionBy(part).parquet(staged)
-    fresh = spark.read.schema(rows.schema).parquet(staged)
-    kept = {r[0] for r in fresh.select(part).distinct().collect()}
-    if kept:
-        writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(part).parquet(path)
-    for value in set(touched) - kept:
-        _drop_partition(spark, f"{path}/{part}={value}")
+    old = [rows.filter(F.col(FILE).isin(sorted(names))) for rows, names in zip(live, found) if names]
+    rows = change(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), old))
+    by = [c for c in ("batch_id", *parts) if c in rows.columns]
+    data = f"{path}/{CHANGES}/data-{uuid.uuid4().hex}"
+    keys = [c for c in order if c in rows.columns]
+    lay_out(rows, by, keys).write.partitionBy(*by).parquet(data)
+    fs, folder = _filesystem(spark, data)
+    if all(s.getPath().getName().startswith("_") for s in fs.listStatus(folder)):
+        data = None  # no row is left of the replaced files
+    _publish(spark, path, len(changes), {"id": change_id, "data": data, "replaced": touched})
     return len(touched)
 
 
-def _drop_partition(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def delete_from(spark: SparkSession, path: str, predicate: Column, part: str = "add_month") -> int:
-    """MU-1 on a stored table."""
-    return _rewrite(spark, path, part, predicate, lambda df: delete_where(df, predicate))
+def delete_from(
+    spark: SparkSession,
+    path: str,
+    predicate: Column,
+    parts: Sequence[str] = ("add_month",),
+    order: Sequence[str] = STORAGE_ORDER,
+    change_id: str | None = None,
+) -> int:
+    """MU-1 on a stored table. A change with the ``change_id`` of an earlier one does nothing."""
+    return _rewrite(spark, path, parts, order, predicate, lambda df: delete_where(df, predicate), change_id)
 
 
 def update_table(
-    spark: SparkSession, path: str, predicate: Column, changes: Mapping[str, Column | str], part: str = "add_month"
+    spark: SparkSession,
+    path: str,
+    predicate: Column,
+    changes: Mapping[str, Column | str],
+    parts: Sequence[str] = ("add_month",),
+    order: Sequence[str] = STORAGE_ORDER,
+    change_id: str | None = None,
 ) -> int:
-    """MU-2 on a stored table. The partition column cannot be changed."""
-    if part in changes:
-        raise ValueError(f"{part!r} partitions the table and cannot be updated")
-    return _rewrite(spark, path, part, predicate, lambda df: update_where(df, predicate, changes))
+    """MU-2 on a stored table. A partition column cannot be changed."""
+    if set(changes) & {"batch_id", *parts}:
+        raise ValueError(f"{sorted(set(changes) & {'batch_id', *parts})} partition the table and cannot be updated")
+    return _rewrite(spark, path, parts, order, predicate, lambda df: update_where(df, predicate, changes), change_id)

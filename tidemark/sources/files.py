@@ -36,9 +36,13 @@ def _stream(spark: SparkSession, files_per_trigger: int | None) -> DataStreamRea
 
 
 def message_batches(
-    spark: SparkSession, path: str, files_per_trigger: int | None = 1
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """SRC-4 and SRC-5: a stream of raw messages, one per line in ``value``."""
+    """SRC-4 and SRC-5: a stream of raw messages, one per line in ``value``.
+
+    All files that are there make one micro-batch; with ``files_per_trigger`` 1 each
+    file is one, and the next starts as soon as it is done.
+    """
     return _stream(spark, files_per_trigger).text(path)
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.session import ROCKSDB_PROVIDER, new_path
-from tidemark.sinks.files import print_rows, write_stamped
+from tidemark.functions.text import strict_from_json
+from tidemark.sinks.delivery import GATEWAY_FIELD, deliver
+from tidemark.sinks.files import print_rows, write_jdbc, write_stamped, write_text
 from tidemark.sinks.keyed import upsert
 from tidemark.sources.files import POLL_SECONDS, json_batches, kafka_messages, message_batches
 
@@ -55,10 +57,28 @@ def _parquet(df: DataFrame, path: str) -> DataStreamWriter:
     return each_batch(df, lambda rows, i: rows.write.mode("overwrite").parquet(f"{path}/batch_id={i}"))
 
 
-def _stamped(df: DataFrame, path: str) -> DataStreamWriter:
+def _text(df: DataFrame, path: str, column: str = "value") -> DataStreamWriter:
+    return each_batch(df, lambda rows, i: write_text(rows, f"{path}/batch_id={i}", column, "overwrite"))
+
+
+def _stamped(df: DataFrame, path: str, schema: str | None = None) -> DataStreamWriter:
+    """With ``schema`` the rows are JSON objects in ``value``; those that are not whole are left out."""
+    if schema is not None:
+        df = df.select(strict_from_json("value", f"STRUCT<{schema}>").alias("row")).filter("row IS NOT NULL").select("row.*")
     return each_batch(df, lambda rows, i: write_stamped(rows, path, i))
 
 
+def _deliver(df: DataFrame, path: str, send: Callable[[str], str], payload: str = "payload", field: str = GATEWAY_FIELD) -> DataStreamWriter:
+    """Send each payload; results, dead letters among them, are stored under the batch's number."""
+    return each_batch(
+        df, lambda rows, i: deliver(rows, send, payload, field).write.mode("overwrite").parquet(f"{path}/batch_id={i}")
+    )
+
+
+def _jdbc(df: DataFrame, url: str, table: str, **options: str) -> DataStreamWriter:
+    return each_batch(df, lambda rows, _: write_jdbc(rows, url, table, **options))
+
+
 def _keyed(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> DataStreamWriter:
     return each_batch(df, lambda rows, i: upsert(rows, path, i, keys, order))
 
@@ -73,6 +93,9 @@ SINKS: dict[str, Sink] = {
     "parquet": _parquet,
     "stamped": _stamped,
     "keyed": _keyed,
+    "text": _text,
+    "deliver": _deliver,
+    "jdbc": _jdbc,
 }
 
 
@@ -86,15 +109,23 @@ def validate(spec: JobSpec) -> None:
         raise ValueError(f"unknown sink {spec.sink!r}, known: {sorted(SINKS)}")
 
 
+def _checkpoint(spark: SparkSession, spec: JobSpec) -> str:
+    path = spec.sink_options.get("path") if spec.sink else None
+    return f"{path.rstrip('/')}-checkpoint/{spec.name}" if path else new_path(spark, f"checkpoint-{spec.name}")
+
+
 def start_job(spark: SparkSession, spec: JobSpec) -> StreamingQuery:
     """Start a job in its own session, so its parallelism does not touch other jobs.
 
-    Without a sink the rows are printed. The position is kept in the checkpoint, by
-    default a new one.
+    Without a sink the rows are printed. The position is kept in the checkpoint: by
+    default beside what the sink stores, under the job's name, so a job that starts again
+    goes on where it was; a job that stores nothing begins anew. Batches follow each
+    other at once while there is data, and wait ``poll_seconds`` when there is none.
     """
     validate(spec)
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.streaming.pollingDelay", f"{spec.poll_seconds}s")
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     own.conf.set(
         "spark.sql.shuffle.partitions", spec.parallelism or spark.conf.get("spark.sql.shuffle.partitions")
@@ -102,10 +133,10 @@ def start_job(spark: SparkSession, spec: JobSpec) -> StreamingQuery:
     rows = SOURCES[spec.source](own, spec.topic, **spec.source_options).transform(spec.operator)
     writer = SINKS[spec.sink or "console"](rows, **spec.sink_options)
     writer = writer.outputMode(spec.output_mode).queryName(spec.name)
-    writer = writer.option("checkpointLocation", spec.checkpoint or new_path(spark, f"checkpoint-{spec.name}"))
+    writer = writer.option("checkpointLocation", spec.checkpoint or _checkpoint(spark, spec))
     if spec.until_drained:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{spec.poll_seconds} seconds").start()
+    return writer.trigger(processingTime="0 seconds").start()
 
 
 def start_jobs(spark: SparkSession, specs: Sequence[JobSpec]) -> list[StreamingQuery]:

@@ -11,6 +11,8 @@ from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -24,19 +26,24 @@ SLOT = 1800
 DWELL_TTL = 3600
 
 
-def merge_repeats(df: DataFrame, keys: Sequence[str], order: str, ends: bool = False) -> DataFrame:
-    """Keep the first row of each key per Arrow batch; with ``ends`` also the last."""
-    columns, by = df.columns, list(keys)
+def merge_repeats(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], ends: bool = False) -> DataFrame:
+    """Keep the first row of each key per Arrow batch; with ``ends`` also the last.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Values stay as they are, and NULL is a key like any other.
+    """
+    by, sort = list(keys), [(c, "ascending") for c in ([order] if isinstance(order, str) else order)]
+    wanted = [("_at", "min"), ("_at", "max")] if ends else [("_at", "min")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.sort_values(order, kind="stable")
-            keep = ~rows.duplicated(by, keep="first")
-            if ends:
-                keep |= ~rows.duplicated(by, keep="last")
-            yield rows.loc[keep, columns]
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch])
+                rows = rows.take(pc.sort_indices(rows, sort_keys=sort))
+                kept = rows.select(by).append_column("_at", pa.array(range(rows.num_rows))).group_by(by).aggregate(wanted)
+                at = pc.unique(pa.chunked_array([c for name in kept.column_names if name.startswith("_at_") for c in kept.column(name).chunks]))
+                yield from rows.take(at.sort()).to_batches()
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def running_counts(df: DataFrame, key: str) -> DataFrame:
@@ -54,10 +61,12 @@ def first_seen_stream(
 ) -> DataFrame:
     """UV-4 and UV-5: rows whose id is new for their key; exact.
 
+    The row that comes out is of the first micro-batch that holds its id. Of several there,
+    one of those that are first, by time and then ``order``, in their Arrow batches.
     The keys hold the date, so state can go once the watermark is two days past.
     """
     columns = [*keys, visit]
-    merged = merge_repeats(df, columns, order)
+    merged = merge_repeats(df, columns, [ts, order])
     return merged.withWatermark(ts, keep).dropDuplicatesWithinWatermark(columns)
 
 
@@ -123,12 +132,20 @@ _DWELL = (
 )
 _DWELL_COLUMNS = [c.split()[0] for c in _DWELL.split(", ")]
 _EVENT_COLUMNS = [*VISIT_KEYS, "slot", "req_time", "event_id", "website", "channel"]
+# Numbers that may be NULL travel as text: a NULL would make the others floats.
+_AS_TEXT = ("plat", "agent_type", "event_id")
 _VIEWS = (
     "plat ARRAY<INT>, agent_type ARRAY<INT>, visit_id ARRAY<STRING>, slot ARRAY<BIGINT>, "
     "sign ARRAY<BIGINT>, page ARRAY<STRING>, start ARRAY<BIGINT>, end ARRAY<BIGINT>, opened ARRAY<BIGINT>"
 )
 
 
+def _values(batch: pd.DataFrame, column: str) -> list:
+    if column in _AS_TEXT:
+        return [None if v is None else int(v) for v in batch[column].tolist()]
+    return batch[column].tolist()
+
+
 def _dwell_bucket(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Take the new events of a bucket of visits; keep their views for the hour after the slot."""
     watermark = state.getCurrentWatermarkMs() // 1000
@@ -138,9 +155,9 @@ def _dwell_bucket(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
             visits.setdefault(tuple(visit), {})[sign, page] = [start, end, opened]
     out = []
     if not state.hasTimedOut:
-        events = [row for batch in batches for row in zip(*(batch[c].tolist() for c in _EVENT_COLUMNS))]
+        events = [row for batch in batches for row in zip(*(_values(batch, c) for c in _EVENT_COLUMNS))]
         logs: dict[tuple, ViewLog] = {}
-        for *key, t, event_id, page, channel in sorted(events, key=lambda e: e[4:6]):
+        for *key, t, event_id, page, channel in sorted(events, key=lambda e: (e[4], e[5] is not None, e[5] or 0)):
             visit = tuple(key)
             if visit not in logs:
                 logs[visit] = ViewLog(visits.setdefault(visit, {}))
@@ -158,18 +175,21 @@ def _dwell_bucket(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
         yield pd.DataFrame(out, columns=_DWELL_COLUMNS)
 
 
-def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int = 256) -> DataFrame:
+def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = None) -> DataFrame:
     """DW-9: dwell increments of a stream, each emitted as soon as it is known.
 
     Equals ``dwell_rows`` when a visit's events arrive in time order; a late event
-    extends the nearest view of its page, or opens one.
+    extends the nearest view of its page, or opens one. Events without a time take no part.
 
-    State is kept per bucket of visits, since calling Python once per visit costs far
-    more than the work itself. Give a large cluster more buckets than tasks; a
-    checkpoint belongs to one number of buckets.
+    State is kept per slot and bucket of visits, since calling Python once per visit costs
+    far more than the work itself; that of past slots is neither read nor written, and goes
+    whole. By default there are four buckets to each shuffle partition of the session; a
+    checkpoint belongs to one number of buckets, as it does to one of partitions.
     """
+    if buckets is None:
+        buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     visit = [*VISIT_KEYS, "slot"]
-    events = df.select(
+    events = df.filter(F.col("req_time").isNotNull()).select(
         *VISIT_KEYS,
         slot_start("req_time", SLOT).alias("slot"),
         F.timestamp_seconds("req_time").alias("ts"),
@@ -181,7 +201,9 @@ def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int = 256) -> Da
     merged = merge_repeats(events, [*visit, "req_time", "website"], "event_id", ends=True)
     return (
         merged.withColumn("bucket", F.pmod(F.xxhash64(*visit), F.lit(buckets)))
+        .withColumns({c: F.col(c).cast("string") for c in _AS_TEXT})
         .withWatermark("ts", delay)
-        .groupBy("bucket")
+        .withColumn("of_slot", F.col("slot"))
+        .groupBy("of_slot", "bucket")
         .applyInPandasWithState(_dwell_bucket, _DWELL, _VIEWS, "append", GroupStateTimeout.EventTimeTimeout)
     )
