@@ -183,11 +183,11 @@ def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = Non
 
     State is kept per slot and bucket of visits, since calling Python once per visit costs
     far more than the work itself; that of past slots is neither read nor written, and goes
-    whole. By default there are four buckets to each shuffle partition of the session; a
+    whole. By default a slot has as many buckets as the session has shuffle partitions; a
     checkpoint belongs to one number of buckets, as it does to one of partitions.
     """
     if buckets is None:
-        buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     visit = [*VISIT_KEYS, "slot"]
     events = df.filter(F.col("req_time").isNotNull()).select(
         *VISIT_KEYS,
