@@ -11,8 +11,8 @@ can be missing in the other share a signature of their prefixes, where a prefix
 until it counts t.  Tokens found in one text only come first of all; they count, and need
 no signature.  Texts with t of those have no partner.
 
-The work goes in two rounds.  The first looks at the shares of the hash order that decide
-for most texts that they have no partner, the second at all tokens of the rest.  Sets are
+The work goes in two rounds.  The first looks at the tokens of a part of the hashes, which
+decide for most texts that they have no partner, the second at all tokens of the rest.  Sets are
 compared where signatures meet, by whole sets of tokens.
 """
 
@@ -33,8 +33,9 @@ from tidemark.llm.graph import components
 WORDS, PERCENT = 5, 80
 #: Tokens of more texts than this are frequent.
 RARE = 16
-#: Share of a text's tokens, in hash order, that the first round looks at, in percent.
-FIRST_SHARE = 30
+#: The first round looks at the tokens whose hash is below this: three tenths of all. As
+#: the token alone decides, every text that holds it reports it.
+FIRST_BELOW = np.uint64(2**64 * 3 // 10)
 #: Texts and tokens of a batch whose tokens are put together before they are shuffled.
 BATCH_DOCS, BATCH_TOKENS = 4096, 1 << 20
 MANY = 0xFFFF
@@ -126,10 +127,10 @@ def _first_round(n_buckets: int):
                 key = _key(tokens) if len(tokens) else (0, 0)
                 if doc_id is not None and len(tokens) and key not in owners:
                     owners[key] = len(owners)
-                    found.append(tokens[: len(tokens) * FIRST_SHARE // 100 + 3])
+                    found.append(tokens[: np.searchsorted(tokens, FIRST_BELOW)])
                 out.append({"batch": batch, "bucket": -1, "owner": owners.get(key, 0), "doc_id": doc_id, "n": len(tokens), "k1": key[0], "k2": key[1]})
-            if found:
-                tokens = np.concatenate(found)
+            tokens = np.concatenate([*found, np.empty(0, np.uint64)])
+            if len(tokens):
                 order = np.argsort(tokens)
                 tokens, owner = tokens[order], np.repeat(np.arange(len(found), dtype=np.uint16), [len(x) for x in found])[order]
                 first = np.append(True, tokens[1:] != tokens[:-1])

@@ -101,4 +101,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc_salvage": """
+with payloads as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+  from pages),
+kept as (select *, max(page_id) over (partition by payload_digest) as last_id from payloads)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id <> last_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id <> last_id then last_id end as refers_to from kept""",
+}
