@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, licenses, maxent_lm, mixing, neighbours, quality, sharding, token_counts, warc
+from tidemark.llm import checking, decontaminate, jaccard_join, licenses, maxent_lm, mixing, neighbours, quality, sharding, token_counts, warc
 from tidemark.session import new_path
 
 #: Weights of the mixing query: an invented tree of domains, languages and sources.
@@ -102,6 +102,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": checking.JACCARD,
+    "op4_feistel_shards": checking.SHARDS,
+    "op8_mix_to_weights": checking.mix_sql(MIX_WEIGHTS),
+    "op10_spaced_seed_decontamination": checking.CONTAMINATED,
     "op6_warc_salvage": """
 with payloads as (
   select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
