@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,31 @@ def test_routes(spark):
     assert any(json.loads(r.payload)["sign"] is None for r in diverted)
 
 
+def test_one_parse_for_all_branches(spark):
+    requests = decode.decode_envelopes(lines(spark, [envelope(b) for b in BATCHES]))
+    routes = {"a": "/a"}
+    for topics in (ALLOWED, spark.createDataFrame([(t,) for t in [*ALLOWED, "a", None]], "name string")):
+        rows = decode.route_events(requests, routes, topics).collect()
+        passed = decode.route_passthrough(requests, routes, ALLOWED).collect()
+        assert sorted((r.uri or "", r.topic, r.data) for r in rows if r.branch == "pass") == sorted((r.uri or "", r.topic, r.data) for r in passed)
+        diverted = decode.route_divert(requests, ALLOWED).collect()
+        assert sorted((r.uri, r.topic, r.payload) for r in rows if r.branch == "divert") == sorted((r.uri, r.event_file, r.payload) for r in diverted)
+        rejects = Counter(r.reason for r in rows if r.branch == "reject")
+        assert rejects == {decode.EMPTY_DATA: 3, decode.BAD_DATA: 1, decode.BAD_TOPIC: 1, decode.NO_SEGMENTATION: 3, decode.BAD_EVENTS: 4}
+
+
+def test_bad_events_keep_their_own_text(spark):
+    message = envelope(events(seg("a", "{bad"), seg("z", "1"), seg("a", "1")))
+    requests = decode.decode_envelopes(lines(spark, [message]), keep_raw=True)
+    rows = decode.event_batch_rejects(requests, ALLOWED, digest=True).collect()
+    assert sorted(json.loads(r.args)["segmentation"]["topic"] for r in rows) == ["a", "z"]
+    assert len({r.message_md5 for r in rows}) == 1
+    normal = decode.decode_envelopes(lines(spark, [envelope({"topic": t, "data": [1]}) for t in ("a", "z")]))
+    table = spark.createDataFrame([("a",), ("a",)], "t string")
+    assert [r.topic for r in decode.decode_normal(normal, table).collect()] == ["a"]
+    assert [r.reason for r in decode.normal_rejects(normal, table).collect()] == [decode.BAD_TOPIC]
+
+
 def test_typed_elements_equal_the_general_form_on_damaged_messages(spark):
     rng = random.Random(5)
     messages = []

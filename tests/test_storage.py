@@ -168,3 +168,27 @@ def test_changed_files_keep_the_storage_order(spark, sf, tmp_path):
     for f in spark.read.parquet(data).inputFiles():
         keys = [tuple(r) for r in spark.read.parquet(f).select(*order).collect()]
         assert keys == sorted(keys)
+
+
+def test_merged_batches_keep_their_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(4):
+        rows = spark.range(batch * 10, batch * 10 + 10).selectExpr("id n", "cast(id % 2 as int) plat", "-id req_time", "1 agent_type")
+        files.write_stamped(rows, path, batch)
+    mutable.delete_from(spark, path, F.col("n") == 3)
+    want = sorted(set(range(40)) - {3})
+    stored = lambda: mutable.read_table(spark, path)
+    assert mutable.merge_batches(spark, path, 2, change_id="night") > 0
+    assert mutable.merge_batches(spark, path, 2, change_id="night") == 0
+    assert sorted(r.n for r in stored().collect()) == want
+    assert {r.batch_id for r in stored().collect()} == {None, 3}
+    assert mutable.merge_batches(spark, path, 2) == 0  # nothing of these batches is left
+    folded = next(c["data"] for c in mutable.changes_of(spark, path) if c["id"] == "night")
+    merged = spark.read.parquet(folded).select("plat", "req_time", F.col("_metadata.file_path").alias("file")).collect()
+    assert len(merged) == 29
+    for name in {r.file for r in merged}:
+        keys = [(r.plat, r.req_time) for r in merged if r.file == name]
+        assert keys == sorted(keys)
+    mutable.update_table(spark, path, F.col("n") >= 25, {"agent_type": "7"})
+    mutable.merge_batches(spark, path, 3)
+    assert sorted((r.n, r.agent_type) for r in stored().collect()) == [(i, 7 if i >= 25 else 1) for i in want]

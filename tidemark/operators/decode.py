@@ -12,6 +12,7 @@ is accepted wherever a parsed column is.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +137,15 @@ def topic_allowed(topic: Column | str, topics: Sequence[str]) -> Column:
     return F.coalesce(topic.isin(list(topics)), F.lit(False))
 
 
+def _mark_allowed(df: DataFrame, topics: Sequence[str] | DataFrame) -> DataFrame:
+    """DEC-9: add ``_allowed``; a table of topics is joined by its first column."""
+    if not isinstance(topics, DataFrame):
+        return df.withColumn("_allowed", topic_allowed("topic", topics))
+    table = topics.select(F.col(topics.columns[0]).alias("_listed_topic")).distinct().withColumn("_found", F.lit(True))
+    marked = df.join(table, F.col("topic") == F.col("_listed_topic"), "left")
+    return marked.withColumn("_allowed", F.coalesce("_found", F.lit(False))).drop("_listed_topic", "_found")
+
+
 def chunks(data: Column | str, size: int = PIECE) -> Column:
     """DEC-5: split an array into arrays of at most ``size``; empty gives none."""
     data = F.col(data) if isinstance(data, str) else data
@@ -150,28 +160,32 @@ def _parsed(df: DataFrame, name: str, kind: str) -> tuple[DataFrame, str]:
     return df, name
 
 
-def parse_normal(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:
+def parse_normal(df: DataFrame, topics: Sequence[str] | DataFrame, args: str = "args") -> DataFrame:
     """DEC-4: add ``topic``, ``data`` (an array) and ``reason``."""
+    return _parse_normal(df, topics, args).drop("_allowed")
+
+
+def _parse_normal(df: DataFrame, topics: Sequence[str] | DataFrame, args: str) -> DataFrame:
     rows, parsed = _parsed(df, args, NORMAL_ARGS)
     a = F.col(parsed)
     if isinstance(rows.schema[parsed].dataType, T.VariantType):
         topic, data = _field(a, "$.topic"), F.try_variant_get(a, "$.data", "array<variant>")
     else:
         topic, data = a["topic"], a["data"]
-    out = rows.withColumns({"topic": _text_of(topic), "data": data})
-    reason = F.when(F.col("data").isNull(), NO_DATA).when(~topic_allowed("topic", topics), BAD_TOPIC)
+    out = _mark_allowed(rows.withColumns({"topic": _text_of(topic), "data": data}), topics)
+    reason = F.when(F.col("data").isNull(), NO_DATA).when(~F.col("_allowed"), BAD_TOPIC)
     return out.withColumn("reason", reason).drop("_args")
 
 
 def decode_normal(
-    df: DataFrame, topics: Sequence[str], args: str = "args", size: int = PIECE
+    df: DataFrame, topics: Sequence[str] | DataFrame, args: str = "args", size: int = PIECE
 ) -> DataFrame:
     """DEC-4 and DEC-5: ``(topic, ip, data)`` with ``data`` a JSON array of <= ``size``."""
     pieces = _listed(df, topics, args).select("topic", "ip", F.explode(chunks("data", size)).alias("_piece"))
     return pieces.select("topic", "ip", F.to_json("_piece").alias("data"))
 
 
-def decode_elements(df: DataFrame, topics: Sequence[str], schema: str, value: str = "value") -> DataFrame:
+def decode_elements(df: DataFrame, topics: Sequence[str] | DataFrame, schema: str, value: str = "value") -> DataFrame:
     """DEC-1, DEC-2 and DEC-4 for jobs that want typed elements.
 
     From raw envelopes to ``(topic, host, <schema columns>)`` in one parse, without
@@ -191,12 +205,12 @@ def decode_elements(df: DataFrame, topics: Sequence[str], schema: str, value: st
     return elements.select("topic", "host", "_element.*")
 
 
-def _listed(df: DataFrame, topics: Sequence[str], args: str) -> DataFrame:
+def _listed(df: DataFrame, topics: Sequence[str] | DataFrame, args: str) -> DataFrame:
     # Rows without an array need no filter: they explode to nothing.
-    return parse_normal(df, topics, args).filter(topic_allowed("topic", topics))
+    return _parse_normal(df, topics, args).filter("_allowed").drop("_allowed")
 
 
-def normal_rejects(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:
+def normal_rejects(df: DataFrame, topics: Sequence[str] | DataFrame, args: str = "args") -> DataFrame:
     """DEC-11: dead-letter rows ``(args, reason)`` of the normal form."""
     return (
         parse_normal(df, topics, args)
@@ -215,12 +229,13 @@ def _text(df: DataFrame, name: str) -> Column:
 
 
 def parse_event_batch(
-    df: DataFrame, topics: Sequence[str], args: str = "args", check_data: bool = True
+    df: DataFrame, topics: Sequence[str] | DataFrame, args: str = "args", check_data: bool | Sequence[str] = True
 ) -> DataFrame:
     """DEC-6 and DEC-7: one row per event, or one per message without an event list.
 
-    Adds ``topic``, ``sign``, ``data`` (text as received), ``body`` (its parsed form)
-    and ``reason``. Without ``check_data`` the text of ``data`` is not parsed.
+    Adds ``topic``, ``sign``, ``data`` (text as received), ``body`` (its parsed form),
+    ``event`` (the event's own JSON) and ``reason``. Without ``check_data`` the text of
+    ``data`` is not parsed; with a list of topics it is for these only.
     """
     rows, parsed = _parsed(df, args, "STRUCT<events: VARIANT>")
     a = F.col(parsed)
@@ -244,7 +259,8 @@ def parse_event_batch(
             "_text": _text_of(F.col("_data")),
         }
     ).withColumn("data", F.coalesce(text, F.to_json("_data")))
-    allowed = topic_allowed("topic", topics)
+    out = _mark_allowed(out.withColumn("event", F.to_json("_event")), topics)
+    allowed = F.col("_allowed")
     # What counts as empty is "" or one of these JSON values.
     empty = F.col("data").isNull() | F.when(text.isNull(), F.col("data")).otherwise(
         F.when(text == "", "null")
@@ -257,14 +273,15 @@ def parse_event_batch(
         .when(F.coalesce(empty, F.lit(False)), EMPTY_DATA)
     )
     if check_data:
-        out = _once(out, "body", strict_json(F.when(allowed, text)))
-        reason = reason.when(F.col("body").isNull(), BAD_DATA)
+        checked = F.lit(True) if check_data is True else topic_allowed("topic", check_data)
+        out = _once(out, "body", strict_json(F.when(allowed & checked, text)))
+        reason = reason.when(checked & F.col("body").isNull(), BAD_DATA)
     else:
         out = out.withColumn("body", F.lit(None).cast("variant"))
-    return _once(out, "reason", reason).drop("_event", "_seg", "_data", "_text", "_listed")
+    return _once(out, "reason", reason).drop("_event", "_seg", "_data", "_text", "_listed", "_allowed")
 
 
-def decode_event_batch(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:
+def decode_event_batch(df: DataFrame, topics: Sequence[str] | DataFrame, args: str = "args") -> DataFrame:
     """DEC-6: ``(topic, ip, data)``, one row per valid event.
 
     ``data`` is the JSON text as received, now known to be valid.
@@ -272,16 +289,61 @@ def decode_event_batch(df: DataFrame, topics: Sequence[str], args: str = "args")
     return parse_event_batch(df, topics, args).filter(F.col("reason").isNull()).select("topic", "ip", "data")
 
 
-def event_batch_rejects(df: DataFrame, topics: Sequence[str], args: str = "args") -> DataFrame:
-    """DEC-11: dead-letter rows ``(args, topic, reason)`` of the event-batch form."""
+def event_batch_rejects(
+    df: DataFrame, topics: Sequence[str] | DataFrame, args: str = "args", digest: bool = False
+) -> DataFrame:
+    """DEC-11: dead-letter rows ``(args, topic, reason)`` of the event-batch form.
+
+    A bad event keeps its own JSON, a message without events the whole message, so n bad
+    events do not store their message n times. With ``digest`` the MD5 of the message
+    (``message_md5``) tells which events came together.
+    """
     parsed = parse_event_batch(df, topics, args).filter(F.col("reason").isNotNull())
-    return parsed.select(_text(df, args).alias("args"), "topic", "reason")
+    whole = _text(df, args)
+    return parsed.select(
+        F.coalesce("event", whole).alias("args"), "topic", "reason", *([F.md5(whole).alias("message_md5")] if digest else [])
+    )
+
+
+def route_events(
+    df: DataFrame,
+    routes: Mapping[str, str] | DataFrame,
+    topics: Sequence[str] | DataFrame,
+    args: str = "args",
+    divert_topics: Sequence[str] = DIVERT_TOPICS,
+    renames: Mapping[str, str] = DIVERT_RENAMES,
+    uri: str = DIVERT_URI,
+) -> DataFrame:
+    """DEC-7, DEC-8, DEC-10 and DEC-11 in one parse: every event with its ``branch``.
+
+    ``pass`` rows hold the text as received and the uri of their topic, ``divert`` rows
+    the renamed topic and the ``payload`` to deliver, ``reject`` rows the event's JSON (or
+    the message, where there are no events) as ``data``, and a ``reason``. Write the rows
+    once, partitioned by branch; a filter on the frame itself would parse again.
+    """
+    parsed = parse_event_batch(df, topics, args, check_data=divert_topics)
+    branch = F.when(F.col("reason").isNotNull(), "reject").when(topic_allowed("topic", divert_topics), "divert").otherwise("pass")
+    renamed = reduce(lambda c, r: F.when(F.col("topic") == r[0], r[1]).otherwise(c), renames.items(), F.col("topic"))
+    event_file = renamed.alias("event_file")
+    payload = F.to_json(F.struct(event_file, "sign", F.col("body").alias("datalist")), {"ignoreNullFields": "false"})
+    rows = with_uri(parsed, routes, uri="_uri").withColumn("branch", branch)
+    diverted = F.col("branch") == "divert"
+    return rows.select(
+        "branch",
+        F.when(diverted, uri).when(F.col("branch") == "pass", F.col("_uri")).alias("uri"),
+        F.when(diverted, renamed).otherwise(F.col("topic")).alias("topic"),
+        "sign",
+        "ip",
+        F.when(F.col("branch") == "reject", F.coalesce("event", _text(df, args))).otherwise(F.col("data")).alias("data"),
+        F.when(diverted, payload).alias("payload"),
+        "reason",
+    )
 
 
 def route_passthrough(
     df: DataFrame,
     routes: Mapping[str, str] | DataFrame,
-    topics: Sequence[str],
+    topics: Sequence[str] | DataFrame,
     args: str = "args",
     divert_topics: Sequence[str] = DIVERT_TOPICS,
 ) -> DataFrame:
@@ -297,7 +359,7 @@ def route_passthrough(
 
 def route_divert(
     df: DataFrame,
-    topics: Sequence[str],
+    topics: Sequence[str] | DataFrame,
     args: str = "args",
     divert_topics: Sequence[str] = DIVERT_TOPICS,
     renames: Mapping[str, str] = DIVERT_RENAMES,

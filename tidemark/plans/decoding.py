@@ -101,6 +101,20 @@ def route_divert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def route_events(spark: SparkSession, sf: str) -> DataFrame:
+    """One parse for all branches, written by branch; the allow-list is a table."""
+    allowed = collection(spark, [(t,) for t in cs.BATCH_TOPICS], "topic STRING")
+    path = new_path(spark, "routed")
+    decode.route_events(batches(spark, sf), cs.ROUTES, allowed).write.partitionBy("branch").parquet(path)
+    event = "STRUCT<event_id: BIGINT, k: INT>"
+    text = F.when(F.col("branch") == "reject", F.get_json_object("data", "$.segmentation.data")).otherwise(F.col("data"))
+    sent = F.from_json("payload", f"event_file STRING, sign STRING, datalist {event}")
+    return spark.read.parquet(path).select(
+        "branch", "uri", "topic", "sign", "ip", text.alias("data"), "reason",
+        sent["event_file"].alias("event_file"), sent["datalist"]["event_id"].alias("event_id"),
+    )
+
+
 def topic_route_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """The routes as a table; events without a route keep a NULL uri."""
     routes = collection(spark, [("view", "/view"), ("click", "/click"), ("signup", "/open")], "topic STRING, uri STRING")
@@ -202,6 +216,20 @@ from texts where topic in ('view', 'click') and coalesce(broken, '') <> 'empty d
 {SENT} select '/base' as uri, replace(topic, 'app_vip_open', 'vip_open') as event_file,
        visit_id as sign, event_id, k
 from sent where topic in ('app_open', 'app_vip_open') and broken is null"""),
+    Plan("route_events", "DEC-7 DEC-8 DEC-9 DEC-10 DEC-11", route_events, f"""
+{SENT}, texts as (
+  select *, '{{"event_id":' || event_id || ',"visit_id":"' || visit_id || '","k":' || k || '}}' as body,
+         case when topic = 'unknown' then 'error topic' when topic in ('view', 'click') and broken = 'bad data' then null
+              else broken end as reason
+  from sent),
+branched as (
+  select *, case when reason is not null then 'reject' when topic in ('view', 'click') then 'pass' else 'divert' end as branch,
+         case topic when 'app_vip_open' then 'vip_open' else topic end as renamed from texts)
+select branch, case branch when 'divert' then '/base' when 'pass' then case topic when 'view' then '/view' end end as uri,
+       case branch when 'divert' then renamed else topic end as topic, visit_id as sign, ip,
+       case broken when 'empty data' then '' when 'bad data' then left(body, length(body) - 1) else body end as data,
+       reason, case branch when 'divert' then renamed end as event_file, case branch when 'divert' then event_id end as event_id
+from branched"""),
     Plan("topic_route_lookup", "DEC-10 SRC-2", topic_route_lookup, """
 select event_id, event_type as topic,
        case event_type when 'view' then '/view' when 'click' then '/click' when 'signup' then '/open' end as uri

@@ -119,6 +119,20 @@ def stream_delete_stored(spark: SparkSession, sf: str) -> DataFrame:
     return mutable.read_table(spark, path).select("event_id", "plat", "website", "k")
 
 
+def stream_merge_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A streamed table with its first batch merged into the clustered layout, then changed."""
+    path = new_path(spark, "merged")
+    spec = jobs.JobSpec(
+        name="merged", topic=new_path(spark, "rows"), source="messages",
+        operator=lambda df: df, sink="stamped", sink_options={"path": path, "schema": TRAFFIC_SCHEMA},
+    )
+    rows = cs.traffic(spark, sf)
+    _in_steps(spark, rows.select("event_id", F.to_json(F.struct(*rows.columns)).alias("value")), spec, "event_id", text=True)
+    mutable.merge_batches(spark, path, 0)
+    mutable.update_table(spark, path, F.col("website") == "view", {"k": "k + 1000"})
+    return mutable.read_table(spark, path).select("event_id", "plat", "website", "k")
+
+
 def stream_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
     """Messages to a stamped table by a declared job, then the hourly summary."""
     path = new_path(spark, "facts")
@@ -151,6 +165,8 @@ with {TRAFFIC} select visit_id as sign, case when visit_id like '%7' then 3 else
     Plan("stream_delete_stored", "MU-1 MU-2 SNK-3 SNK-10", stream_delete_stored, f"""
 with {TRAFFIC} select event_id, plat, website, case when plat = 2 then k * 2 + 1 else k end as k
 from traffic where website <> 'click'"""),
+    Plan("stream_merge_stored", "SNK-3 SNK-6 MU-2", stream_merge_stored, f"""
+with {TRAFFIC} select event_id, plat, website, case when website = 'view' then k + 1000 else k end as k from traffic"""),
     Plan("stream_job_hourly", "SRC-4 SRC-5 SRC-6 SRC-7 ST-1 ST-4 SNK-3 SNK-10 PL-1 PL-2", stream_job_hourly, f"""
 with {TRAFFIC}
 select plat, agent_type, website, req_date, req_hour, count(*) as pv_count,

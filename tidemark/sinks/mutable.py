@@ -76,9 +76,11 @@ def _rewrite(
     predicate: Column,
     change: Callable[[DataFrame], DataFrame],
     change_id: str | None,
+    keep_batch: bool = True,
 ) -> int:
     """Rewrite the files that hold a matching row; others are neither read whole nor written.
 
+    Without ``keep_batch`` only files of numbered batches are, and lose the number.
     Returns the number of replaced files.
     """
     changes = changes_of(spark, path)
@@ -87,7 +89,7 @@ def _rewrite(
     live = _parts(spark, path)
     # Names of files, of which the driver lists all in any case.
     found = [
-        {r[0] for r in rows.filter(predicate).select(FILE).distinct().collect()}
+        {r[0] for r in rows.filter(predicate).select(FILE).distinct().collect()} if keep_batch or "batch_id" in rows.columns else set()
         for rows in live
     ]
     touched = sorted(set().union(*found))
@@ -97,6 +99,8 @@ def _rewrite(
         return 0
     old = [rows.filter(F.col(FILE).isin(sorted(names))) for rows, names in zip(live, found) if names]
     rows = change(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), old))
+    if not keep_batch:
+        rows = rows.drop("batch_id")
     by = [c for c in ("batch_id", *parts) if c in rows.columns]
     data = f"{path}/{CHANGES}/data-{uuid.uuid4().hex}"
     keys = [c for c in order if c in rows.columns]
@@ -133,3 +137,21 @@ def update_table(
     if set(changes) & {"batch_id", *parts}:
         raise ValueError(f"{sorted(set(changes) & {'batch_id', *parts})} partition the table and cannot be updated")
     return _rewrite(spark, path, parts, order, predicate, lambda df: update_where(df, predicate, changes), change_id)
+
+
+def merge_batches(
+    spark: SparkSession,
+    path: str,
+    last_batch: int,
+    parts: Sequence[str] = ("add_month",),
+    order: Sequence[str] = STORAGE_ORDER,
+    change_id: str | None = None,
+) -> int:
+    """SNK-6 for a streamed table: batches up to ``last_batch`` become one clustered layout.
+
+    ``last_batch`` has to be a batch that the stream has committed, as one that is retried
+    later is stored anew. Merged rows have a NULL ``batch_id``. Batches that come later,
+    and rows that an earlier call has merged, stay as they are.
+    """
+    through = F.col("batch_id") <= last_batch
+    return _rewrite(spark, path, parts, order, through, lambda df: df, change_id, keep_batch=False)
