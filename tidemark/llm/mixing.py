@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD
+from tidemark.llm.common import WORD, stored
 
 #: Budgets times weights stay exact in this type.
 EXACT = "decimal(38,0)"
@@ -150,8 +150,10 @@ def mix_to_weights(
     if budget_tokens is None:
         total = leaves.agg(F.sum("leaf_tokens")).head()[0] or 0
         budget_tokens = int(total * budget_share)
-    budgets = leaf_budgets(leaves, names, by_name, F.lit(budget_tokens).cast("long"), max_epochs, default_weight)
-    plans = leaf_plans(lean, names, budgets, seed).select(*names, F.col("budget").alias("mix_budget"), "full_epochs", "cutoff")
+    # Stored, so the planner knows their size: small ones are sent to the rows, and with large
+    # ones both sides are shuffled for the join alone, where a hot leaf can be split.
+    budgets = stored(leaf_budgets(leaves, names, by_name, F.lit(budget_tokens).cast("long"), max_epochs, default_weight), "mix-budgets")
+    plans = stored(leaf_plans(lean, names, budgets, seed).select(*names, F.col("budget").alias("mix_budget"), "full_epochs", "cutoff"), "mix-plans")
     placed = docs.withColumns(own).join(plans, names)
     partial = epoch_order(seed, F.col("full_epochs"), F.col(id_col), F.col("mix_md5")) <= F.col("cutoff")
     epochs = F.col("full_epochs") + F.when(partial, 1).otherwise(0)
