@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, stored, words_of
+from tidemark.llm.common import WordHashes, giving_back, stored, words_of
 from tidemark.llm.graph import components
 
 #: Words of a shingle; two sets link at a Jaccard similarity of 80 / 100.
@@ -118,6 +118,7 @@ def _first_round(n_buckets: int):
     A token of several texts of the batch is sent once, with the owner ``MANY``.
     """
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("owner", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("tokens", pa.binary()), ("owners", pa.binary())])
         ids = _batch_ids()
@@ -146,6 +147,7 @@ def _first_round(n_buckets: int):
     return run
 
 
+@giving_back
 def _count_lone(table: pa.Table) -> pa.Table:
     """Of one bucket: how many tokens of each owner no other text has, by batch."""
     tokens = [np.frombuffer(x, np.uint32) for x in table.column("tokens").to_pylist()]
@@ -163,6 +165,7 @@ def _count_lone(table: pa.Table) -> pa.Table:
     return pa.table({"batch": table.column("batch"), "counts": pa.array(counts, pa.binary())})
 
 
+@giving_back
 def _may_link(texts: pa.Table, lone: pa.Table) -> pa.Table:
     """Texts of a batch without as many lone tokens as rule a partner out."""
     found = np.zeros(MANY + 1, np.int64)
@@ -180,6 +183,7 @@ SECOND_SCHEMA = "batch long, bucket int, doc_id long, tokens binary, counts bina
 def _second_round(n_buckets: int):
     """Rows of texts with all tokens (bucket -1), and of each bucket's distinct tokens in a batch with the number of its texts."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
         ids = _batch_ids()
@@ -202,6 +206,7 @@ def _second_round(n_buckets: int):
     return run
 
 
+@giving_back
 def _classes(table: pa.Table) -> pa.Table:
     """Of one bucket: the tokens of several texts, rare (1) or frequent (2), by batch."""
     tokens = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
@@ -244,6 +249,7 @@ def signatures(n: int, tokens: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+@giving_back
 def _prefixes(texts: pa.Table, replies: pa.Table) -> pa.Table:
     """Of one batch: each text's shared tokens and signatures."""
     known = np.concatenate([np.frombuffer(x, np.uint64) for x in replies.column("tokens").to_pylist()] or [np.empty(0, np.uint64)])
@@ -300,6 +306,7 @@ def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+@giving_back
 def _links_of_blocks(table: pa.Table) -> pa.Table:
     """Links between groups, found in one pair of blocks of a family; none that others imply."""
     rows = table.to_pydict()

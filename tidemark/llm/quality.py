@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, words_of
+from tidemark.llm.common import WordHashes, giving_back, words_of
 
 #: Hashed words, then the bins of structure and metadata, then three for plain numbers.
 WORD_DIM, BIN_DIM, BINS = 1 << 16, 1 << 10, 16
@@ -146,6 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", numbers:
     # At most sample_rows pairs of numbers.
     rows = _read(docs, numbers, id_col, text_col).join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
 
+    @giving_back
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -183,6 +184,7 @@ def quality_scores(docs: DataFrame, machine: Machine, numbers: Sequence[str] = (
     model = docs.sparkSession.sparkContext.broadcast(machine)
     names = [f"number_{i}" for i in range(len(numbers))]
 
+    @giving_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = _scorer(model.value, names)
         for batch in batches:
@@ -196,6 +198,7 @@ def keep_quality(docs: DataFrame, machine: Machine, numbers: Sequence[str] = ("n
     """The rows of ``docs``, all columns as they are, that score 0.5 or more."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
+    @giving_back
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = _scorer(model.value, numbers)
         for batch in batches:
