@@ -391,10 +391,13 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     whole = second.where("bucket < 0").select("batch", "doc_id", "tokens")
     sets = stored(whole.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(_prefixes, "doc_id long, n long, shared array<long>, signed array<long>"), "prefixes")
     links = _links(sets)
-    named = usable.join(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("same")), ["k1", "k2"]).select("doc_id", "n", "same")
+    # Stored, so that both sides of the join are plain shuffles, where a large group of copies
+    # can be split; texts that stand alone have no row there.
+    copies = usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("same"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    named = usable.join(stored(copies, "copies"), ["k1", "k2"], "left").select("doc_id", "n", F.coalesce("same", "doc_id").alias("same"))
     several = named.groupBy("doc_id").agg(F.min("same").alias("a"), F.max("same").alias("high")).where("a < high").select("doc_id", "a")
     by_id = named.join(several, "doc_id").where("same > a").select("a", F.col("same").alias("b"))
-    groups = components(links.unionByName(by_id))
+    groups = stored(components(links.unionByName(by_id)), "components")
     linked = named.join(groups, F.col("same") == F.col("id"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "same").alias("component_id"))
     alone = texts.where("doc_id IS NULL OR n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
