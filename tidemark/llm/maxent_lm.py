@@ -295,7 +295,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 place = place_of(codes)
                 found = known[place] == codes
                 owner = np.repeat(np.arange(len(lengths)), lengths)
-                logs = np.bincount(owner[found], logs_of[place[found]], len(lengths))
+                logs = np.bincount(owner[found], logs_of[place[found]], len(lengths)).astype(np.float64)  # integers where nothing is found
                 n_known = np.bincount(owner[found], minlength=len(lengths))
                 ends = np.append(0, np.cumsum(lengths - n_known)).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(codes[~found].view(np.int64)))
