@@ -67,6 +67,34 @@ def test_license_edges(spark):
     assert licenses.license_scan(docs_of(spark, texts), {"none": ("two words",)}).count() == 0
 
 
+def test_license_lines_as_they_are_written(spark):
+    """Lines written here, not taken from the notices: the license that fits best is the one they name."""
+    lines = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "This text is under the CC BY-ND 4.0 license.": "CC-BY-ND-4.0",
+        "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0",
+        "This work is licensed under a CC BY-NC-ND 3.0 license": "CC-BY-NC-ND-3.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
+        "Creative Commons Attribution-Share Alike 3.0 Unported": "CC-BY-SA-3.0",
+        "see https://creativecommons.org/licenses/by-nc/2.0/ for it": "CC-BY-NC-2.0",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the MIT License.": "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "You may use it under the terms of the GNU Affero General Public License.": "AGPL-3.0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+    }
+    texts = [(i, " ".join([*words(11 * i, seed=i), line, *words(40, seed=99 - i)])) for i, line in enumerate(lines)]
+    best = {}
+    for r in licenses.license_scan(docs_of(spark, texts)).collect():
+        best.setdefault(r.doc_id, []).append((r.containment, r.license))
+    for i, name in enumerate(lines.values()):
+        assert {found for share, found in best.get(i, []) if share == max(best[i])[0]} == {name}
+
+
 # --- decontamination --------------------------------------------------------------------
 
 

@@ -61,9 +61,105 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "CC0-1.0": (
         "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
+        "CC0 1.0 Universal",
+        "creativecommons.org/publicdomain/zero/1.0",
+    ),
+    "LGPL": (
+        "under the terms of the GNU Lesser General Public License",
+        "licensed under the GNU Lesser General Public License",
+    ),
+    "LGPL-2.1": (
+        "GNU Lesser General Public License, version 2.1",
+        "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+    ),
+    "LGPL-3.0": (
+        "GNU Lesser General Public License, version 3",
+    ),
+    "AGPL-3.0": (
+        "under the terms of the GNU Affero General Public License",
+        "licensed under the GNU Affero General Public License",
+        "GNU Affero General Public License, version 3",
+    ),
+    "GFDL": (
+        "under the terms of the GNU Free Documentation License",
+        "licensed under the GNU Free Documentation License",
+    ),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+    ),
+    "EPL-1.0": (
+        "under the terms of the Eclipse Public License v1.0",
+        "Eclipse Public License, version 1.0",
+    ),
+    "EPL-2.0": (
+        "under the terms of the Eclipse Public License 2.0",
+        "Eclipse Public License, version 2.0",
+    ),
+    "Artistic-2.0": (
+        "under the terms of the Artistic License 2.0",
+        "Licensed under the Artistic License 2.0.",
+    ),
+    "ODbL-1.0": (
+        "made available under the Open Database License",
+        "Open Data Commons Open Database License",
+    ),
+    "ODC-By-1.0": (
+        "Open Data Commons Attribution License",
     ),
 }
 
+#: Notices of licenses above, after those.
+MORE: dict[str, tuple[str, ...]] = {
+    "MIT": ("Distributed under the MIT License.",),
+    "Apache-2.0": ("Apache License, Version 2.0", "Licensed under the Apache 2.0 license."),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU General Public License v3.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU General Public License v2.0"),
+    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.",),
+    "MPL-2.0": ("Mozilla Public License, version 2.0", "Licensed under the Mozilla Public License 2.0."),
+}
+
+#: Creative Commons licenses by their short names, and the long ones of any version.
+COMMONS: dict[str, tuple[str, ...]] = {
+    "BY": ("Attribution",),
+    "BY-SA": ("Attribution-ShareAlike", "Attribution-Share Alike"),
+    "BY-ND": ("Attribution-NoDerivatives", "Attribution-NoDerivs", "Attribution-No Derivative Works"),
+    "BY-NC": ("Attribution-NonCommercial",),
+    "BY-NC-SA": ("Attribution-NonCommercial-ShareAlike", "Attribution-NonCommercial-Share Alike"),
+    "BY-NC-ND": ("Attribution-NonCommercial-NoDerivatives", "Attribution-NonCommercial-NoDerivs", "Attribution-NonCommercial-No Derivative Works"),
+}
+
+
+def _commons(version: str) -> dict[str, tuple[str, ...]]:
+    """Notices of a version, which differ in over a fifth of their shingles, except that those of 2.0 and 2.5 reach each other."""
+    return {
+        f"CC-{kind}-{version}": (
+            f"Licensed under CC {kind} {version}.",
+            f"Licensed under a CC {kind} {version} license.",
+            f"under the CC {kind} {version} license",
+            *[f"Creative Commons {name} {version}" for name in names],
+            f"creativecommons.org/licenses/{kind.lower()}/{version}",
+        )
+        for kind, names in COMMONS.items()
+    }
+
+
+for _more in (MORE, *map(_commons, ("4.0", "3.0", "2.5", "2.0", "1.0"))):
+    for _name, _notices in _more.items():
+        TEMPLATES[_name] = TEMPLATES.get(_name, ()) + _notices
+
 # Letters and digits stay, A-Z in lower case; other ASCII signs part words.
 _PLAIN = bytes(ord(chr(c).lower()) if chr(c).isalnum() or c > 127 else 32 for c in range(128)) + bytes(range(128, 256))
 
@@ -87,6 +183,8 @@ def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
 
 
 _LAST = np.uint32(2**32 - 1)
+#: Low bits of a MinHash by which most windows are ruled out at once.
+LOW = np.uint32(2**14 - 1)
 
 
 def _band(tokens: np.ndarray, band: int) -> np.ndarray:
@@ -104,8 +202,9 @@ class Templates:
     def __init__(self, templates: Mapping[str, tuple[str, ...]]):
         hashes = WordHashes()
         self.sets: list[tuple[str, int, np.ndarray]] = []
-        #: Of each step and band, the MinHashes and the templates that they retrieve.
-        self.bands: dict[int, list[list[tuple[np.uint32, int]]]] = {}
+        #: Of each step and band, the MinHashes, the templates that they retrieve, and which low bits they have.
+        self.bands: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        found: dict[int, list[list[tuple[np.uint32, int]]]] = {}
         for name, texts in templates.items():
             for number, text in enumerate(texts):
                 words = license_words(text)
@@ -114,10 +213,17 @@ class Templates:
                     step = LEAST_STEP
                     while step < len(words):
                         step *= 2
-                    bands = self.bands.setdefault(step, [[] for _ in range(BANDS)])
+                    bands = found.setdefault(step, [[] for _ in range(BANDS)])
                     for band, members in enumerate(bands):
                         members.append((_band(_short(tokens), band).min(), len(self.sets)))
                     self.sets.append((name, number, tokens))
+        for step, bands in found.items():
+            self.bands[step] = []
+            for members in bands:
+                members.sort()
+                values, low = np.array([v for v, _ in members], np.uint32), np.zeros(LOW + 1, bool)
+                low[values & LOW] = True
+                self.bands[step].append((values, np.array([t for _, t in members]), low))
 
     def scan(self, texts: list[list[bytes]], hashes: WordHashes) -> Iterator[tuple[int, str, int, int, float]]:
         """(text, license, template, first word of the window, containment) of all that verify, each template where it fits best.
@@ -143,8 +249,11 @@ class Templates:
             while True:
                 if step in self.bands:
                     windows = np.minimum(mins, np.append(mins[1:], _LAST))
-                    for value, template in self.bands[step][band]:
-                        candidates.update((template, step, int(w)) for w in np.flatnonzero(windows == value))
+                    values, templates, low = self.bands[step][band]
+                    at = np.flatnonzero(low[windows & LOW])
+                    left, right = (np.searchsorted(values, windows[at], side) for side in ("left", "right"))
+                    for w, i, j in zip(at.tolist(), left.tolist(), right.tolist(), strict=True):
+                        candidates.update((template, step, w) for template in templates[i:j].tolist())
                 if step == unit:
                     break
                 mins, step = np.minimum(mins[0::2], mins[1::2]), 2 * step
@@ -164,8 +273,9 @@ def license_scan(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEM
     """A row for each text and license notice found in it.
 
     Returns doc_id, license, template (its number), first_word (of the best window; of
-    equally good ones the first) and containment (share of the notice's shingles).  Whole
-    texts are scanned.  Null, empty and short texts yield nothing; repeated rows are
+    equally good ones the first) and containment (share of the notice's shingles).  Notices
+    of related licenses can both reach the containment; the one that is meant has the larger.
+    Whole texts are scanned.  Null, empty and short texts yield nothing; repeated rows are
     scanned each; a null id stays null; templates of under three words are not looked for.
     The templates travel to the tasks; their size does not depend on the data.
     """
