@@ -99,6 +99,16 @@ def test_join_edges(spark):
     assert jaccard_join.near_duplicate_groups(frame.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_compared_each(spark):
+    """Near, not exact, copies of either text of an id link with it, in any order of rows."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    near = lambda text: text + " end"
+    rows = [(4, a), (4, b), (8, near(a)), (9, near(b)), (4, c), (1, near(c)), (20, "z " + near(b)), (30, "q r s t u v w")]
+    for texts in (rows, rows[::-1], rows[3:] + rows[:3]):
+        got = {(r.doc_id, r.component_id) for r in jaccard_join.near_duplicate_groups(docs_of(spark, texts)).collect()}
+        assert got == {(4, 1), (8, 1), (9, 1), (1, 1), (20, 1), (30, 30)}
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randint(200, 300), rng.randint(200, 300)) for _ in range(60)]

@@ -109,7 +109,7 @@ def _sets(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[lis
         yield rows
 
 
-FIRST_SCHEMA = "batch long, bucket int, owner int, doc_id long, n long, k1 long, k2 long, tokens binary, owners binary"
+FIRST_SCHEMA = "batch long, bucket int, owner int, doc_id long, text_hash long, n long, k1 long, k2 long, tokens binary, owners binary"
 
 
 def _first_round(n_buckets: int):
@@ -120,16 +120,16 @@ def _first_round(n_buckets: int):
 
     @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("owner", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("tokens", pa.binary()), ("owners", pa.binary())])
+        schema = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("owner", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("tokens", pa.binary()), ("owners", pa.binary())])
         ids = _batch_ids()
-        for rows in _sets(batches, ["doc_id", "text"]):
+        for rows in _sets(batches, ["doc_id", "text_hash", "text"]):
             batch, owners, found, out = next(ids), {}, [], []
-            for doc_id, tokens in rows:
+            for doc_id, text_hash, tokens in rows:
                 key = _key(tokens) if len(tokens) else (0, 0)
                 if doc_id is not None and len(tokens) and key not in owners:
                     owners[key] = len(owners)
                     found.append(tokens[: np.searchsorted(tokens, FIRST_BELOW)])
-                out.append({"batch": batch, "bucket": -1, "owner": owners.get(key, 0), "doc_id": doc_id, "n": len(tokens), "k1": key[0], "k2": key[1]})
+                out.append({"batch": batch, "bucket": -1, "owner": owners.get(key, 0), "doc_id": doc_id, "text_hash": text_hash, "n": len(tokens), "k1": key[0], "k2": key[1]})
             tokens = np.concatenate([*found, np.empty(0, np.uint64)])
             if len(tokens):
                 order = np.argsort(tokens)
@@ -174,10 +174,10 @@ def _may_link(texts: pa.Table, lone: pa.Table) -> pa.Table:
         found[: len(counts)] += counts
     n = texts.column("n").to_numpy()
     keep = (found[texts.column("owner").to_numpy()] <= spare(n)) & (n > 0)
-    return texts.select(["doc_id", "n", "k1", "k2"]).filter(pa.array(keep))
+    return texts.select(["doc_id", "text_hash", "n", "k1", "k2"]).filter(pa.array(keep))
 
 
-SECOND_SCHEMA = "batch long, bucket int, doc_id long, tokens binary, counts binary"
+SECOND_SCHEMA = "batch long, bucket int, doc_id long, set_id long, tokens binary, counts binary"
 
 
 def _second_round(n_buckets: int):
@@ -185,15 +185,15 @@ def _second_round(n_buckets: int):
 
     @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
+        schema = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("set_id", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
         ids = _batch_ids()
-        for rows in _sets(batches, ["doc_id", "k1", "k2", "text"]):
+        for rows in _sets(batches, ["doc_id", "set_id", "k1", "k2", "text"]):
             batch, out, seen = next(ids), [], {}
-            for doc_id, k1, k2, tokens in rows:
-                # An id may have other texts; the set that was asked for counts, once.
-                if doc_id not in seen and _key(tokens) == (k1, k2):
-                    seen[doc_id] = tokens
-                    out.append({"batch": batch, "bucket": -1, "doc_id": doc_id, "tokens": tokens.tobytes()})
+            for doc_id, set_id, k1, k2, tokens in rows:
+                # An id may have several texts; each set that was asked for counts, once.
+                if set_id not in seen and _key(tokens) == (k1, k2):
+                    seen[set_id] = tokens
+                    out.append({"batch": batch, "bucket": -1, "doc_id": doc_id, "set_id": set_id, "tokens": tokens.tobytes()})
             if not seen:
                 continue
             tokens, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
@@ -256,26 +256,27 @@ def _prefixes(texts: pa.Table, replies: pa.Table) -> pa.Table:
     kinds = np.concatenate([np.frombuffer(x, np.uint8) for x in replies.column("kinds").to_pylist()] or [np.empty(0, np.uint8)])
     order = np.argsort(known)
     known, kinds = np.append(known[order], np.uint64(2**64 - 1)), np.append(kinds[order], np.uint8(0))
-    ids, sizes, shared, signed = [], [], [], []
-    for doc_id, tokens in zip(texts.column("doc_id").to_pylist(), texts.column("tokens").to_pylist(), strict=True):
+    ids, sets, sizes, shared, signed = [], [], [], [], []
+    for doc_id, set_id, tokens in zip(*(texts.column(c).to_pylist() for c in ("doc_id", "set_id", "tokens")), strict=True):
         tokens = np.frombuffer(tokens, np.uint64)
         place = np.searchsorted(known[:-1], tokens)
         in_both = known[place] == tokens
         found = signatures(len(tokens), tokens[in_both], kinds[place[in_both]])
         if len(found):
             ids.append(doc_id)
+            sets.append(set_id)
             sizes.append(len(tokens))
             shared.append(tokens[in_both].view(np.int64))
             signed.append(found.view(np.int64))
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()), "shared": pa.array(shared, pa.list_(pa.int64())), "signed": pa.array(signed, pa.list_(pa.int64()))})
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "set_id": pa.array(sets, pa.int64()), "n": pa.array(sizes, pa.int64()), "shared": pa.array(shared, pa.list_(pa.int64())), "signed": pa.array(signed, pa.list_(pa.int64()))})
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by whole sets; tokens that no other text has meet nothing."""
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("shared").alias(f"shared_{c}"))
+    """The pairs (a, b) of sets that link, and their ids, by whole sets; tokens that no other text has meet nothing."""
+    side = lambda c: sets.select(F.col("set_id").alias(c), F.col("doc_id").alias(f"doc_{c}"), F.col("n").alias(f"n_{c}"), F.col("shared").alias(f"shared_{c}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("shared_a", "shared_b"))
-    return both.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    return both.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b", "doc_a", "doc_b")
 
 
 def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
@@ -308,7 +309,7 @@ def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
 
 @giving_back
 def _links_of_blocks(table: pa.Table) -> pa.Table:
-    """Links between groups, found in one pair of blocks of a family; none that others imply."""
+    """Links between groups, by id, found in one pair of blocks of a family; none that others imply."""
     rows = table.to_pydict()
     low, high = rows["low"][0], rows["high"][0]
     at = [np.flatnonzero(np.array(rows["block"]) == block) for block in (low, high)]
@@ -336,30 +337,30 @@ def _links_of_blocks(table: pa.Table) -> pa.Table:
 
 
 def _links(sets: DataFrame) -> DataFrame:
-    """Links enough to connect whatever is connected.
+    """Links of ids, enough to connect whatever is connected; sets are told apart by their numbers.
 
-    Where a signature meets, all are compared with the smallest id first.  Signatures whose
-    texts this leaves in different groups make up families, by that smallest id; in a
+    Where a signature meets, all are compared with the smallest number first.  Signatures whose
+    texts this leaves in different groups make up families, by that smallest number; in a
     family all texts are compared, in pairs of blocks of bounded size.
     """
-    signed = stored(sets.select("doc_id", "n", F.explode("signed").alias("signature")), "signed")
+    signed = stored(sets.select("set_id", "n", F.explode("signed").alias("signature")), "signed")
     fits = 100 * F.least("n", "first.n") >= PERCENT * F.greatest("n", "first.n")
-    first = signed.groupBy("signature").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.count("*").alias("texts")).where("texts > 1").drop("texts")
+    first = signed.groupBy("signature").agg(F.min(F.struct("set_id", "n")).alias("first"), F.count("*").alias("texts")).where("texts > 1").drop("texts")
     stars = stored(
-        signed.join(first, "signature").where((F.col("doc_id") > F.col("first.doc_id")) & fits).select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(),
+        signed.join(first, "signature").where((F.col("set_id") > F.col("first.set_id")) & fits).select(F.col("first.set_id").alias("a"), F.col("set_id").alias("b")).distinct(),
         "stars",
     )
     links = stored(_verified(stars, sets), "links")
-    groups = components(links).withColumnRenamed("id", "doc_id")
-    grouped = stored(signed.join(groups, "doc_id", "left").select("signature", "doc_id", F.coalesce("component", "doc_id").alias("component")), "grouped")
-    split = grouped.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc_id").alias("family")).where("low < high").select("signature", "family")
-    families = stored(grouped.join(split, "signature").select("family", "doc_id", "component").distinct(), "families")
-    members = families.join(sets.select("doc_id", "n", "shared"), "doc_id")
-    blocks = families.join(sets.select("doc_id", F.size("shared").alias("tokens")), "doc_id").groupBy("family").agg(F.ceil(F.sum("tokens") / BLOCK_TOKENS).alias("blocks"))
-    dealt = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    groups = components(links.select("a", "b")).withColumnRenamed("id", "set_id")
+    grouped = stored(signed.join(groups, "set_id", "left").select("signature", "set_id", F.coalesce("component", "set_id").alias("component")), "grouped")
+    split = grouped.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("set_id").alias("family")).where("low < high").select("signature", "family")
+    families = stored(grouped.join(split, "signature").select("family", "set_id", "component").distinct(), "families")
+    members = families.join(sets.select("set_id", "doc_id", "n", "shared"), "set_id")
+    blocks = families.join(sets.select("set_id", F.size("shared").alias("tokens")), "set_id").groupBy("family").agg(F.ceil(F.sum("tokens") / BLOCK_TOKENS).alias("blocks"))
+    dealt = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
     paired = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     paired = paired.select("family", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "doc_id", "n", "component", "shared")
-    return links.unionByName(paired.groupBy("family", "low", "high").applyInArrow(_links_of_blocks, "a long, b long"))
+    return links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(paired.groupBy("family", "low", "high").applyInArrow(_links_of_blocks, "a long, b long"))
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -372,24 +373,26 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     link with nothing and have a null component.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     size = read.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = stored(read.mapInArrow(_first_round(max(at_least, size // (20 * TASK_TOKENS))), FIRST_SCHEMA), "sets")
-    texts = first.where("bucket < 0").select("batch", "owner", "doc_id", "n", "k1", "k2")
+    texts = first.where("bucket < 0").select("batch", "owner", "doc_id", "text_hash", "n", "k1", "k2")
     usable = texts.where("doc_id IS NOT NULL AND n > 0")
     lone = first.where("bucket >= 0").select("batch", "bucket", "tokens", "owners").groupBy("bucket").applyInArrow(_count_lone, "batch long, counts binary")
-    may_link = usable.groupBy("batch").cogroup(lone.groupBy("batch")).applyInArrow(_may_link, "doc_id long, n long, k1 long, k2 long")
-    asked = stored(may_link.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "asked")
+    may_link = usable.groupBy("batch").cogroup(lone.groupBy("batch")).applyInArrow(_may_link, "doc_id long, text_hash long, n long, k1 long, k2 long")
+    # An id can hold several sets: they are numbered, and each is asked for by one of its texts.
+    smallest = may_link.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.min("n").alias("n"))
+    asked = stored(smallest.select(F.monotonically_increasing_id().alias("set_id"), "one.doc_id", "one.text_hash", "k1", "k2", "n"), "asked")
     tokens = asked.agg(F.sum("n")).head()[0] or 0
     second = stored(
         # The same plan at every size: a broadcast would end where the texts get many.
-        read.join(asked.select("doc_id", "k1", "k2").hint("merge"), "doc_id").select("doc_id", "k1", "k2", "text").mapInArrow(_second_round(max(at_least, tokens // TASK_TOKENS)), SECOND_SCHEMA),
+        read.join(asked.drop("n").hint("merge"), ["doc_id", "text_hash"]).select("doc_id", "set_id", "k1", "k2", "text").mapInArrow(_second_round(max(at_least, tokens // TASK_TOKENS)), SECOND_SCHEMA),
         "tokens",
     )
     replies = second.where("bucket >= 0").select("batch", "bucket", "tokens", "counts").groupBy("bucket").applyInArrow(_classes, "batch long, tokens binary, kinds binary")
-    whole = second.where("bucket < 0").select("batch", "doc_id", "tokens")
-    sets = stored(whole.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(_prefixes, "doc_id long, n long, shared array<long>, signed array<long>"), "prefixes")
+    whole = second.where("bucket < 0").select("batch", "doc_id", "set_id", "tokens")
+    sets = stored(whole.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(_prefixes, "doc_id long, set_id long, n long, shared array<long>, signed array<long>"), "prefixes")
     links = _links(sets)
     # Stored, so that both sides of the join are plain shuffles, where a large group of copies
     # can be split; texts that stand alone have no row there.
