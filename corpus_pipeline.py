@@ -41,10 +41,11 @@ def keep_first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
-    hits = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents without passages of the benchmark; each row by its own text, whatever its id."""
+    text_id = F.unhex(F.md5(F.col("text").cast("binary")))
+    hits = decontaminate.contaminated(docs.select(text_id.alias("text_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="text_id")
     ids = stored(hits.select(F.col("doc_id").alias("hit_id")).distinct(), "contaminated")
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids.hit_id), "left_anti")
+    return docs.join(ids, text_id == F.col("hit_id"), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

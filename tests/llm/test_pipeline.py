@@ -56,6 +56,16 @@ def test_stages(spark, sf):
     assert difference(sharded, with_documents(sf, mixed), ORACLES["op4_feistel_shards"]) is None
 
 
+def test_rows_are_decontaminated_by_their_own_text(spark, tmp_path):
+    """A contaminated row takes no clean one with it that has a null id too, or the same id."""
+    item = " ".join(f"b{i}" for i in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, "clean one"), (None, "clean two"), (None, None), (7, "clean " * 30), (8, ""), (9, None)]
+    hit = [(None, "x " + item), (7, item + " y"), (7, item + " y"), (10, item)]
+    docs = spark.createDataFrame(clean + hit, "doc_id long, text string")
+    assert rows_of(corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))) == Counter(clean)
+
+
 def test_empty_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
