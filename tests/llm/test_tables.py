@@ -172,6 +172,16 @@ def test_shortage_goes_to_siblings_first(spark):
     assert got == {("a", "a1"): 20, ("a", "a2"): 180, ("b", "b1"): 500}
 
 
+def test_tokens_below_a_weight_of_zero_make_no_room(spark):
+    """A parent whose tokens lie mostly below such a child leaves its rest to its siblings."""
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    sizes = [("a", "x", 100), ("a", "y", 10), ("b", "y", 100)]
+    docs = docs_of(spark, [(10 * i + k, "w " * 10, lang, source) for i, (lang, source, n) in enumerate(sizes) for k in range(n // 10)])
+    mixed = mixing.mix_to_weights(docs, levels, {"source": {"x": 0}}, budget_tokens=80, max_epochs=1).collect()
+    assert {(r.lang, r.source, r.mix_budget) for r in mixed} == {("a", "y", 10), ("b", "y", 70)}
+    assert len(mixed) == 8
+
+
 def test_mixing_edges(spark):
     levels = {"lang": F.col("lang"), "source": F.col("source")}
     rows = [(1, None, "en", None), (2, "", None, "s"), (3, "a b", None, "s"), (3, "a b", None, "s"), (None, "a b c", "en", "s"), (4, "w " * 60000, "de", "t")]

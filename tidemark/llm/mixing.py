@@ -10,6 +10,7 @@ the seed decides.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,7 +72,9 @@ def fill(nodes: DataFrame, parents: Sequence[str], child: str) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], budget: Column, max_epochs: int, default_weight: int) -> DataFrame:
     """Leaves (levels, leaf_tokens) with their ``budget``, filled from the root down."""
-    caps = leaves.select(*levels, (F.col("leaf_tokens") * max_epochs).alias("cap"))
+    # What stands below a weight of 0 is not taken, so no parent has room for it.
+    taken = functools.reduce(lambda x, y: x & y, [_weight(level, weights, default_weight) > 0 for level in levels], F.lit(True))
+    caps = leaves.select(*levels, F.when(taken, F.col("leaf_tokens") * max_epochs).otherwise(0).alias("cap"))
     parents: list[str] = []
     above = caps.agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("cap_all")).select(F.least(budget, F.col("cap_all")).cast("long").alias("parent_budget"), F.lit(0).alias("root"))
     for level in levels:
