@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, jaccard_join, mixing, sharding
+from tidemark.llm import decontaminate, jaccard_join, mixing, runs, sharding
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -155,4 +155,43 @@ select doc_id, item_id, count(distinct d_at) as n_seeds, cast(min(d_at) as integ
 from scored where best >= (stretch * 4 + 4) // 5 group by doc_id, item_id"""
 
 
+
+#: Every word against every earlier one that equals it, by their distance.
+RUNS = rf"""
+with crcs as (
+  select list(list_reduce(range(8), lambda c, k: xor(c >> 1, (c & 1) * 3988292384), i) order by i) as crc_of
+  from range(256) as t(i)),
+texts as (
+  select row_number() over () as row, doc_id, {WORDS} as words,
+    xor(list_reduce(list_transform(regexp_extract_all(hex(encode(cast(doc_id as varchar))), '..'), lambda h: ('0x' || h)::bigint),
+      lambda c, o: xor(c >> 8, crc_of[1 + (xor(c, o) & 255)]), 4294967295), 4294967295) as h
+  from documents, crcs),
+planted as (
+  select *, len(words) as n, h // 10 % greatest(len(words), 1) as a,
+    1 + (len(words) - h // 10 % greatest(len(words), 1)) // (3 + h // 10 % 8) as p from texts),
+read as materialized (
+  select row, doc_id, n, case when h % 10 = 0 and n > 0
+    then words[1 : a] || list_transform(range(n - a), lambda i: words[a + i % p + 1]) else words end as words from planted),
+placed as materialized (select row, n, unnest(words) as word, generate_subscripts(words, 1) - 1 as i from read),
+met as (
+  select x.row, x.i, x.i - y.i as q from placed x join placed y
+    on x.row = y.row and x.word = y.word and y.i < x.i and {runs.PERIODS} * (x.i - y.i) <= x.n),
+stretches as (
+  select row, q, min(i) - q as start, count(*) + q as length from (
+    select row, q, i, i - row_number() over (partition by row, q order by i) as island from met)
+  group by row, q, island having count(*) + q >= greatest({runs.LEAST}, {runs.PERIODS} * q)),
+found as materialized (select row, start, length, min(q) as period from stretches group by row, start, length),
+summed as (
+  select row, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines,
+    first({{'start': start, 'length': length, 'period': period}} order by length / period desc, start, period) as best
+  from found group by row),
+left_over as (
+  select row, string_agg(word, ' ' order by i) as collapsed from placed
+  where not exists (select 1 from found where found.row = placed.row and placed.i >= start + period and placed.i < start + length)
+  group by row)
+select doc_id, coalesce(n_runs, 0) as n_runs, best.start as start, best.length as length, best.period as period,
+  1000 * best.length // best.period as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
+  sha256(coalesce(collapsed, '')) as collapsed_sha256, n as n_words
+from read left join summed using (row) left join left_over using (row)"""
+
 SHARDS, CONTAMINATED, mix_sql = _shards(), _seeds(), _mix

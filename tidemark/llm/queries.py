@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import checking, decontaminate, jaccard_join, licenses, maxent_lm, mixing, neighbours, quality, sharding, token_counts, warc
+from tidemark.llm import checking, compression, decontaminate, jaccard_join, licenses, maxent_lm, mixing, neighbours, quality, runs, sharding, token_counts, warc, whitening
 from tidemark.session import new_path
 
 #: Weights of the mixing query: an invented tree of domains, languages and sources.
@@ -85,6 +85,21 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return compression.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op12_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four components of largest variance."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, in every tenth with a period planted, and digests of them."""
+    return runs.digests(runs.periodic_runs(_table(spark, sf_dir, "documents"), rewrite=runs.planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mix_to_weights,
         op9_quality_machine,
         op10_spaced_seed_decontamination,
+        op11_compression_bands,
+        op12_exact_whitening,
+        op13_periodic_runs,
     )
 }
 
@@ -106,6 +124,7 @@ ORACLES: dict[str, str] = {
     "op4_feistel_shards": checking.SHARDS,
     "op8_mix_to_weights": checking.mix_sql(MIX_WEIGHTS),
     "op10_spaced_seed_decontamination": checking.CONTAMINATED,
+    "op13_periodic_runs": checking.RUNS,
     "op6_warc_salvage": """
 with payloads as (
   select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
