@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.plans.storing import details
-from tidemark.sinks import delivery, files, keyed, mutable
+from tidemark.sinks import changelog, delivery, files, keyed, mutable
 
 
 def test_fact_table_layout(spark, sf, tmp_path):
@@ -48,7 +48,7 @@ def test_mutations_rewrite_only_touched_partitions(spark, tmp_path):
     assert mutable.delete_from(spark, path, F.col("id") == 12345) == 0
     rows = {r.id for r in mutable.read_table(spark, path).collect()}
     assert rows == {i for i in range(40) if i % 4 and i != 1 and i != 2} | {102}
-    assert len(mutable.changes_of(spark, path)) == 3
+    assert len(changelog.changes_of(spark, path)) == 3
     with pytest.raises(ValueError):
         mutable.update_table(spark, path, F.lit(True), {"add_month": "'x'"})
 
@@ -150,7 +150,7 @@ def test_a_change_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as patched:
-        patched.setattr(mutable, "_publish", fail)
+        patched.setattr(changelog, "take_effect", fail)
         with pytest.raises(OSError):
             mutable.update_table(spark, path, F.col("id") < 5, {"id": "id * 2 + 100"}, change_id="once")
     assert sorted(r.id for r in mutable.read_table(spark, path).collect()) == list(range(40))
@@ -163,7 +163,7 @@ def test_changed_files_keep_the_storage_order(spark, sf, tmp_path):
     path = str(tmp_path / "facts")
     files.write_fact_table(details(spark, sf), path)
     mutable.update_table(spark, path, F.col("plat") == 1, {"req_time": "req_time - interval 5 days"})
-    data = mutable.changes_of(spark, path)[0]["data"]
+    data = changelog.changes_of(spark, path)[0]["data"]
     order = ("plat", "req_time", "agent_type")
     for f in spark.read.parquet(data).inputFiles():
         keys = [tuple(r) for r in spark.read.parquet(f).select(*order).collect()]
@@ -183,7 +183,7 @@ def test_merged_batches_keep_their_rows(spark, tmp_path):
     assert sorted(r.n for r in stored().collect()) == want
     assert {r.batch_id for r in stored().collect()} == {None, 3}
     assert mutable.merge_batches(spark, path, 2) == 0  # nothing of these batches is left
-    folded = next(c["data"] for c in mutable.changes_of(spark, path) if c["id"] == "night")
+    folded = next(c["data"] for c in changelog.changes_of(spark, path) if c["id"] == "night")
     merged = spark.read.parquet(folded).select("plat", "req_time", F.col("_metadata.file_path").alias("file")).collect()
     assert len(merged) == 29
     for name in {r.file for r in merged}:
@@ -192,3 +192,75 @@ def test_merged_batches_keep_their_rows(spark, tmp_path):
     mutable.update_table(spark, path, F.col("n") >= 25, {"agent_type": "7"})
     mutable.merge_batches(spark, path, 3)
     assert sorted((r.n, r.agent_type) for r in stored().collect()) == [(i, 7 if i >= 25 else 1) for i in want]
+
+
+def test_a_retried_batch_does_not_undo_changes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "n long, v string")
+    for batch in (0, 1):
+        files.write_stamped(rows.withColumn("n", F.col("n") + 10 * batch), path, batch)
+    mutable.delete_from(spark, path, F.col("n") == 1)
+    mutable.update_table(spark, path, F.col("n") == 2, {"v": "'z'"})
+    stored = lambda: sorted((r.n, r.v) for r in mutable.read_table(spark, path).collect())
+    want = [(2, "z"), (3, "c"), (11, "a"), (12, "b"), (13, "c")]
+    assert stored() == want
+    # The retry has new file names, and other rows even.
+    files.write_stamped(rows, path, 0)
+    files.write_stamped(rows.withColumn("n", F.col("n") + 10), path, 1)  # not touched by a change: stored anew
+    assert stored() == want
+    assert changelog.settled(spark, path, 0) and not changelog.settled(spark, path, 1)
+    mutable.merge_batches(spark, path, 1)
+    files.write_stamped(rows, path, 1)
+    assert stored() == want
+    # A batch whose writer has not ended cannot be changed.
+    files.write_stamped(rows, path, 2)
+    os.remove(f"{path}/batch_id=2/_SUCCESS")
+    with pytest.raises(RuntimeError, match="not complete"):
+        mutable.delete_from(spark, path, F.col("n") == 3)
+    assert stored() == sorted([*want, (1, "a"), (2, "b"), (3, "c")])
+
+
+def test_many_changes_leave_reading_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    monkeypatch.setattr(changelog, "FOLD", 5)
+    spark.range(400).select("id", (F.col("id") % 4).alias("add_month")).repartition(4).write.partitionBy("add_month").parquet(path)
+    plans, rows = [], {i: i for i in range(400)}
+    for i in range(23):
+        if i % 2:
+            mutable.delete_from(spark, path, F.col("id") == 7 * i, change_id=f"c{i}")
+            rows.pop(7 * i)
+        else:
+            mutable.update_table(spark, path, F.col("id") == 5 * i, {"id": "id + 1000"}, change_id=f"c{i}")
+            rows[5 * i] += 1000
+        plans.append(len(mutable.read_table(spark, path)._jdf.queryExecution().toString()))
+    assert sorted(r.id for r in mutable.read_table(spark, path).collect()) == sorted(rows.values())
+    assert max(plans) < 1.2 * plans[0]
+    # The log is short, and knows all changes.
+    assert len(changelog._entries(spark, path)) <= 2 * 5 and len(changelog._folds(spark, path)) <= 2
+    assert changelog.manifest_of(spark, path).ids == {f"c{i}" for i in range(23)}
+    assert mutable.delete_from(spark, path, F.lit(True), change_id="c0") == 0
+    kinds = {r["kind"] for r in changelog.manifest_rows(spark, path).collect()}
+    assert {"change", "replaced", "added"} <= kinds
+
+
+def test_two_changes_at_once(spark, tmp_path, monkeypatch):
+    """The later one of two that read the same state fails and changes nothing."""
+    path = str(tmp_path / "t")
+    spark.range(10).select("id", F.lit(1).alias("add_month")).write.partitionBy("add_month").parquet(path)
+    manifest = changelog.manifest_of(spark, path)
+    mutable.delete_from(spark, path, F.col("id") == 1)
+    with monkeypatch.context() as patched:
+        patched.setattr(changelog, "manifest_of", lambda *_: manifest)
+        with pytest.raises(RuntimeError, match="came first"):
+            mutable.delete_from(spark, path, F.col("id") == 2)
+    assert sorted(r.id for r in mutable.read_table(spark, path).collect()) == [0, *range(2, 10)]
+
+
+def test_stamped_rows_may_have_any_columns(spark, tmp_path):
+    path = str(tmp_path / "any")
+    rows = spark.range(5).select((5 - F.col("id")).alias("n"), F.lit("x").alias("a column"))
+    files.write_stamped(rows, path, 0)
+    files.write_stamped(rows.coalesce(1), path, 1, order=["n"])
+    back = spark.read.parquet(path)
+    assert back.count() == 10 and {"n", "a column", "id", "add_date", "add_time", "update_time"} <= set(back.columns)
+    assert [r.n for r in back.filter("batch_id = 1").collect()] == [1, 2, 3, 4, 5]

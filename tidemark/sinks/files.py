@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.functions.rows import stamp
+from tidemark.sinks.changelog import settled
 
 # Rows per insert, and the storage order of the fact table.
 INSERT_ROWS = 50
@@ -50,25 +51,29 @@ def write_fact_table(
 ) -> None:
     """SNK-5 and SNK-6: append to a table partitioned by month of ``add_date``.
 
-    A micro-batch leaves ``cluster`` off: it adds one month, and needs no shuffle.
-    Errors fail the write.
+    Columns of the order that the rows do not have are left out. A micro-batch leaves
+    ``cluster`` off: it adds one month, and needs no shuffle. Errors fail the write.
     """
     monthly = df.withColumn("add_month", F.trunc("add_date", "month"))
-    writer = lay_out(monthly, ["add_month"], order, cluster).write.mode(mode)
+    writer = lay_out(monthly, ["add_month"], [c for c in order if c in df.columns], cluster).write.mode(mode)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy("add_month").parquet(path)
 
 
-def write_stamped(df: DataFrame, path: str, batch_id: int | None = None) -> DataFrame:
+def write_stamped(df: DataFrame, path: str, batch_id: int | None = None, order: Sequence[str] = STORAGE_ORDER) -> DataFrame:
     """SNK-3: stamp the rows, store them and give back the input for chaining.
 
-    With ``batch_id`` the rows go to their own directory, which a retry of the same
-    micro-batch replaces, so a batch is stored once. Ids are drawn in the writing
-    stage itself: no shuffle follows that could see two draws of one row.
+    Rows may have any columns; in a file they are sorted by those of ``order`` that they
+    have. With ``batch_id`` the rows go to their own directory, which a retry of the same
+    micro-batch replaces, so a batch is stored once; one that a change has rewritten since
+    is settled and stays as it is. Ids are drawn in the writing stage itself: no shuffle
+    follows that could see two draws of one row.
     """
+    if batch_id is not None and settled(df.sparkSession, path, batch_id):
+        return df
     target, mode = (path, "append") if batch_id is None else (f"{path}/batch_id={batch_id}", "overwrite")
-    write_fact_table(stamp(df), target, mode, cluster=False)
+    write_fact_table(stamp(df), target, mode, order, cluster=False)
     return df
 
 

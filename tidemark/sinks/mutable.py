@@ -1,71 +1,100 @@
 """Applying deletes and updates to a stored, partitioned table.
 
 A change rewrites the files that hold a matching row, once, into a directory of its own
-below ``_changes``, and takes effect when one small file there names the files that it
-replaces. Until then readers see the old rows, whatever fails. Files that are appended
-later, also by a running stream, are part of the table as before. ``read_table`` gives
-the rows as changed; Spark's own readers skip ``_changes``.
+below ``_changes/data``, and takes effect when one small file of the log appears, which
+names the files that it replaces and adds and the micro-batches that they belong to.
+Until then readers see the old rows, whatever fails.  Files that are appended later, also
+by a running stream, are part of the table as before.  A micro-batch that a change has
+rewritten is settled: a retry of it stores nothing, as its rows are in the table already,
+as changed.
+
+The log is folded into a table now and then (``changelog``), and reading a table costs
+two scans, however many changes it has had.  ``read_table`` gives the rows as changed;
+Spark's own readers skip ``_changes``.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.mutate import delete_where, update_where
+from tidemark.sinks import changelog
+from tidemark.sinks.changelog import ADDED, BATCH, CHANGE, DATA, DIRECTORY, DROPPED, REPLACED
 from tidemark.sinks.files import STORAGE_ORDER, lay_out
+from tidemark.storage import filesystem, names, qualified
 
-CHANGES = "_changes"
 FILE = "_metadata.file_path"
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+# --- reading ----------------------------------------------------------------------------
 
 
-def changes_of(spark: SparkSession, path: str) -> list[dict]:
-    """The changes that took effect, in their order."""
-    fs, folder = _filesystem(spark, f"{path}/{CHANGES}")
-    if not fs.exists(folder):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
-    return [json.loads(r.value) for name in names for r in spark.read.text(f"{path}/{CHANGES}/{name}", wholetext=True).collect()]
+def _relative(root: str, uri: str) -> str:
+    """A file's name below the table, as it is on disk."""
+    name = unquote(uri).replace(":///", ":/", 1)
+    return name.removeprefix(root.replace(":///", ":/", 1).rstrip("/") + "/")
 
 
-def _publish(spark: SparkSession, path: str, number: int, change: dict) -> None:
-    """Let a change take effect, by one rename; fails if another change took the number."""
-    fs, staged = _filesystem(spark, f"{path}/{CHANGES}/{uuid.uuid4().hex}.tmp")
-    _, final = _filesystem(spark, f"{path}/{CHANGES}/change-{number:08d}.json")
-    out = fs.create(staged, False)
-    out.write(bytearray(json.dumps(change).encode()))
-    out.close()
-    if fs.exists(final) or not fs.rename(staged, final):
-        fs.delete(staged, False)
-        raise RuntimeError(f"another change of {path} came first; try again")
+def _files(spark: SparkSession, path: str, base: str, schema: StructType, found: Sequence[str]) -> DataFrame | None:
+    """The rows of files or directories below ``base``, with the columns of their partitions."""
+    if not found:
+        return None
+    return spark.read.option("basePath", f"{path}/{base}" if base else path).schema(schema).parquet(*[f"{path}/{name}" for name in found])
 
 
-def _parts(spark: SparkSession, path: str) -> list[DataFrame]:
-    """The live files of the table, those of each change apart."""
-    changes = changes_of(spark, path)
-    removed = {f for change in changes for f in change["replaced"]}
-    out = []
-    for base in [path, *[c["data"] for c in changes if c["data"]]]:
-        rows = spark.read.parquet(base)
-        # A filter on the path leaves files out when they are listed; they are not opened.
-        out.append(rows.filter(~F.col(FILE).isin(sorted(removed))) if removed else rows)
-    return out
+def _base(spark: SparkSession, path: str, replaced: set[str]) -> tuple[StructType, DataFrame | None]:
+    """Columns of the table, and the rows of its own files without the replaced ones."""
+    whole = spark.read.parquet(path)
+    if not replaced:
+        return whole.schema, whole
+    root, by_folder = qualified(spark, path), defaultdict(list)
+    for uri in whole.inputFiles():
+        name = _relative(root, uri)
+        by_folder[name.rpartition("/")[0]].append(name)
+    # Folders of which nothing is replaced go as a whole.
+    live = []
+    for folder, found in sorted(by_folder.items()):
+        left = sorted(set(found) - replaced)
+        live += [folder] if folder and len(left) == len(found) else left
+    return whole.schema, _files(spark, path, "", whole.schema, live)
+
+
+def _parts(spark: SparkSession, path: str, manifest: changelog.Manifest) -> tuple[StructType, DataFrame | None, DataFrame | None]:
+    """Columns of the table, the live rows of its own files, and those of changed ones."""
+    schema, base = _base(spark, path, manifest.replaced)
+    inner = StructType([*schema.fields, StructField("_change", StringType())])
+    return schema, base, _files(spark, path, DATA, inner, sorted(manifest.added))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a stored table, with its changes."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _parts(spark, path))
+    schema, *parts = _parts(spark, path, changelog.manifest_of(spark, path))
+    rows = [part.select(*[F.col(f"`{c}`") for c in schema.names]) for part in parts if part is not None]
+    return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], schema)
+
+
+# --- changing ---------------------------------------------------------------------------
+
+
+def _touched(rows: DataFrame | None, predicate: Column, root: str) -> set[str]:
+    return set() if rows is None else {_relative(root, r[0]) for r in rows.filter(predicate).select(FILE).distinct().collect()}
+
+
+def _batches(spark: SparkSession, path: str, touched: set[str]) -> list[str]:
+    """Numbers of the micro-batches of these files; an error if one of them is not complete."""
+    folders = sorted({name.split("/")[0] for name in touched if name.startswith("batch_id=")})
+    for folder in folders:
+        if "_SUCCESS" not in names(spark, f"{path}/{folder}"):
+            raise RuntimeError(f"{folder} of {path} is not complete; change it when its writer is done")
+    return [folder.removeprefix("batch_id=") for folder in folders]
 
 
 def _rewrite(
@@ -83,33 +112,38 @@ def _rewrite(
     Without ``keep_batch`` only files of numbered batches are, and lose the number.
     Returns the number of replaced files.
     """
-    changes = changes_of(spark, path)
-    if change_id is not None and any(c["id"] == change_id for c in changes):
+    changelog.fold(spark, path)
+    manifest = changelog.manifest_of(spark, path)
+    if change_id is not None and change_id in manifest.ids:
         return 0
-    live = _parts(spark, path)
-    # Names of files, of which the driver lists all in any case.
-    found = [
-        {r[0] for r in rows.filter(predicate).select(FILE).distinct().collect()} if keep_batch or "batch_id" in rows.columns else set()
-        for rows in live
-    ]
-    touched = sorted(set().union(*found))
-    if not touched:
-        if change_id is not None:
-            _publish(spark, path, len(changes), {"id": change_id, "data": None, "replaced": []})
+    root = qualified(spark, path)
+    schema, base, changed = _parts(spark, path, manifest)
+    if not keep_batch and "batch_id" not in schema.names:
+        base = changed = None
+    replaced, dropped = _touched(base, predicate, root), _touched(changed, predicate, root)
+    batches = _batches(spark, path, replaced)
+    lines = [(CHANGE, change_id)] if change_id is not None else []
+    if replaced or dropped:
+        inner = StructType([*schema.fields, StructField("_change", StringType())])
+        old = [_files(spark, path, "", schema, sorted(replaced)), _files(spark, path, DATA, inner, sorted(dropped))]
+        columns = [F.col(f"`{c}`") for c in schema.names]
+        rows = change(reduce(DataFrame.unionByName, [part.select(*columns) for part in old if part is not None]))
+        if not keep_batch:
+            rows = rows.withColumn("batch_id", F.lit(None).cast(schema["batch_id"].dataType))
+        by = [c for c in ("batch_id", *parts) if c in rows.columns]
+        data = f"{DATA}/_change={uuid.uuid4().hex}"
+        lay_out(rows, by, [c for c in order if c in rows.columns]).write.partitionBy(*by).parquet(f"{path}/{data}")
+        fs, folder = filesystem(spark, f"{path}/{data}")
+        if any(not s.getPath().getName().startswith("_") for s in fs.listStatus(folder)):
+            written = spark.read.schema(rows.schema).parquet(f"{path}/{data}").inputFiles()
+            lines += [(DIRECTORY, data), *[(ADDED, _relative(root, uri)) for uri in written]]
+        lines += [(BATCH, batch) for batch in batches] + [(REPLACED, name) for name in sorted(replaced)] + [(DROPPED, name) for name in sorted(dropped)]
+        if batches and not replaced <= {_relative(root, uri) for uri in spark.read.schema(schema).parquet(path).inputFiles()}:
+            raise RuntimeError(f"a micro-batch of {path} was stored anew; try again")
+    elif change_id is None:
         return 0
-    old = [rows.filter(F.col(FILE).isin(sorted(names))) for rows, names in zip(live, found) if names]
-    rows = change(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), old))
-    if not keep_batch:
-        rows = rows.drop("batch_id")
-    by = [c for c in ("batch_id", *parts) if c in rows.columns]
-    data = f"{path}/{CHANGES}/data-{uuid.uuid4().hex}"
-    keys = [c for c in order if c in rows.columns]
-    lay_out(rows, by, keys).write.partitionBy(*by).parquet(data)
-    fs, folder = _filesystem(spark, data)
-    if all(s.getPath().getName().startswith("_") for s in fs.listStatus(folder)):
-        data = None  # no row is left of the replaced files
-    _publish(spark, path, len(changes), {"id": change_id, "data": data, "replaced": touched})
-    return len(touched)
+    changelog.take_effect(spark, path, manifest.number, lines)
+    return len(replaced) + len(dropped)
 
 
 def delete_from(
@@ -149,9 +183,9 @@ def merge_batches(
 ) -> int:
     """SNK-6 for a streamed table: batches up to ``last_batch`` become one clustered layout.
 
-    ``last_batch`` has to be a batch that the stream has committed, as one that is retried
-    later is stored anew. Merged rows have a NULL ``batch_id``. Batches that come later,
-    and rows that an earlier call has merged, stay as they are.
+    Merged rows have a NULL ``batch_id``; their batches are settled, so a retry of one
+    stores nothing. Batches that come later, and rows that an earlier call has merged,
+    stay as they are.
     """
     through = F.col("batch_id") <= last_batch
     return _rewrite(spark, path, parts, order, through, lambda df: df, change_id, keep_batch=False)
