@@ -24,10 +24,10 @@ def split_in_two(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame
     return df.filter(holds), df.filter(~holds)
 
 
-def tag_branches(df: DataFrame, branches: Mapping[str, Column]) -> DataFrame:
+def tag_branches(df: DataFrame, branches: Mapping[str, Column], column: str = "branch") -> DataFrame:
     """RT-3 in one pass: one output row per branch that a row matches.
 
     Use it to write all branches with ``partitionBy("branch")`` in one scan.
     """
     names = F.array(*[F.when(F.coalesce(p, F.lit(False)), F.lit(n)) for n, p in branches.items()])
-    return df.withColumn("branch", F.explode(F.array_compact(names)))
+    return df.withColumn(column, F.explode(F.array_compact(names)))

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import json
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import strict_from_json
 from tidemark.operators import decode
 from tidemark.operators.aggregate import tokenize, traffic_by_hour, with_request_date
 from tidemark.plans.base import TRAFFIC, Plan
 from tidemark.plans.counting import _count_sql
+from tidemark.plans.decoding import SENT
 from tidemark.plans.dwelling import _rows_sql
 from tidemark.schemas import TRAFFIC as TRAFFIC_SCHEMA
 from tidemark.session import new_path
 from tidemark.sinks import mutable
 from tidemark.sinks.keyed import read_latest
 from tidemark.sources import clickstream as cs
+from tidemark.sources import batch_queue
 from tidemark.sources.files import table
 from tidemark.streaming import jobs, state
 
@@ -92,6 +96,10 @@ def _refused(payload: str) -> str:
     return json.dumps({"success": not payload.endswith("7")})
 
 
+def _unsent(payload: str) -> str:
+    return json.dumps({"success": not json.loads(payload)["sign"].endswith("7")})
+
+
 def stream_delivery(spark: SparkSession, sf: str) -> DataFrame:
     """A job that delivers visitors with an injected sender and stores the outcomes."""
     path = new_path(spark, "delivered")
@@ -152,6 +160,68 @@ def stream_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
     return traffic_by_hour(rows).withColumn("req_date", F.date_format("req_date", "yyyy-MM-dd"))
 
 
+QUEUED = 3
+
+
+def stream_queue_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """A queue read batch by batch, set back by one batch, then read on with one more.
+
+    Every quarter of the events is a batch; the one that was read last before the set-back
+    is read twice.
+    """
+    queue, path = new_path(spark, "queue"), new_path(spark, "queued")
+    rows = cs.traffic(spark, sf)
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    width = (high - low) // (QUEUED + 1) + 1
+    messages = rows.select("event_id", F.to_json(F.struct(*rows.columns)).alias("value"))
+
+    def arrive(quarter: int) -> None:
+        first = low + quarter * width
+        batch_queue.enqueue(messages.filter((F.col("event_id") >= first) & (F.col("event_id") < first + width)), queue, f"quarter-{quarter}")
+
+    spec = jobs.JobSpec(
+        name="queued", topic=queue, source="queue", source_options={"consumer": "facts"},
+        operator=lambda df: df.select("batch_key", strict_from_json("value", f"STRUCT<{TRAFFIC_SCHEMA}>").alias("row")).select("batch_key", "row.*"),
+        sink="parquet", sink_options={"path": path}, until_drained=True,
+    )
+    for quarter in range(QUEUED):
+        arrive(quarter)
+    jobs.drain_queue(spark, spec)
+    batch_queue.set_position(spark, queue, "facts", batch_queue.get_position(spark, queue, "facts") - 1)
+    arrive(QUEUED)
+    jobs.drain_queue(spark, spec)
+    return spark.read.parquet(path).groupBy("batch_key", "website").agg(
+        F.countDistinct("event_id").alias("n_events"), F.count("*").alias("n_reads"), F.countDistinct("batch_id").alias("n_batches")
+    )
+
+
+def stream_route_branches(spark: SparkSession, sf: str) -> DataFrame:
+    """One parse of event batches, split to a table, a delivery and a table of rejects."""
+    path = new_path(spark, "routed")
+    branches = {
+        "pass": jobs.Branch("branch = 'pass'", "parquet", {"path": f"{path}/pass"}),
+        "divert": jobs.Branch("branch = 'divert'", "deliver", {"path": f"{path}/divert", "send": _unsent}),
+        "reject": jobs.Branch("branch = 'reject'", "parquet", {"path": f"{path}/reject"}),
+    }
+
+    def operator(df: DataFrame) -> DataFrame:
+        envelopes = decode.decode_envelopes(df, args_type="STRUCT<events: VARIANT>")
+        return decode.route_events(envelopes, cs.ROUTES, cs.BATCH_TOPICS)
+
+    messages = cs.event_envelopes(cs.traffic(spark, sf)).withColumn("at", F.get_json_object("value", "$.ReceiveTime").cast("bigint"))
+    spec = jobs.JobSpec(name="routed", topic=new_path(spark, "messages"), source="messages", operator=operator, branches=branches)
+    _in_steps(spark, messages, spec, "at", text=True)
+    none = F.lit(None)
+    sent = F.from_json("payload", "event_file STRING, sign STRING")
+    parts = [
+        spark.read.parquet(f"{path}/pass").select("topic", "uri", "sign", none.cast("string").alias("reason"), none.cast("int").alias("attempts")),
+        spark.read.parquet(f"{path}/divert").select(sent["event_file"].alias("topic"), none.cast("string").alias("uri"), sent["sign"].alias("sign"), none.cast("string").alias("reason"), "attempts"),
+        spark.read.parquet(f"{path}/reject").select("topic", none.cast("string").alias("uri"), "sign", "reason", none.cast("int").alias("attempts")),
+    ]
+    stored = [part.withColumn("branch", F.lit(name)) for part, name in zip(parts, branches, strict=True)]
+    return reduce(DataFrame.unionByName, stored).groupBy("branch", "topic", "uri", "sign", "reason", "attempts").agg(F.count("*").alias("n"))
+
+
 PLANS = [
     Plan("stream_word_count", "AG-2 ST-3 SRC-7 SNK-7", stream_word_count, _count_sql("documents")),
     Plan("stream_first_seen", "UV-4 UV-5 ST-2", stream_first_seen, f"""
@@ -172,4 +242,21 @@ with {TRAFFIC}
 select plat, agent_type, website, req_date, req_hour, count(*) as pv_count,
        count(distinct visit_id) as uv_count, count(distinct ip) as ip_count
 from traffic where website in ('view', 'click', 'purchase') group by all"""),
+    Plan("stream_queue_positions", "SRC-4 SRC-7 UDF-7", stream_queue_positions, f"""
+with {TRAFFIC}, bounds as (select min(event_id) as low, (max(event_id) - min(event_id)) // {QUEUED + 1} + 1 as width from traffic),
+placed as (select *, (event_id - low) // width as quarter from traffic, bounds)
+select 'quarter-' || quarter as batch_key, website, count(*) as n_events,
+  count(*) * any_value(case when quarter = {QUEUED - 1} then 2 else 1 end) as n_reads,
+  any_value(case when quarter = {QUEUED - 1} then 2 else 1 end) as n_batches from placed group by quarter, website"""),
+    Plan("stream_route_branches", "RT-1 RT-2 SNK-8 SNK-10 DEC-7 DEC-8 DEC-11", stream_route_branches, f"""
+{SENT}, reasoned as (
+  select *, case when topic = 'unknown' then 'error topic' when topic in ('view', 'click') and broken = 'bad data' then null
+    else broken end as reason from sent),
+branched as (
+  select *, case when reason is not null then 'reject' when topic in ('view', 'click') then 'pass' else 'divert' end as branch from reasoned)
+select branch, topic,
+  case when branch = 'pass' and topic = 'view' then '/view' end as uri, visit_id as sign, reason,
+  case when branch = 'divert' then case when visit_id like '%7' then 3 else 1 end end as attempts, count(*) as n
+from (select * replace (case when topic = 'app_vip_open' and branch = 'divert' then 'vip_open' else topic end as topic) from branched)
+group by all"""),
 ]
