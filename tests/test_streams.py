@@ -192,3 +192,35 @@ def test_first_seen_comes_from_the_first_batch_that_has_it(spark, tmp_path):
         write_json(df.select("k", "visit_id", "event_id", F.timestamp_seconds("t").alias("ts")).coalesce(1), str(source), step)
         jobs.drain(jobs.start_job(spark, spec))
     assert [r.event_id for r in spark.read.parquet(out).collect()] == [9]
+
+
+def test_late_rows_come_out_apart(spark, tmp_path):
+    """A slot takes rows until the watermark is an hour past it; what comes after is late, and nothing is lost."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    branches = {name: jobs.Branch(where, "parquet", {"path": f"{out}/{name}"}) for name, where in (("taken", "NOT late"), ("late", "late"))}
+    spec = replace(
+        dwell_job(tmp_path), operator=lambda df: state.dwell_stream(df, delay="10 minutes", buckets=3, outcomes=True),
+        sink=None, sink_options={}, branches=branches,
+    )
+    # BASE begins a slot: it takes rows until the watermark is 5400 seconds after it.
+    arrivals = [
+        [(0, "A", 0), (1, "B", 100), (2, "B", 100), (3, "B", 100)],
+        [(4, "A", 5400 + 599)],  # watermark 5399 from here on
+        [(5, "B", 160), (6, "A", 5400 + 600)],  # still taken; watermark 5400
+        [(7, "B", 200), (8, "B", 1799), (9, "C", 1800), (10, "C", 6100)],
+    ]
+    for step, rows in enumerate(arrivals):
+        write_json(events(spark, rows).coalesce(1), source, step)
+        jobs.drain(jobs.start_job(spark, spec))
+    late = spark.read.parquet(f"{out}/late")
+    assert sorted((r.event_id, r.sign - BASE, r.view_time, r.n) for r in late.collect()) == [(7, 200, None, 1), (8, 1799, None, 1)]
+    taken = {r.event_id: (r.website, r.view_time, r.n) for r in spark.read.parquet(f"{out}/taken").collect()}
+    # 1 stands for 2 also, as 3 is the last of the three rows of that second.
+    assert taken == {0: ("A", 0, 1), 1: ("A", 100, 2), 3: ("B", 0, 1), 4: ("A", 0, 1), 5: ("B", 60, 1), 6: ("A", 1, 1), 9: ("C", 0, 1), 10: ("A", 100, 1)}
+    assert sum(n for *_, n in taken.values()) + late.count() == sum(map(len, arrivals))
+
+
+def test_merged_rows_are_counted(spark):
+    df = spark.createDataFrame([("a", i, 1) for i in range(50)] + [("b", 99, 1)], "k string, i long, n long").coalesce(1)
+    assert sorted(tuple(r) for r in state.merge_repeats(df, ["k"], "i", count="n").collect()) == [("a", 0, 50), ("b", 99, 1)]
+    assert sorted(tuple(r) for r in state.merge_repeats(df, ["k"], "i", ends=True, count="n").collect()) == [("a", 0, 49), ("a", 49, 1), ("b", 99, 1)]

@@ -92,6 +92,26 @@ def stream_dwell_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Dwell of a stream of which a fifth arrives after the rest of its half: what comes too late goes to a table of its own."""
+    path = new_path(spark, "dwell")
+    branches = {
+        "taken": jobs.Branch("NOT late", "parquet", {"path": f"{path}/taken"}),
+        "late": jobs.Branch("late", "parquet", {"path": f"{path}/late"}),
+    }
+    spec = jobs.JobSpec(
+        name="late", topic=new_path(spark, "traffic"), source="json", source_options={"schema": TRAFFIC_SCHEMA},
+        operator=lambda df: state.dwell_stream(df, outcomes=True), branches=branches,
+    )
+    rows = cs.traffic(spark, sf)
+    low, high = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    early = (F.col("event_id") < low + (high - low) // 2) & (F.col("event_id") % 5 != 0)
+    _in_steps(spark, rows.withColumn("step", F.when(early, 0).otherwise(1)), spec, "step")
+    shown = [spark.read.parquet(f"{path}/{name}").withColumn("outcome", F.lit(name)) for name in branches]
+    slot = F.date_format(F.timestamp_seconds("slot"), "yyyy-MM-dd")
+    return reduce(DataFrame.unionByName, shown).groupBy("outcome", "visit_id", slot.alias("date")).agg(F.sum("n").alias("n"))
+
+
 def _refused(payload: str) -> str:
     return json.dumps({"success": not payload.endswith("7")})
 
@@ -229,6 +249,12 @@ with {TRAFFIC} select distinct req_date as date, plat, agent_type, website, visi
     Plan("stream_dwell", "DW-8 DW-9 ST-2 ST-3", stream_dwell, _rows_sql(1800)),
     Plan("stream_dwell_nulls", "DW-9", stream_dwell_nulls, _rows_sql(1800).replace(
         "cast(1 + user_id % 2 as integer) as plat", "case when user_id % 3 <> 0 then cast(1 + user_id % 2 as integer) end as plat")),
+    Plan("stream_late_rows", "ST-2 DW-8 RT-1", stream_late_rows, f"""
+with {TRAFFIC}, bounds as (select min(event_id) as low, max(event_id) as high from traffic),
+stepped as (select *, event_id < low + (high - low) // 2 and event_id % 5 <> 0 as early from traffic, bounds),
+watermark as (select max(req_time) - 3600 as w from stepped where early)
+select case when not early and req_time // 1800 * 1800 + 5400 <= w then 'late' else 'taken' end as outcome,
+  visit_id, req_date as date, count(*) as n from stepped, watermark group by all"""),
     Plan("stream_delivery", "SNK-8 SNK-10", stream_delivery, f"""
 with {TRAFFIC} select visit_id as sign, case when visit_id like '%7' then 3 else 1 end as attempts,
   case when visit_id like '%7' then 0 else 1 end as ok, count(*) as n from traffic where website = 'purchase' group by all"""),

@@ -196,6 +196,8 @@ def start_job(spark: SparkSession, spec: JobSpec) -> StreamingQuery:
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.streaming.pollingDelay", f"{spec.poll_seconds}s")
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    # A micro-batch stores what it changed; the whole state follows in the background.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     own.conf.set(
         "spark.sql.shuffle.partitions", spec.parallelism or spark.conf.get("spark.sql.shuffle.partitions")
     )

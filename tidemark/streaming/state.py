@@ -7,15 +7,17 @@ at a time, so a busy key arrives in a small number of rows.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from tidemark.functions.nulls import NOT_SET
 from tidemark.functions.times import slot_start
@@ -26,13 +28,14 @@ SLOT = 1800
 DWELL_TTL = 3600
 
 
-def merge_repeats(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], ends: bool = False) -> DataFrame:
+def merge_repeats(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], ends: bool = False, count: str | None = None) -> DataFrame:
     """Keep the first row of each key per Arrow batch; with ``ends`` also the last.
 
-    Values stay as they are, and NULL is a key like any other.
+    Values stay as they are, and NULL is a key like any other. The column ``count``, if
+    named, becomes the number of rows that a kept one stands for.
     """
     by, sort = list(keys), [(c, "ascending") for c in ([order] if isinstance(order, str) else order)]
-    wanted = [("_at", "min"), ("_at", "max")] if ends else [("_at", "min")]
+    wanted = [("_at", "min"), ("_at", "max"), ("_at", "count")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -40,8 +43,17 @@ def merge_repeats(df: DataFrame, keys: Sequence[str], order: str | Sequence[str]
                 rows = pa.Table.from_batches([batch])
                 rows = rows.take(pc.sort_indices(rows, sort_keys=sort))
                 kept = rows.select(by).append_column("_at", pa.array(range(rows.num_rows))).group_by(by).aggregate(wanted)
-                at = pc.unique(pa.chunked_array([c for name in kept.column_names if name.startswith("_at_") for c in kept.column(name).chunks]))
-                yield from rows.take(at.sort()).to_batches()
+                first, last, n = (kept.column(f"_at_{name}").to_numpy() for name in ("min", "max", "count"))
+                stands_for = np.zeros(rows.num_rows, np.int64)
+                if ends:
+                    stands_for[last] = 1
+                    n = n - (last != first)
+                stands_for[first] = n
+                at = np.flatnonzero(stands_for)
+                rows = rows.take(pa.array(at))
+                if count is not None:
+                    rows = rows.set_column(rows.column_names.index(count), count, pa.array(stands_for[at]))
+                yield from rows.to_batches()
 
     return df.mapInArrow(run, df.schema)
 
@@ -130,61 +142,76 @@ _DWELL = (
     "event_id BIGINT, plat INT, agent_type INT, visit_id STRING, slot BIGINT, channel STRING, "
     "website STRING, sign BIGINT, view_time BIGINT"
 )
-_DWELL_COLUMNS = [c.split()[0] for c in _DWELL.split(", ")]
-_EVENT_COLUMNS = [*VISIT_KEYS, "slot", "req_time", "event_id", "website", "channel"]
-# Numbers that may be NULL travel as text: a NULL would make the others floats.
-_AS_TEXT = ("plat", "agent_type", "event_id")
-_VIEWS = (
-    "plat ARRAY<INT>, agent_type ARRAY<INT>, visit_id ARRAY<STRING>, slot ARRAY<BIGINT>, "
-    "sign ARRAY<BIGINT>, page ARRAY<STRING>, start ARRAY<BIGINT>, end ARRAY<BIGINT>, opened ARRAY<BIGINT>"
-)
+_OUTCOMES = f"{_DWELL}, late BOOLEAN, n BIGINT"
+_EVENT_COLUMNS = ["slot", "plat", "agent_type", "visit_id", "req_time", "event_id", "website", "channel", "n"]
+#: Slots that share a block of state: two hours.
+BLOCK = 4 * SLOT
+
 
+class DwellProcessor(StatefulProcessor):
+    """The views of a block of slots and bucket of visits, as a map from slot and visit to its views.
+
+    A batch reads and writes the visits that it has events of.  A visit travels as one text,
+    and so do its views: converting lists for the state store costs more than the work itself.
+    """
 
-def _values(batch: pd.DataFrame, column: str) -> list:
-    if column in _AS_TEXT:
-        return [None if v is None else int(v) for v in batch[column].tolist()]
-    return batch[column].tolist()
-
-
-def _dwell_bucket(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Take the new events of a bucket of visits; keep their views for the hour after the slot."""
-    watermark = state.getCurrentWatermarkMs() // 1000
-    visits: dict[tuple, dict[tuple[int, str], list[int]]] = {}
-    for *visit, sign, page, start, end, opened in zip(*state.get) if state.exists else ():
-        if visit[3] + SLOT + DWELL_TTL > watermark:
-            visits.setdefault(tuple(visit), {})[sign, page] = [start, end, opened]
-    out = []
-    if not state.hasTimedOut:
-        events = [row for batch in batches for row in zip(*(_values(batch, c) for c in _EVENT_COLUMNS))]
-        logs: dict[tuple, ViewLog] = {}
-        for *key, t, event_id, page, channel in sorted(events, key=lambda e: (e[4], e[5] is not None, e[5] or 0)):
-            visit = tuple(key)
-            if visit not in logs:
-                logs[visit] = ViewLog(visits.setdefault(visit, {}))
-            grown = logs[visit].add(page, t)
-            if grown:
-                out.append((event_id, *visit, channel or NOT_SET, *grown))
-    rows = [(*visit, *view, *times) for visit, views in visits.items() for view, times in views.items()]
-    if rows:
-        state.update(tuple(list(column) for column in zip(*rows)))
-        last = max(visit[3] for visit in visits) + SLOT + DWELL_TTL
-        state.setTimeoutTimestamp(max(last, watermark + 1) * 1000)
-    else:
-        state.remove()
-    if out:
-        yield pd.DataFrame(out, columns=_DWELL_COLUMNS)
-
-
-def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = None) -> DataFrame:
+    def __init__(self, outcomes: bool):
+        self.outcomes = outcomes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.views = handle.getMapState("views", "slot BIGINT, visit STRING", "views STRING")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs() // 1000
+        known, logs, block = self.views.exists(), {}, key[0]
+        events = sorted(rows, key=lambda e: (e[4], e[5] is not None, e[5] or 0))
+        for slot, plat, agent_type, visit_id, t, event_id, page, channel, n, *_ in events:
+            grown, late = None, slot + SLOT + DWELL_TTL <= watermark
+            if not late:
+                visit = slot, json.dumps((plat, agent_type, visit_id))
+                if visit not in logs:
+                    logs[visit] = ViewLog(self._stored(visit) if known else {})
+                grown = logs[visit].add(page, t)
+            if grown or self.outcomes:
+                website, sign, seconds = grown or (page, t, None if late else 0)
+                told = dict(event_id=event_id, plat=plat, agent_type=agent_type, visit_id=visit_id, slot=slot)
+                told |= dict(channel=channel or NOT_SET, website=website, sign=sign, view_time=seconds)
+                yield Row(**told, late=late, n=n) if self.outcomes else Row(**told)
+        if logs and not known:
+            self.handle.registerTimer((block + BLOCK + DWELL_TTL) * 1000)
+        for visit, log in logs.items():
+            self.views.updateValue(visit, (json.dumps([(*view, *times) for view, times in log.views.items()]),))
+
+    def _stored(self, visit: tuple[int, str]) -> dict[tuple[int, str], list[int]]:
+        stored = self.views.getValue(visit)
+        return {(sign, page): times for sign, page, *times in json.loads(stored[0])} if stored else {}
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.views.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = None, outcomes: bool = False) -> DataFrame:
     """DW-9: dwell increments of a stream, each emitted as soon as it is known.
 
     Equals ``dwell_rows`` when a visit's events arrive in time order; a late event
     extends the nearest view of its page, or opens one. Events without a time take no part.
 
-    State is kept per slot and bucket of visits, since calling Python once per visit costs
-    far more than the work itself; that of past slots is neither read nor written, and goes
-    whole. By default a slot has as many buckets as the session has shuffle partitions; a
-    checkpoint belongs to one number of buckets, as it does to one of partitions.
+    DW-8, ST-2: a slot takes events until the watermark, ``delay`` behind the latest event,
+    is an hour past the slot. With ``outcomes`` every event comes out once: ``late`` is true
+    for those behind that, with a NULL ``view_time``; the others have the seconds they
+    added, 0 for none. ``sign`` is then the event's own time, as no view holds it, and
+    ``n`` counts the events that a row stands for: those of a visit with the same second and page
+    are one where they come together. A ``Branch`` on ``late`` stores them apart.
+
+    State is a map of the visits of a block of slots and bucket, as calling Python once per
+    visit costs far more than the work itself; it goes whole when its slots are past. By
+    default there are as many buckets as the session has shuffle partitions; a checkpoint
+    belongs to one number of buckets, as it does to one of partitions.
     """
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -197,13 +224,17 @@ def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = Non
         "channel",
         "website",
         "req_time",
+        F.lit(1).cast("long").alias("n"),
     )
-    merged = merge_repeats(events, [*visit, "req_time", "website"], "event_id", ends=True)
+    merged = merge_repeats(events, [*visit, "req_time", "website"], "event_id", ends=True, count="n")
     return (
-        merged.withColumn("bucket", F.pmod(F.xxhash64(*visit), F.lit(buckets)))
-        .withColumns({c: F.col(c).cast("string") for c in _AS_TEXT})
-        .withWatermark("ts", delay)
-        .withColumn("of_slot", F.col("slot"))
-        .groupBy("of_slot", "bucket")
-        .applyInPandasWithState(_dwell_bucket, _DWELL, _VIEWS, "append", GroupStateTimeout.EventTimeTimeout)
+        merged.withWatermark("ts", delay)
+        # Without the time itself Spark leaves rows behind the watermark to the operator.
+        .select(
+            *_EVENT_COLUMNS,
+            (F.col("slot") - F.pmod("slot", F.lit(BLOCK))).alias("block"),
+            F.pmod(F.xxhash64(*visit), F.lit(buckets)).alias("bucket"),
+        )
+        .groupBy("block", "bucket")
+        .transformWithState(DwellProcessor(outcomes), _OUTCOMES if outcomes else _DWELL, "Append", "EventTime")
     )
