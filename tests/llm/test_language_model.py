@@ -89,6 +89,67 @@ def test_probabilities_sum_to_one(spark):
     assert [by_class[c] + 0.5 for c in range(maxent_lm.CLASSES)] == pytest.approx(list(norm))
 
 
+def plain_log10(model, text):
+    """The model's log10 probability of a text, word by word in plain Python."""
+    coder, counts = maxent_lm.Coder(), {r["word"]: r["count"] for r in model.counts.select("word", "count").collect()}
+    codes = [int(c) for c in coder.encode(text)]
+    classes = [int(model.classes[c % maxent_lm.KEYS]) for c in codes] + [maxent_lm.END]
+    mask, mix = 2**64 - 1, [int(m) for m in maxent_lm._MIX]
+    total = 0.0
+    for i, own in enumerate(classes):
+        one, two = (codes[i - k] if i >= k else 0 for k in (1, 2))
+        before = classes[i - 1] if i else maxent_lm.END
+        rows = [
+            maxent_lm.ANY,
+            (one * mix[0] & mask) >> 48,
+            ((two + 1) * mix[1] & mask) >> 48,
+            (((one * mix[2] & mask) ^ (two * mix[3] & mask)) * mix[0] & mask) >> 48,
+            (before + 7) * 31,
+        ]
+        logits = [sum(float(model.weights[r][c]) for r in rows) for c in range(maxent_lm.CLASSES)]
+        of_class = math.exp(logits[own]) / sum(map(math.exp, logits))
+        word = maxent_lm.END_CODE if i == len(codes) else int(np.array([codes[i]], np.uint64).view(np.int64)[0])
+        share = (counts.get(word, 0) + 0.5) / (model.class_tokens[own] + 0.5 * (model.class_types[own] + 1))
+        total += math.log10(of_class * share)
+    return total
+
+
+def test_scores_are_those_of_the_model(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = maxent_lm.fit(docs)
+    few = docs.where("doc_id % 10 = 3").unionByName(spark.createDataFrame([(-1, "zzzq unseen words"), (-2, None), (-3, "a")], "doc_id long, text string"), allowMissingColumns=True)
+    for r in (scored := {r.doc_id: r for r in maxent_lm.score(few, model).collect()}).values():
+        text = next(d.text for d in few.where(F.col("doc_id") == r.doc_id).collect())
+        assert r.score == pytest.approx(plain_log10(model, text), rel=1e-4)
+    assert len(scored) == few.count()
+
+
+def test_words_of_batches_are_those_of_texts():
+    import pyarrow as pa
+
+    coder = maxent_lm.Coder()
+    texts = [text for _, text in ROWS] + [" a\x0bb\x1cc\x85d e\u3000f\x0c", "\r\n", "ÀA ßZ\tİ"]
+    codes, lengths = coder.encode_all(pa.array(texts, pa.string()))
+    assert np.array_equal(codes, np.concatenate([coder.encode(t) for t in texts])) and lengths.tolist() == [len(coder.encode(t)) for t in texts]
+
+
+def test_changes_are_averaged_by_row(spark):
+    """A row that one task met moves as that task says; levels give what one group would."""
+    rng = np.random.default_rng(5)
+    rows, total, times = [], np.zeros((maxent_lm.ROWS // maxent_lm.BLOCKS, 2, maxent_lm.CLASSES)), np.zeros(maxent_lm.ROWS // maxent_lm.BLOCKS)
+    for task in range(0, 3000, 37):
+        used = np.sort(rng.choice(50, 20, replace=False)) if task else np.array([900])
+        met, change = rng.integers(1, 9, len(used)).astype(np.float32), rng.normal(size=(len(used), 2, maxent_lm.CLASSES)).astype(np.float16)
+        rows.append((3, task, used.astype(np.uint16).tobytes(), met.tobytes(), change.tobytes()))
+        total[used] += met[:, None, None] * change
+        times[used] += met
+    (got,) = maxent_lm._together(spark.createDataFrame(rows, maxent_lm.CHANGE).repartition(5)).collect()
+    used = np.frombuffer(got["used"], np.uint16)
+    assert got["block"] == 3 and used.tolist() == np.flatnonzero(times).tolist()
+    assert np.frombuffer(got["met"], np.float32) == pytest.approx(times[used])
+    assert np.frombuffer(got["change"], np.float16).reshape(-1, 2, maxent_lm.CLASSES) == pytest.approx(total[used] / times[used, None, None], abs=5e-3)
+
+
 def test_null_id_is_held_out(spark):
     frame = spark.createDataFrame([(None,), (0,)], "doc_id long").select("doc_id", maxent_lm.held_out(F.col("doc_id")).alias("h"))
     assert {(r.doc_id, r.h) for r in frame.collect()} == {(None, True), (0, is_held_out(0))}

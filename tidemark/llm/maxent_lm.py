@@ -22,16 +22,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, stored, words_of
+from tidemark.llm.common import WordHashes, giving_back, stored, words_of
 
 #: Hashed weight rows, classes (the last is the end of a text), keys of endings, and
 #: hashed neighbours that describe a key.
 ROWS, CLASSES, KEYS, NEIGHBOURS = 1 << 16, 16, 1 << 12, 64
 END = CLASSES - 1
-#: Blocks of weight rows in which changes are put together.
-BLOCKS = 64
+#: The weight row of all contexts.
+ANY = 0
+#: Blocks of weight rows in which changes are put together, and of how many tasks at a time.
+BLOCKS, FAN = 64, 32
 #: Tokens of a gradient step, rounds over shares of the training texts.
-STEP_TOKENS, ROUNDS, RATE = 1 << 15, 2, 0.3
+STEP_TOKENS, ROUNDS, RATE = 1 << 15, 3, 0.3
+#: Bytes of texts that are encoded together.
+ENCODED_BYTES = 1 << 24
 #: Words whose counts travel to the tasks, in a table of so many places; a word whose
 #: place a more frequent one has, and all others, are joined to their counts.
 KNOWN_LIMIT, PLACES = 1 << 18, 1 << 20
@@ -60,6 +64,19 @@ class Coder(WordHashes):
         words = words_of(text)
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all words of the texts, one after the other, and the number of words of each text."""
+        import pyarrow.compute as pc
+
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        words, owners = parts.flatten(), pc.list_parent_indices(parts)
+        there = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty part
+        lengths = np.bincount(owners.filter(there).to_numpy(), minlength=len(texts))
+        found = words.filter(there).dictionary_encode()
+        different = found.dictionary.cast(pa.binary()).to_pylist()
+        codes = np.fromiter(map(self.__getitem__, different), np.uint64, len(different))
+        return codes[found.indices.to_numpy()], lengths
+
 
 def key_of(codes: np.ndarray) -> np.ndarray:
     return (codes & np.uint64(KEYS - 1)).astype(np.int64)
@@ -74,12 +91,40 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], coder: Coder, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+#: Texts, their numbers and words: what training and scoring read.
+ENCODED = "row long, doc_id long, held_out boolean, codes binary"
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A stored table of every row's words as codes, eight bytes a word, so that texts are taken apart once."""
+    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
+
+    @giving_back
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder()
+        for batch in batches:
+            size, first = 0, 0
+            # Some texts at a time, as codes are larger than words.
+            for i, n in enumerate(batch.column("text")):
+                size += len(n.as_buffer() or b"") if n.is_valid else 0
+                if size >= ENCODED_BYTES or i == batch.num_rows - 1:
+                    part = batch.slice(first, i + 1 - first)
+                    codes, lengths = coder.encode_all(part.column("text"))
+                    ends = np.append(0, np.cumsum(lengths) * 8).astype(np.int64)
+                    packed = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(codes)]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held_out"), packed], ["row", "doc_id", "held_out", "codes"])
+                    size, first = 0, i + 1
+
+    # Stored, so that the numbers of the rows stay as they are.
+    return stored(read.mapInArrow(run, ENCODED), "encoded")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Codes and lengths of whole texts put together up to about ``most`` words."""
     codes, held = [], 0
     for batch in batches:
-        for text in batch.column("text"):
-            codes.append(coder.encode(text.as_py()))
+        for text in batch.column("codes"):
+            codes.append(np.frombuffer(text.as_buffer(), np.uint64))
             held += len(codes[-1])
             if held >= most:
                 yield np.concatenate(codes), np.array([len(c) for c in codes])
@@ -94,12 +139,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of neighbour counts a row has the cell (key and hashed neighbour) as ``word`` and
     ``kind`` 1.
     """
-    coder, near = Coder(), np.zeros(KEYS * NEIGHBOURS, np.int64)
+    near = np.zeros(KEYS * NEIGHBOURS, np.int64)
 
     def table(kind: int, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(words), kind, np.int32)), pa.array(words), pa.array(counts.astype(np.int64))], ["kind", "word", "count"])
 
-    for codes, lengths in _chunks(batches, coder, 1 << 20):
+    for codes, lengths in _chunks(batches, 1 << 20):
         words, counts = np.unique(codes, return_counts=True)
         yield table(0, np.append(words, np.uint64(END_CODE)).view(np.int64), np.append(counts, len(lengths)))
         keys, inside = key_of(codes), np.ones(len(codes), bool)
@@ -159,18 +204,37 @@ def contexts(codes: np.ndarray, classes: np.ndarray, lengths: np.ndarray) -> tup
 def log_softmax(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     """Natural logarithms of the class probabilities of each context."""
     logits = weights[rows[0]]
+    logits += weights[ANY]
     for row in rows[1:]:
         logits += weights[row]
     logits -= logits.max(1, keepdims=True)
     return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
 
+CHANGE = "block int, part int, used binary, met binary, change binary"
+
+
+def _changes(block: int, part: int, used: np.ndarray, met: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int32()), pa.array([part], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (used, met, change)]],
+        ["block", "part", "used", "met", "change"],
+    )
+
+
 def _train_round(classes: np.ndarray, weights, squares):
-    """Gradient steps over a task's texts; then its changes, weighed by its tokens, in blocks of rows."""
+    """Gradient steps over a task's texts; then its changes, in blocks of rows, with how often it met each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, w, g, seen = Coder(), weights.value.copy(), squares.value.copy(), 0
-        for codes, lengths in _chunks(batches, coder, STEP_TOKENS):
+        from pyspark import TaskContext
+
+        w, g, met = weights.value.copy(), squares.value.copy(), np.zeros(ROWS, np.float32)
+
+        def move(used, step, times) -> None:
+            g[used] += step * step
+            w[used] -= RATE * step / np.sqrt(g[used])
+            met[used] += times
+
+        for codes, lengths in _chunks(batches, STEP_TOKENS):
             rows, at = contexts(codes, classes[key_of(codes)], lengths)
             pull = np.exp(log_softmax(w, rows))
             pull[np.arange(len(at)), at] -= 1
@@ -179,27 +243,41 @@ def _train_round(classes: np.ndarray, weights, squares):
                 order = np.argsort(row, kind="stable")  # a radix sort, for this type
                 sorted_rows = row[order]
                 first = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
-                used, step = sorted_rows[first], np.add.reduceat(pull[order], first, axis=0)
-                g[used] += step * step
-                w[used] -= RATE * step / np.sqrt(g[used])
-            seen += len(at)
-        if seen:
-            # Half precision is enough for changes that are averaged; rows without any stay here.
-            changes = np.stack([w - weights.value, np.sqrt(g) - np.sqrt(squares.value)], axis=1).astype(np.float16)
-            for block, part in enumerate(np.split(changes, BLOCKS)):
-                used = np.flatnonzero(part.any((1, 2))).astype(np.uint16)
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "seen": [seen], "used": [used.tobytes()], "change": [part[used].tobytes()]})
+                move(sorted_rows[first], np.add.reduceat(pull[order], first, axis=0), np.diff(np.append(first, len(row))))
+            move(ANY, pull.sum(0), len(at))
+        task = TaskContext.get().partitionId()
+        for block in range(BLOCKS):
+            rows = slice(block * ROWS // BLOCKS, (block + 1) * ROWS // BLOCKS)
+            used = np.flatnonzero(met[rows])
+            if len(used):
+                # Half precision is enough for changes that are averaged; rows without any stay here.
+                change = np.stack([w[rows][used] - weights.value[rows][used], np.sqrt(g[rows][used]) - np.sqrt(squares.value[rows][used])], axis=1)
+                yield _changes(block, task, used.astype(np.uint16), met[rows][used], change.astype(np.float16))
 
     return run
 
 
 def _averaged(table: pa.Table) -> pa.Table:
-    """Changes of a block of rows, averaged over the tasks by their tokens."""
-    seen = np.array(table.column("seen").to_pylist(), np.float64)
-    total = np.zeros((ROWS // BLOCKS, 2, CLASSES), np.float64)
-    for used, part, weight in zip(table.column("used"), table.column("change"), seen / seen.sum(), strict=True):
-        total[np.frombuffer(used.as_buffer(), np.uint16)] += weight * np.frombuffer(part.as_buffer(), np.float16).reshape(-1, 2, CLASSES)
-    return pa.table({"block": table.column("block").slice(0, 1), "change": [total.astype(np.float32).tobytes()]})
+    """Changes of a block of rows, averaged over up to FAN tasks by how often each met the row."""
+    total, times = np.zeros((ROWS // BLOCKS, 2, CLASSES), np.float32), np.zeros(ROWS // BLOCKS, np.float32)
+    for used, met, change in zip(table.column("used"), table.column("met"), table.column("change"), strict=True):
+        at, met = np.frombuffer(used.as_buffer(), np.uint16), np.frombuffer(met.as_buffer(), np.float32)
+        total[at] += met[:, None, None] * np.frombuffer(change.as_buffer(), np.float16).reshape(-1, 2, CLASSES)
+        times[at] += met
+    used = np.flatnonzero(times)
+    change = total[used] / times[used, None, None]
+    return pa.Table.from_batches([_changes(table.column("block")[0].as_py(), table.column("part")[0].as_py(), used.astype(np.uint16), times[used], change.astype(np.float16))])
+
+
+def _together(changes: DataFrame) -> DataFrame:
+    """One row of changes for each block, put together FAN tasks at a time, level by level.
+
+    Three levels are enough for a million tasks in each group of the last one to be 1,000 parts.
+    """
+    for fan in (FAN, FAN, None):
+        grouped = changes.withColumn("part", (F.floor(F.col("part") / fan) if fan else F.lit(0)).cast("int"))
+        changes = grouped.groupBy("block", "part").applyInArrow(_averaged, CHANGE)
+    return changes
 
 
 @dataclass
@@ -225,9 +303,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
 
     Without such rows all counts are zero and the class model is uniform.
     """
-    spark = docs.sparkSession
-    read = docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    parts = read.select("text").mapInArrow(_count, "kind int, word long, count long")
+    return fit_encoded(encode(docs, id_col, text_col))
+
+
+def fit_encoded(encoded: DataFrame) -> Model:
+    """``fit`` on texts that are encoded already."""
+    spark = encoded.sparkSession
+    read = encoded.where("NOT held_out").select("doc_id", "codes")
+    parts = read.select("codes").mapInArrow(_count, "kind int, word long, count long")
     sums = stored(parts.groupBy("kind", "word").agg(F.sum("count").alias("count")), "counts")
     counts = sums.where("kind = 0").select("word", "count")
     near = np.zeros(KEYS * NEIGHBOURS)
@@ -249,10 +332,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
     share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(ROUNDS))
     for part in range(ROUNDS):
         sent = [spark.sparkContext.broadcast(x) for x in (weights, squares)]
-        changes = read.where(share == part).select("text").mapInArrow(_train_round(classes, *sent), "block int, seen long, used binary, change binary")
-        for row in changes.groupBy("block").applyInArrow(_averaged, "block int, change binary").collect():  # as large as the model
-            at = slice(row["block"] * ROWS // BLOCKS, (row["block"] + 1) * ROWS // BLOCKS)
-            change = np.frombuffer(row["change"], np.float32).reshape(-1, 2, CLASSES)
+        changes = read.where(share == part).select("codes").mapInArrow(_train_round(classes, *sent), CHANGE)
+        for row in _together(changes).collect():  # as large as the model
+            at = row["block"] * ROWS // BLOCKS + np.frombuffer(row["used"], np.uint16).astype(np.int64)
+            change = np.frombuffer(row["change"], np.float16).reshape(-1, 2, CLASSES).astype(np.float32)
             weights[at] += change[:, 0]
             squares[at] = (np.sqrt(squares[at]) + change[:, 1]) ** 2
     return Model(weights, classes, counts, (known, known_times), int(class_tokens.sum()), int(class_types.sum()), class_tokens, class_types)
@@ -267,18 +350,24 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Tokens are words between ASCII white space (A-Z in lower case) and one end of text.
     ``base_score`` is the log10 probability under smoothed unigram counts, ``score`` that
     of the model.  Null and empty texts are an end alone; a null id is held out; repeated
-    rows are scored each; an empty table gives no rows.
+    rows are scored each; an empty table gives no rows.  Only the id and the text are read,
+    so extra columns may have any name.
     """
-    spark = docs.sparkSession
+    return score_encoded(encode(docs, id_col, text_col), model)
+
+
+def score_encoded(encoded: DataFrame, model: Model) -> DataFrame:
+    """``score`` of texts that are encoded already."""
+    spark = encoded.sparkSession
     norm = np.log10(model.class_tokens + 0.5 * (model.class_types + 1))
     known, times = model.known
     shared = spark.sparkContext.broadcast((model.weights, model.classes, known, np.log10(times + 0.5), norm))
 
-    def pieces(batch: pa.RecordBatch, coder: Coder) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    def pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         """Rows of a batch with their codes, about as many words as one step takes."""
         coded, first, held = [], 0, 0
-        for i, text in enumerate(batch.column("text")):
-            coded.append(coder.encode(text.as_py()))
+        for i, codes in enumerate(batch.column("codes")):
+            coded.append(np.frombuffer(codes.as_buffer(), np.uint64))
             held += len(coded[-1])
             if held >= STEP_TOKENS or i == batch.num_rows - 1:
                 yield batch.slice(first, i + 1 - first), np.concatenate(coded), np.array([len(c) for c in coded])
@@ -286,9 +375,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, classes, known, logs_of, norm = shared.value
-        coder = Coder()
         for batch in batches:
-            for part, codes, lengths in pieces(batch, coder):
+            for part, codes, lengths in pieces(batch):
                 rows, at = contexts(codes, classes[key_of(codes)], lengths)
                 total = log_softmax(weights, rows)[np.arange(len(at)), at].astype(np.float64) / np.log(10) - norm[at]
                 context = np.add.reduceat(total, np.cumsum(lengths + 1) - lengths - 1)
@@ -304,9 +392,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     ["row", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "log_context", "rare"],
                 )
 
-    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    # Stored, so that the numbers of the rows stay as they are.
-    scored = stored(read.mapInArrow(run, SCORED), "scored")
+    scored = stored(encoded.mapInArrow(run, SCORED), "scored")
     rare = scored.select("row", F.explode("rare").alias("word")).join(model.counts, "word", "left")
     counted = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("rare_logs"), F.count("count").alias("rare_known"))
     end = model.counts.where(F.col("word") == END_CODE).agg(F.sum("count")).head()[0] or 0

@@ -50,8 +50,8 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents, learned from four fifths of them."""
-    docs = _table(spark, sf_dir, "documents")
-    return maxent_lm.score(docs, maxent_lm.fit(docs))
+    encoded = maxent_lm.encode(_table(spark, sf_dir, "documents"))
+    return maxent_lm.score_encoded(encoded, maxent_lm.fit_encoded(encoded))
 
 
 def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
