@@ -225,6 +225,13 @@ class Templates:
                 low[values & LOW] = True
                 self.bands[step].append((values, np.array([t for _, t in members]), low))
 
+    @classmethod
+    def of(cls, sets: list, bands: dict) -> Templates:
+        """Templates from what another one holds."""
+        templates = cls({})
+        templates.sets, templates.bands = sets, bands
+        return templates
+
     def scan(self, texts: list[list[bytes]], hashes: WordHashes) -> Iterator[tuple[int, str, int, int, float]]:
         """(text, license, template, first word of the window, containment) of all that verify, each template where it fits best.
 
@@ -282,14 +289,15 @@ def license_scan(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEM
     table = Templates(templates)
     if not table.sets:
         return docs.sparkSession.createDataFrame([], "doc_id long, license string, template int, first_word long, containment double")
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    # Arrays travel, so that workers need nothing of this package by name.
+    shared = docs.sparkSession.sparkContext.broadcast((table.sets, table.bands))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, templates = WordHashes(), Templates.of(*shared.value)
         types = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64())
 
         def scanned(ids: list, texts: list) -> pa.RecordBatch:
-            rows = [(ids[i], *rest) for i, *rest in shared.value.scan(texts, hashes)]
+            rows = [(ids[i], *rest) for i, *rest in templates.scan(texts, hashes)]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "license", "template", "first_word", "containment"])
 

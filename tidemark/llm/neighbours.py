@@ -127,19 +127,21 @@ def nearest(
     same = Window.partitionBy("vector").orderBy("vec_id")
     kept = read.select("vec_id", "vector").distinct().withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n")
     grouped = kept.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    books = spark.sparkContext.broadcast(fit_codebooks(read, centroids, sample_rows, seed))
-    width = len(books.value.second)
+    fitted = fit_codebooks(read, centroids, sample_rows, seed)
+    # Arrays travel, so that workers need nothing of this package by name.
+    books = spark.sparkContext.broadcast((fitted.split, fitted.first, fitted.second))
+    width = len(fitted.second)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                first, second = books.value.distances(_matrix(batch.column("vector")))
+                first, second = Codebooks(*books.value).distances(_matrix(batch.column("vector")))
                 cell = first.argmin(1) * width + second.argmin(1)
                 yield pa.RecordBatch.from_arrays([batch.column("vector"), batch.column("ids"), pa.array(cell.astype(np.int32))], ["vector", "ids", "cell"])
 
     index = stored(grouped.mapInArrow(assign, "vector array<double>, ids array<long>, cell int"), "index")
     # One number for each pair of centroids.
-    held = np.zeros(len(books.value.first) * width, np.int64)
+    held = np.zeros(len(fitted.first) * width, np.int64)
     for row in index.groupBy("cell").count().collect():
         held[row["cell"]] = row["count"]
     counts = spark.sparkContext.broadcast(held)
@@ -149,7 +151,7 @@ def nearest(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            first, second = books.value.distances(_matrix(batch.column("vector")))
+            first, second = Codebooks(*books.value).distances(_matrix(batch.column("vector")))
             rows, lists, seconds = [], [], []
             for i in range(batch.num_rows):
                 seen, visited = 0, {}

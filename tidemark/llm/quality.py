@@ -175,18 +175,23 @@ def _scorer(machine: Machine, numbers: Sequence[str]):
     return run
 
 
+def _sent(docs: DataFrame, machine: Machine):
+    """A broadcast of the parts of a machine, so that workers need nothing of this package by name."""
+    return docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weights, machine.factors))
+
+
 def quality_scores(docs: DataFrame, machine: Machine, numbers: Sequence[str] = ("n_chars",), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from a score of 0.5) of every row, repeated rows each.
 
     Null texts score as empty ones; whole texts are read, however long; other columns
     than the id, the text and ``numbers`` are not; an empty table gives no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast(machine)
+    model = _sent(docs, machine)
     names = [f"number_{i}" for i in range(len(numbers))]
 
     @giving_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = _scorer(model.value, names)
+        run = _scorer(Machine(*model.value), names)
         for batch in batches:
             values = run(batch, "text")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values), pa.array((values >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
@@ -196,11 +201,11 @@ def quality_scores(docs: DataFrame, machine: Machine, numbers: Sequence[str] = (
 
 def keep_quality(docs: DataFrame, machine: Machine, numbers: Sequence[str] = ("n_chars",), text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, that score 0.5 or more."""
-    model = docs.sparkSession.sparkContext.broadcast(machine)
+    model = _sent(docs, machine)
 
     @giving_back
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = _scorer(model.value, numbers)
+        run = _scorer(Machine(*model.value), numbers)
         for batch in batches:
             yield batch.filter(pa.array(run(batch, text_col) >= 0.5, pa.bool_()))
 

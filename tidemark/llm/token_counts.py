@@ -148,10 +148,11 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id"
     replaces each space by one, over whole texts.  Null and empty texts have no tokens.
     The vocabulary travels to the tasks; its size does not depend on the data.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    # Plain tuples travel, so that workers need nothing of this package by name.
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.pieces, vocabulary.byte_fallback))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = Counter(Vocabulary(*shared.value))
         for batch in batches:
             counts = pa.array([counter.count(t.as_py()) for t in batch.column("text")], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, batch.column("n_bytes")], ["doc_id", "n_tokens", "n_bytes"])
