@@ -14,6 +14,10 @@ from tidemark.sinks.changelog import settled
 # Rows per insert, and the storage order of the fact table.
 INSERT_ROWS = 50
 STORAGE_ORDER = ("plat", "req_time", "agent_type")
+# Fixed value: rows between two marks of the table's index.
+PAGE_ROWS = 8192
+# Columns that are looked up by value beside the order.
+LOOKUPS = ("visit_id",)
 
 
 def print_rows(df: DataFrame) -> DataStreamWriter | None:
@@ -41,6 +45,22 @@ def lay_out(df: DataFrame, parts: Sequence[str], order: Sequence[str], cluster:
     return df.sortWithinPartitions(*parts, *order)
 
 
+def index_options(page_rows: int = PAGE_ROWS, lookups: Sequence[str] = ()) -> dict[str, str]:
+    """SNK-6: writer options of a sparse index.
+
+    Pages hold at most ``page_rows`` rows, each with the least and greatest value of every
+    column; rows are sorted, so a filter on the order opens the pages around its values.
+    A Bloom filter for each column of ``lookups`` rules out files for values that do not
+    follow the order; it is as large as the values of a row group need, 1 MB at most.
+    """
+    options = {"parquet.page.row.count.limit": str(page_rows)}
+    if lookups:
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+    for column in lookups:
+        options |= {f"parquet.bloom.filter.enabled#{column}": "true", f"parquet.bloom.filter.candidates.number#{column}": "12"}
+    return options
+
+
 def write_fact_table(
     df: DataFrame,
     path: str,
@@ -48,14 +68,17 @@ def write_fact_table(
     order: Sequence[str] = STORAGE_ORDER,
     cluster: bool = True,
     rows_per_file: int = 0,
+    lookups: Sequence[str] = LOOKUPS,
 ) -> None:
     """SNK-5 and SNK-6: append to a table partitioned by month of ``add_date``.
 
-    Columns of the order that the rows do not have are left out. A micro-batch leaves
-    ``cluster`` off: it adds one month, and needs no shuffle. Errors fail the write.
+    Columns of the order and of ``lookups`` (``index_options``) that the rows do not have
+    are left out. A micro-batch leaves ``cluster`` off: it adds one month, and needs no
+    shuffle. Errors fail the write.
     """
     monthly = df.withColumn("add_month", F.trunc("add_date", "month"))
     writer = lay_out(monthly, ["add_month"], [c for c in order if c in df.columns], cluster).write.mode(mode)
+    writer = writer.options(**index_options(lookups=[c for c in lookups if c in df.columns]))
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy("add_month").parquet(path)

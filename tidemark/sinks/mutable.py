@@ -28,7 +28,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.operators.mutate import delete_where, update_where
 from tidemark.sinks import changelog
 from tidemark.sinks.changelog import ADDED, BATCH, CHANGE, DATA, DIRECTORY, DROPPED, REPLACED
-from tidemark.sinks.files import STORAGE_ORDER, lay_out
+from tidemark.sinks.files import LOOKUPS, STORAGE_ORDER, index_options, lay_out
 from tidemark.storage import filesystem, names, qualified
 
 FILE = "_metadata.file_path"
@@ -132,7 +132,8 @@ def _rewrite(
             rows = rows.withColumn("batch_id", F.lit(None).cast(schema["batch_id"].dataType))
         by = [c for c in ("batch_id", *parts) if c in rows.columns]
         data = f"{DATA}/_change={uuid.uuid4().hex}"
-        lay_out(rows, by, [c for c in order if c in rows.columns]).write.partitionBy(*by).parquet(f"{path}/{data}")
+        laid_out = lay_out(rows, by, [c for c in order if c in rows.columns]).write.options(**index_options(lookups=[c for c in LOOKUPS if c in rows.columns]))
+        laid_out.partitionBy(*by).parquet(f"{path}/{data}")
         fs, folder = filesystem(spark, f"{path}/{data}")
         if any(not s.getPath().getName().startswith("_") for s in fs.listStatus(folder)):
             written = spark.read.schema(rows.schema).parquet(f"{path}/{data}").inputFiles()
