@@ -17,6 +17,26 @@ LONGEST_ROUND = 1024
 Step = Callable[[Column], dict[str, Column]]
 
 
+def run_steps(df: DataFrame, state: Sequence[str], step: Step, again: Callable[[Column], Column], steps: int) -> DataFrame:
+    """Up to ``steps`` steps of each row inside a single expression, with no shuffle; ``_more`` is 1 for rows that go on."""
+    fields = {f: df.schema[f].dataType.simpleString() for f in state}
+    kept = [c for c in df.columns if c not in fields]
+
+    def packed(values: dict[str, Column], more: Column) -> Column:
+        typed = [values[f].cast(kind).alias(f) for f, kind in fields.items()]
+        return F.struct(F.struct(*typed).alias("s"), more.alias("more"))
+
+    def advance(acc: Column, _: Column) -> Column:
+        old = {f: acc.s[f] for f in fields}
+        stepped = packed({**old, **step(acc.s)}, F.lit(True))
+        more = F.coalesce(again(stepped.s), F.lit(False))
+        return F.when(acc.more, F.struct(stepped.s.alias("s"), more.alias("more"))).otherwise(acc)
+
+    start = packed({f: F.col(f) for f in fields}, F.lit(True))
+    ran = df.select(*kept, F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, advance).alias("_it"))
+    return ran.select(*kept, "_it.s.*", F.col("_it.more").cast("int").alias("_more"))
+
+
 def iterate(
     df: DataFrame,
     state: Sequence[str],
@@ -35,28 +55,11 @@ def iterate(
     rounds unless the caller gives one.
     """
     spark = df.sparkSession
-    fields = {f: df.schema[f].dataType.simpleString() for f in state}
-    kept = [c for c in df.columns if c not in fields]
-
-    def packed(values: dict[str, Column], more: Column) -> Column:
-        typed = [values[f].cast(kind).alias(f) for f, kind in fields.items()]
-        return F.struct(F.struct(*typed).alias("s"), more.alias("more"))
-
-    def advance(acc: Column, _: Column) -> Column:
-        old = {f: acc.s[f] for f in fields}
-        stepped = packed({**old, **step(acc.s)}, F.lit(True))
-        more = F.coalesce(again(stepped.s), F.lit(False))
-        return F.when(acc.more, F.struct(stepped.s.alias("s"), more.alias("more"))).otherwise(acc)
-
     active, root, steps = df, new_path(spark, "iterate"), steps_per_round
     for number in itertools.count():
         if number == max_rounds:
             raise RuntimeError(f"rows still iterate after {max_rounds} rounds")
-        rounds = F.sequence(F.lit(1), F.lit(steps))
-        start = packed({f: F.col(f) for f in fields}, F.lit(True))
-        ran = active.select(*kept, F.aggregate(rounds, start, advance).alias("_it")).select(
-            *kept, "_it.s.*", F.col("_it.more").cast("int").alias("_more")
-        )
+        ran = run_steps(active, state, step, again, steps)
         path = f"{root}/_round={number}"
         ran.write.partitionBy("_more").parquet(path)
         active = spark.read.schema(ran.schema).parquet(path).filter("_more = 1").select(df.columns)
@@ -73,16 +76,19 @@ def sum_pairs(df: DataFrame, limit: int = 100) -> DataFrame:
 
     Needs integer columns ``a, b``; adds ``n``.
     """
-    start = df.withColumns(
-        {
-            "x": F.col("a").cast("bigint"),
-            "y": F.col("b").cast("bigint"),
-            "n": F.lit(0).cast("bigint"),
-        }
-    )
-    return iterate(
-        start,
-        ["x", "y", "n"],
-        step=lambda s: {"x": s.y, "y": s.x + s.y, "n": s.n + 1},
-        again=lambda s: (s.x < limit) & (s.y < limit),
-    ).drop("x", "y")
+    return iterate(pair_start(df), **pair_steps(limit)).drop("x", "y")
+
+
+def pair_start(df: DataFrame) -> DataFrame:
+    """IT-2: pairs with the state that they begin with."""
+    zero = F.lit(0).cast("bigint")
+    return df.withColumns({"x": F.col("a").cast("bigint"), "y": F.col("b").cast("bigint"), "n": zero})
+
+
+def pair_steps(limit: int = 100) -> dict:
+    """IT-2: the state, the step and the condition to go on."""
+    return {
+        "state": ["x", "y", "n"],
+        "step": lambda s: {"x": s.y, "y": s.x + s.y, "n": s.n + 1},
+        "again": lambda s: (s.x < limit) & (s.y < limit),
+    }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
@@ -11,25 +12,29 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import strict_from_json
 from tidemark.operators import decode
-from tidemark.operators.aggregate import tokenize, traffic_by_hour, with_request_date
+from tidemark.operators.iterate import pair_start, pair_steps
+from tidemark.operators.shape import parse_pair
+from tidemark.operators.aggregate import TRAFFIC_KEYS, tokenize, traffic_by_hour, with_request_date
 from tidemark.plans.base import TRAFFIC, Plan
-from tidemark.plans.counting import _count_sql
+from tidemark.plans.counting import _count_sql, pairs
 from tidemark.plans.decoding import SENT
 from tidemark.plans.dwelling import _rows_sql
 from tidemark.schemas import TRAFFIC as TRAFFIC_SCHEMA
 from tidemark.session import new_path
-from tidemark.sinks import mutable
+from tidemark.sinks import mutable, partials
 from tidemark.sinks.keyed import read_latest
 from tidemark.sources import clickstream as cs
 from tidemark.sources import batch_queue
 from tidemark.sources.files import table
-from tidemark.streaming import jobs, state
+from tidemark.streaming import jobs, loops, state, windows
 
 ARRIVALS = 2
 
 
-def _in_steps(spark: SparkSession, df: DataFrame, spec: jobs.JobSpec, order: str, text: bool = False) -> None:
-    """Let the rows arrive in steps of their order and drain the job after each.
+def _in_steps(
+    spark: SparkSession, df: DataFrame, spec: jobs.JobSpec, order: str, text: bool = False, after: Callable[[int], object] | None = None
+) -> None:
+    """Let the rows arrive in steps of their order and drain the job after each, then call ``after``.
 
     Every step starts the job anew, so it resumes from its checkpoint.
     """
@@ -42,6 +47,8 @@ def _in_steps(spark: SparkSession, df: DataFrame, spec: jobs.JobSpec, order: str
         writer = arrived.select("value").write.text if text else arrived.write.json
         writer(spec.topic.replace("step-*", f"step-{i}"))
         jobs.drain(jobs.start_job(spark, spec))
+        if after:
+            after(i)
 
 
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,6 +119,73 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, shown).groupBy("outcome", "visit_id", slot.alias("date")).agg(F.sum("n").alias("n"))
 
 
+def stream_iterate(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs that arrive in steps and iterate on over the batches, three steps in each; the rest is finished at the end."""
+    path, loop = new_path(spark, "iterated"), pair_steps()
+    spec = jobs.JobSpec(
+        name="iterate", topic=new_path(spark, "pairs"), source="messages",
+        operator=lambda df: pair_start(parse_pair(df)), sink="iterate",
+        sink_options={"path": path, "steps_per_batch": 3, "timeout_ms": 3_600_000, **loop},
+    )
+    _in_steps(spark, pairs(spark, sf), spec, "event_id", text=True)
+    loops.finish_pending(spark, path, timeout_ms=3_600_000, **loop)
+    return loops.read_iterated(spark, path).groupBy("a", "b", "n", F.col("expired").cast("int").alias("expired")).agg(F.count("*").alias("rows"))
+
+
+def stream_hourly_partials(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts and sketches per micro-batch, past days folded after each of them, merged on read."""
+    path = new_path(spark, "partials")
+    keys, distinct = [*TRAFFIC_KEYS, "req_hour"], {"uv_count": "visit_id", "ip_count": "ip"}
+    spec = jobs.JobSpec(
+        name="partials", topic=new_path(spark, "traffic"), source="json", source_options={"schema": TRAFFIC_SCHEMA},
+        operator=with_request_date, sink="partials", sink_options={"path": path, "keys": keys, "distinct": distinct},
+    )
+    rows = cs.traffic(spark, sf)
+    # A tenth of the rows arrives in the second step, when its days are folded already.
+    late = F.when(F.col("event_id") % 10 == 3, 1).otherwise(0)
+    _in_steps(spark, rows.withColumn("step", late), spec, "step", after=lambda step: partials.fold_days(spark, path, step, keys, list(distinct)))
+    merged = partials.read_partials(spark, path, [*TRAFFIC_KEYS, "req_date", "req_hour"], list(distinct))
+    return merged.withColumnRenamed("n_rows", "pv_count").withColumn("req_date", F.date_format("req_date", "yyyy-MM-dd"))
+
+
+def _summed(key: tuple, window: tuple, values) -> list[tuple]:
+    """User code: rows, their sum and the first and last page of a window, a part at a time."""
+    n, total, first, last = 0, 0, None, None
+    for part in values:
+        for row in part:
+            n, total = n + 1, total + row.k
+            at = row.req_time, row.event_id, row.website
+            first, last = min(first or at, at), max(last or at, at)
+    return [(n, total, first[2], last[2])]
+
+
+_SUMMED = "n BIGINT, total BIGINT, first_page STRING, last_page STRING"
+
+
+def stream_window_apply(spark: SparkSession, sf: str) -> DataFrame:
+    """User code over each platform's six hours, by event time."""
+    path = new_path(spark, "windows")
+
+    def operator(df: DataFrame) -> DataFrame:
+        rows = df.select("plat", "req_time", "event_id", "website", "k", F.timestamp_seconds("req_time").alias("ts"))
+        return windows.apply_tumbling(rows, ["plat"], "ts", 6 * 3600, _summed, _SUMMED, delay="1 hour", part_rows=50)
+
+    _in_steps(spark, cs.traffic(spark, sf), _traffic_job(spark, "windows", operator, path), "event_id")
+    return spark.read.parquet(path).drop("batch_id")
+
+
+def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """User code over each visitor's sessions, which a day without views ends."""
+    path = new_path(spark, "sessions")
+
+    def operator(df: DataFrame) -> DataFrame:
+        rows = df.select("visit_id", "req_time", "event_id", "website", "k", F.timestamp_seconds("req_time").alias("ts"))
+        return windows.apply_sessions(rows, ["visit_id"], "ts", 86400, _summed, _SUMMED, delay="1 hour")
+
+    _in_steps(spark, cs.traffic(spark, sf), _traffic_job(spark, "sessions", operator, path), "event_id")
+    return spark.read.parquet(path).drop("batch_id")
+
+
 def _refused(payload: str) -> str:
     return json.dumps({"success": not payload.endswith("7")})
 
@@ -249,6 +323,30 @@ with {TRAFFIC} select distinct req_date as date, plat, agent_type, website, visi
     Plan("stream_dwell", "DW-8 DW-9 ST-2 ST-3", stream_dwell, _rows_sql(1800)),
     Plan("stream_dwell_nulls", "DW-9", stream_dwell_nulls, _rows_sql(1800).replace(
         "cast(1 + user_id % 2 as integer) as plat", "case when user_id % 3 <> 0 then cast(1 + user_id % 2 as integer) end as plat")),
+    Plan("stream_iterate", "ST-6 IT-1 IT-2 SNK-10", stream_iterate, """
+with recursive pairs as (select event_id, user_id % 49 + 1 as a, event_id % 49 + 1 as b from events),
+steps as (
+  select event_id, a, b, a as x, b as y, cast(0 as bigint) as n from pairs
+  union all
+  select event_id, a, b, y, x + y, n + 1 from steps where n = 0 or (x < 100 and y < 100)),
+counted as (select event_id, a, b, max(n) as n from steps group by all)
+select a, b, n, 0 as expired, count(*) as rows from counted group by all"""),
+    Plan("stream_hourly_partials", "AG-5 UV-4 SNK-10", stream_hourly_partials, f"""
+with {TRAFFIC} select plat, agent_type, website, req_date, req_hour, count(*) as pv_count,
+  count(distinct visit_id) as uv_count, count(distinct ip) as ip_count from traffic group by all"""),
+    Plan("stream_window_apply", "ST-1 UDF-6 RT-4", stream_window_apply, f"""
+with {TRAFFIC}, placed as (select *, req_time // 21600 * 21600 as window_start from traffic)
+select plat, window_start, window_start + 21600 as window_end, count(*) as n, cast(sum(k) as bigint) as total,
+  arg_min(website, (req_time, event_id)) as first_page, arg_max(website, (req_time, event_id)) as last_page
+from placed where window_start + 21600 <= (select max(req_time) - 3600 from traffic) group by plat, window_start"""),
+    Plan("stream_sessions", "ST-1 UDF-6", stream_sessions, f"""
+with {TRAFFIC}, stepped as (
+  select *, case when req_time - lag(req_time) over (partition by visit_id order by req_time, event_id) <= 86400 then 0 else 1 end as opens
+  from traffic),
+numbered as (select *, sum(opens) over (partition by visit_id order by req_time, event_id) as session from stepped)
+select visit_id, min(req_time) as window_start, max(req_time) + 86400 as window_end, count(*) as n, cast(sum(k) as bigint) as total,
+  arg_min(website, (req_time, event_id)) as first_page, arg_max(website, (req_time, event_id)) as last_page
+from numbered group by visit_id, session having max(req_time) + 86400 <= (select max(req_time) - 3600 from traffic)"""),
     Plan("stream_late_rows", "ST-2 DW-8 RT-1", stream_late_rows, f"""
 with {TRAFFIC}, bounds as (select min(event_id) as low, max(event_id) as high from traffic),
 stepped as (select *, event_id < low + (high - low) // 2 and event_id % 5 <> 0 as early from traffic, bounds),

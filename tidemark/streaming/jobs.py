@@ -19,9 +19,11 @@ from tidemark.sinks.changelog import settled
 from tidemark.sinks.delivery import GATEWAY_FIELD, deliver
 from tidemark.sinks.files import STORAGE_ORDER, print_rows, write_jdbc, write_stamped, write_text
 from tidemark.sinks.keyed import upsert
+from tidemark.sinks.partials import write_partials
 from tidemark.sources.batch_queue import pending, queue_batches
 from tidemark.sources.files import POLL_SECONDS, json_batches, kafka_messages, message_batches
 from tidemark.storage import filesystem, names, publish
+from tidemark.streaming.loops import iterate_batch
 
 Operator = Callable[[DataFrame], DataFrame]
 Source = Callable[..., DataFrame]
@@ -101,6 +103,14 @@ def _jdbc(rows: DataFrame, batch_id: int, url: str, table: str, **options: str)
     write_jdbc(rows, url, table, **options)
 
 
+def _partials(rows: DataFrame, batch_id: int, path: str, **options: Any) -> None:
+    write_partials(rows, path, batch_id, **options)
+
+
+def _iterate(rows: DataFrame, batch_id: int, path: str, **loop: Any) -> None:
+    iterate_batch(rows, batch_id, path, **loop)
+
+
 def _keyed(rows: DataFrame, batch_id: int, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
     upsert(rows, path, batch_id, keys, order)
 
@@ -120,6 +130,8 @@ SINKS: dict[str, Sink] = {
     "text": _text,
     "deliver": _deliver,
     "jdbc": _jdbc,
+    "partials": _partials,
+    "iterate": _iterate,
 }
 
 
