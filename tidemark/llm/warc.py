@@ -30,6 +30,10 @@ _GZIP = b"\x1f\x8b\x08"
 #: Payloads shorter than this are never stored as revisits.
 LEAST_REVISIT = 1000
 DATE = "2020-01-01T00:00:00Z"
+#: Bytes that are unpacked together, and that the headers of a record in a gzip member may have.
+STEP, HEAD_BYTES = 1 << 16, 1 << 24
+#: Bytes that one value of a row can have.
+LARGEST_VALUE = (1 << 31) - 1 - (1 << 10)
 
 
 def record_id(page_id: int | None, digest: str) -> str:
@@ -80,10 +84,37 @@ class Found:
     offset: int
     length: int
     headers: dict[str, str] = field(default_factory=dict)
-    payload: bytes = b""
+    payload: bytes | None = None
+    payload_bytes: int = 0
+    digest: str = ""
     reason: str | None = None
 
 
+def _headers(head: bytes) -> tuple[dict[str, str], int]:
+    """Names and values of a record's header lines, and the length of its block."""
+    headers = {}
+    for line in head.split(b"\r\n"):
+        name, colon, value = line.partition(b":")
+        if not colon:
+            raise ValueError("header without a colon")
+        headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+    length = headers.get("content-length", "")
+    if not (length.isascii() and length.isdigit()):
+        raise ValueError("no content length")
+    return headers, int(length)
+
+
+def _is_http(headers: dict[str, str]) -> bool:
+    return headers.get("content-type", "").startswith("application/http")
+
+
+def _checked(found: Found) -> Found:
+    digest = found.headers.get("warc-payload-digest", "").removeprefix("sha1:")
+    if digest and found.headers.get("warc-type") != "revisit" and digest != found.digest:
+        raise ValueError("payload digest differs")
+    return found
+
+
 def _parse_plain(data, start: int) -> Found:
     """The record at ``start``; ValueError says which check failed."""
     version = _VERSION.match(data, start)
@@ -93,65 +124,101 @@ def _parse_plain(data, start: int) -> Found:
     following = _VERSION.search(data, version.end())
     if head_end < 0 or (following and following.start() < head_end):
         raise ValueError("headers do not end")
-    headers = {}
-    for line in data[version.end() : head_end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise ValueError("header without a colon")
-        headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
-    length = headers.get("content-length", "")
-    if not (length.isascii() and length.isdigit()):
-        raise ValueError("no content length")
-    body, end = head_end + len(END), head_end + len(END) + int(length)
+    headers, length = _headers(data[version.end() : head_end])
+    body, end = head_end + len(END), head_end + len(END) + length
     if data[end : end + len(END)] != END:
         raise ValueError("block is not closed where its length says")
-    block = data[body:end]
-    if headers.get("content-type", "").startswith("application/http"):
-        _, split, payload = block.partition(END)
-        if not split:
+    if _is_http(headers):
+        split = data.find(END, body, end)
+        if split < 0:
             raise ValueError("HTTP headers do not end")
-    else:
-        payload = block
-    digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
-    if digest and headers.get("warc-type") != "revisit" and digest != hashlib.sha1(payload).hexdigest():
-        raise ValueError("payload digest differs")
-    return Found(start, end + len(END) - start, headers, payload)
-
-
-def _parse_member(data: bytes, start: int, most: int) -> Found:
-    """The record in the gzip member at ``start``, of ``most`` bytes at most."""
-    unpacker, parts, size, at = zlib.decompressobj(31), [], 0, start
-    view = memoryview(data)
-    try:
-        while not unpacker.eof and at < len(data):
-            piece = view[at : at + (1 << 16)]
-            parts.append(unpacker.decompress(piece, most - size + 1))
-            size += len(parts[-1])
-            if size > most or unpacker.unconsumed_tail:
-                raise ValueError("gzip member is too large")
-            at += len(piece)
-    except zlib.error as e:
-        raise ValueError(f"gzip: {e}") from None
-    if not unpacker.eof:
-        raise ValueError("gzip member does not end")
-    plain = b"".join(parts)
-    inner = _parse_plain(plain, 0)
-    if inner.length != len(plain):
+        body = split + len(END)
+    payload = data[body:end]
+    return _checked(Found(start, end + len(END) - start, headers, payload, len(payload), hashlib.sha1(payload).hexdigest()))
+
+
+class _Member:
+    """The bytes of a gzip member, some at a time, so that its size does not matter."""
+
+    def __init__(self, data: bytes, start: int):
+        self.view, self.at, self.unpacker, self.held = memoryview(data), start, zlib.decompressobj(31), b""
+
+    def more(self) -> bool:
+        """Unpack some more bytes; false at the member's end."""
+        try:
+            while not self.unpacker.eof:
+                piece = self.unpacker.unconsumed_tail
+                if not piece:
+                    piece = self.view[self.at : self.at + STEP]
+                    self.at += len(piece)
+                out = self.unpacker.decompress(piece, STEP)
+                if out:
+                    self.held += out
+                    return True
+                if not piece and not self.unpacker.eof:
+                    raise ValueError("gzip member does not end")
+        except zlib.error as e:
+            raise ValueError(f"gzip: {e}") from None
+        return False
+
+    def until(self, mark: bytes, reason: str, within: int | None = None) -> bytes:
+        """The bytes before the mark, which is taken too; within so many bytes, and within ``HEAD_BYTES``."""
+        most = HEAD_BYTES if within is None else min(within, HEAD_BYTES)
+        while (at := self.held.find(mark)) < 0 and len(self.held) < most and self.more():
+            pass
+        if at < 0 or at + len(mark) > most:
+            raise ValueError(reason)
+        taken, self.held = self.held[:at], self.held[at + len(mark) :]
+        return taken
+
+    def take(self, n: int) -> Iterator[bytes]:
+        """The next n bytes in pieces; fewer where the member ends."""
+        while n > 0 and (self.held or self.more()):
+            piece, self.held = self.held[:n], self.held[n:]
+            n -= len(piece)
+            yield piece
+
+
+def _parse_member(data: bytes, start: int, keep: bool) -> Found:
+    """The record in the gzip member at ``start``, its payload only if it is to be kept."""
+    member = _Member(data, start)
+    head = member.until(END, "headers do not end")
+    version = _VERSION.match(head + b"\r\n")
+    if not version:
+        raise ValueError("no version line")
+    if _VERSION.search(head, version.end()):
+        raise ValueError("headers do not end")
+    headers, length = _headers(head[version.end() :])
+    if _is_http(headers):
+        length -= len(member.until(END, "HTTP headers do not end", length)) + len(END)
+    sha1, size, parts = hashlib.sha1(), 0, []
+    for piece in member.take(length):
+        sha1.update(piece)
+        size += len(piece)
+        keep = keep and size <= LARGEST_VALUE
+        if keep:
+            parts.append(piece)
+    if size < length or b"".join(member.take(len(END))) != END:
+        raise ValueError("block is not closed where its length says")
+    if member.held or member.more():
         raise ValueError("gzip member holds more than its record")
-    return Found(start, at - len(unpacker.unused_data) - start, inner.headers, inner.payload)
+    end = member.at - len(member.unpacker.unused_data)
+    return _checked(Found(start, end - start, headers, b"".join(parts) if keep else None, size, sha1.hexdigest()))
 
 
-def salvage(data: bytes, most: int = 1 << 30) -> Iterator[Found]:
+def salvage(data: bytes, keep: bool = True) -> Iterator[Found]:
     """Records of an archive in their order, and the gaps between them.
 
     From a place that fails, candidates are the next gzip magic numbers and version lines;
     the first from which a record passes ends the gap.  An empty file holds nothing.
+    Members of any size are read; without ``keep`` a member's payload is counted and
+    digested only.
     """
     marks = re.compile(re.escape(_GZIP) + rb"|WARC/1\.[01]\r\n")
     at, gap, reason = 0, 0, None
 
     def attempt(start: int) -> Found:
-        return _parse_member(data, start, most) if data[start : start + 3] == _GZIP else _parse_plain(data, start)
+        return _parse_member(data, start, keep) if data[start : start + 3] == _GZIP else _parse_plain(data, start)
 
     while at < len(data):
         try:
@@ -217,7 +284,9 @@ def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
     """Records and gaps of the archives below ``path``, a row each.
 
     A gap has a reason and no type.  Payloads of revisits are empty, but payload_bytes and
-    payload_digest are those of the whole payload, as the headers say.
+    payload_digest are those of the whole payload, as the headers say.  A payload that is
+    larger than a value can be (2 GB) is null, with its size and digest.  An archive is one
+    value itself, so it may have 2 GB, packed or not.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").select("path", "content")
 
@@ -229,7 +298,7 @@ def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 path, data, rows, held = batch.column("path")[i].as_py(), batch.column("content")[i].as_py(), [], 0
-                for r in salvage(data):
+                for r in salvage(data, with_payload):
                     h = r.headers
                     row = {"file": path, "offset": r.offset, "length": r.length, "reason": r.reason}
                     if r.reason is None:
@@ -239,11 +308,11 @@ def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
                             "url": h.get("warc-target-uri"),
                             "page_id": number(h.get("x-page-id")),
                             "refers_to": number(h.get("x-refers-to-page-id")),
-                            "payload_bytes": number(h.get("x-payload-length")) if revisit else len(r.payload),
-                            "payload_digest": h.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else hashlib.sha1(r.payload).hexdigest(),
-                            "payload": r.payload if with_payload else None,
+                            "payload_bytes": number(h.get("x-payload-length")) if revisit else r.payload_bytes,
+                            "payload_digest": h.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else r.digest,
+                            "payload": r.payload if with_payload and r.payload_bytes <= LARGEST_VALUE else None,
                         }
-                        held += len(r.payload) if with_payload else 0
+                        held += r.payload_bytes if with_payload else 0
                     rows.append(row)
                     if len(rows) >= 1000 or held > 16 << 20:
                         yield pa.RecordBatch.from_pylist(rows, schema)
