@@ -236,6 +236,17 @@ def test_ties_go_to_the_piece_that_starts_first():
 
 
 @needs_vocabulary
+def test_long_texts_without_a_space(monkeypatch):
+    """Tables of a long part lose their beginnings; the counts are those of the library."""
+    rng = random.Random(6)
+    read = token_counts.read_vocabulary(VOCABULARY)
+    texts = ["".join(rng.choices("etaoinshrdlu", k=20_000)), "ab" * 7000, "é😀" * 3000 + "the" * 2000, "▁" * 9000]
+    want = token_counts.library_counts(token_counts.reference_tokenizer(read), texts)
+    for kept in (1, 7, 1 << 12):
+        monkeypatch.setattr(token_counts, "KEPT", kept)
+        assert [token_counts.Counter(read).count(t) for t in texts] == want
+
+
 def test_token_counts_of_documents(spark, sf):
     vocabulary = token_counts.read_vocabulary(VOCABULARY)
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
+#: Characters after which a table of a long text loses its beginning.
+KEPT = 1 << 12
 #: What an unknown character scores below the lowest piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -58,6 +60,7 @@ class Counter:
 
         self.unknown, self.byte_fallback = vocabulary.unknown_score, vocabulary.byte_fallback
         self.automaton = ahocorasick.Automaton()
+        self.longest_piece = max((len(piece) for piece, _ in vocabulary.pieces), default=1)
         for piece, score in vocabulary.pieces:
             if piece and not self.automaton.exists(piece):
                 self.automaton.add_word(piece, (len(piece), score))
@@ -70,35 +73,43 @@ class Counter:
         self.line_break = self.viterbi("\n")
 
     def viterbi(self, text: str) -> int:
-        """Pieces of the best path over ``text`` as it stands."""
-        if not text:
-            return 0
-        n, unknown = len(text), self.unknown
-        best, pieces = [0.0] * (n + 1), [0] * (n + 1)
-        reached, unknown_run = [True] + [False] * n, [False] * (n + 1)
-        matches: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, (length, score) in self.automaton.iter(text):
-            matches[end].append((length, score))
-        for end in range(1, n + 1):
-            found = matches[end - 1]
-            single = False
+        """Pieces of the best path over ``text`` as it stands.
+
+        The tables begin at ``base``: what no match can start from any more is dropped now and then.
+        """
+        unknown, longest, base = self.unknown, self.longest_piece, 0
+        best, pieces, reached, unknown_run = [0.0], [0], [True], [False]
+        matches = self.automaton.iter(text)
+        at, found = next(matches, (-1, None))
+        for end in range(1, len(text) + 1):
+            total, count, there, single, run = 0.0, 0, False, False, False
             # The longest match starts furthest left; the automaton gives it first.
-            for length, score in found:
-                start = end - length
+            while at == end - 1:
+                length, score = found
+                start = end - length - base
                 single = single or length == 1
                 if reached[start]:
-                    total = best[start] + score
-                    if not reached[end] or total > best[end]:
-                        reached[end], best[end], pieces[end], unknown_run[end] = True, total, pieces[start] + 1, False
+                    new = best[start] + score
+                    if not there or new > total:
+                        total, count, there = new, pieces[start] + 1, True
+                at, found = next(matches, (-1, None))
             if not single:
-                total = best[end - 1] + unknown
-                if not reached[end] or total > best[end]:
+                new = best[-1] + unknown
+                if not there or new > total:
                     if self.byte_fallback:
                         more = len(text[end - 1].encode("utf-8", "surrogatepass"))
                     else:
-                        more = 0 if unknown_run[end - 1] else 1
-                    reached[end], best[end], pieces[end], unknown_run[end] = True, total, pieces[end - 1] + more, True
-        return pieces[n]
+                        more = 0 if unknown_run[-1] else 1
+                    total, count, there, run = new, pieces[-1] + more, True, True
+            best.append(total)
+            pieces.append(count)
+            reached.append(there)
+            unknown_run.append(run)
+            if len(best) > longest + KEPT:
+                for table in (best, pieces, reached, unknown_run):
+                    del table[:KEPT]
+                base += KEPT
+        return pieces[-1]
 
     def part(self, text: str) -> int:
         """As ``viterbi``, remembered; long parts are counted anew each time."""
@@ -145,7 +156,10 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id"
     """doc_id, n_tokens and n_bytes (of the text) of every row, repeated rows each.
 
     Counts are those of a unigram tokenizer that puts one space mark before the text and
-    replaces each space by one, over whole texts.  Null and empty texts have no tokens.
+    replaces each space by one, over whole texts, however long: of a text the tables for the
+    last characters alone are kept, as many as the longest piece has.  Paths of equal score
+    are told apart as the module says.  Null and empty texts have no tokens, null ids stay,
+    an empty table gives no rows, and extra columns, whatever their names, are not read.
     The vocabulary travels to the tasks; its size does not depend on the data.
     """
     # Plain tuples travel, so that workers need nothing of this package by name.
