@@ -256,3 +256,37 @@ def test_pages_come_back(spark):
     empty = new_path(spark, "test-archives")
     warc.write_archives(pages_of(spark, []), empty)
     assert warc.read_archives(spark, empty).count() == 0
+
+
+def test_members_of_any_size_are_read(tmp_path):
+    """A payload of many steps, packed to little, between two others; cut short it is a gap."""
+    payload = b"<p>" + b"again and again " * (1 << 21)
+    small = [warc.build_record(i, "http://a/", b"small", hashlib.sha1(b"small").hexdigest(), None) + b"\r\n" for i in (1, 3)]
+    large = warc.build_record(2, "http://b/", payload, hashlib.sha1(payload).hexdigest(), None) + b"\r\n"
+    member = warc.as_member(large)
+    assert len(member) < len(large) / 50
+    data = warc.as_member(small[0]) + member + small[1]
+    for keep in (True, False):
+        found = list(warc.salvage(data, keep))
+        assert [(f.reason, f.payload_bytes) for f in found] == [(None, 5), (None, len(payload)), (None, 5)]
+        assert found[1].digest == hashlib.sha1(payload).hexdigest() and found[1].length == len(member)
+        assert found[1].payload == (payload if keep else None)
+    for broken in (member[: len(member) // 2], member[:-4] + b"\0\0\0\0", warc.as_member(large + b"x"), warc.as_member(large[:-3]), warc.as_member(large.replace(b"again and", b"again  nd", 1))):
+        found = list(warc.salvage(warc.as_member(small[0]) + broken + small[1]))
+        assert [f.payload_bytes for f in found if f.reason is None] == [5, 5]
+        assert [f.length for f in found if f.reason] == [len(broken)]
+
+
+def test_mixing_beside_clashing_names(spark):
+    """Columns named like those that the operator makes come out as they are."""
+    clash = ["mix_budget", "full_epochs", "cutoff", "mix_tokens", "mix_md5", "mix_epochs", "mix_epoch", "mix_0_domain", "mix_0", "mix_row", "mix_id", "leaf_tokens", "mix_levels_"]
+    rows = [(i, f"word{i} and more", "en" if i % 3 else None, f"src{i % 4}") for i in range(40)] + [(None, None, "en", None)]
+    plain = docs_of(spark, rows).select("doc_id", "text", "lang", "source")
+    odd = plain.select("*", *[F.concat(F.lit(f"{name} "), F.coalesce(F.col("doc_id"), F.lit(-1))).alias(name) for name in clash])
+    odd = odd.withColumn("mix_levels", F.lit("own"))
+    want = {(r.doc_id, r.mix_epoch, r.mix_place, r.mix_budget) for r in mixing.mix_to_weights(plain, mix_levels(), MIX_WEIGHTS).collect()}
+    got = mixing.mix_to_weights(odd, mix_levels(), MIX_WEIGHTS)
+    assert got.columns[: len(odd.columns)] == odd.columns and len(set(got.columns)) == len(got.columns)
+    found = got.select("doc_id", "mix_epoch_", "mix_place", "mix_budget_", *clash).collect()
+    assert want == {(r[0], r[1], r[2], r[3]) for r in found} and len(found) == len(want)
+    assert all(r[name] == f"{name} {-1 if r.doc_id is None else r.doc_id}" for r in found for name in clash)

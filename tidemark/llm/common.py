@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import inspect
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """The name, with as many underscores after it as make it differ from all that are taken."""
+    have = {other.lower() for other in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def slot_count(keys: int, most: int = 1 << 26) -> int:
     """Flags that thin ``keys`` out to about a thousandth of what is not among them."""
     n = 1 << 10

@@ -370,7 +370,9 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     case, words between ASCII white space).  A component is named by its smallest id.
     Texts without words are empty and link with nothing; null texts too.  Rows of one id
     are one document, whatever their texts: they share a component.  Rows with a null id
-    link with nothing and have a null component.  An empty table gives no rows.
+    link with nothing and have a null component.  Whole texts are read, however long; a
+    similarity of exactly 80 % links.  Only the id and the text are read, so extra columns
+    may have any name.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))

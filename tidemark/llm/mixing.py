@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stored
+from tidemark.llm.common import WORD, free_name, stored
 
 #: Budgets times weights stay exact in this type.
 EXACT = "decimal(38,0)"
@@ -139,16 +139,22 @@ def mix_to_weights(
     Sums stay within budgets: a document that would pass the leaf's budget ends it.
     Null levels are leaves of their own; documents without words cost nothing, and a leaf
     of only such is taken once; rows of equal id and text stand at one place and come in
-    or stay out together; an empty table gives no rows.
+    or stay out together; whole texts are counted, however long; an empty table gives no
+    rows.  Columns of ``docs`` may have any names: they come out as they are, and an added
+    column whose name one of them has gets underscores after it.
     """
-    names = [f"mix_{i}_{name}" for i, name in enumerate(levels)]
+    names = [f"mix_{i}" for i in range(len(levels))]
     by_name = {new: weights.get(old, {}) for new, old in zip(names, levels, strict=True)}
-    own = {
-        **{new: level_key(column) for new, column in zip(names, levels.values(), strict=True)},
-        "mix_tokens": token_count(text_col),
-        "mix_md5": F.md5(F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8")),
-    }
-    lean = docs.withColumns(own).select(*names, F.col(id_col).alias("doc_id"), F.col("mix_md5").alias("text_md5"), F.col("mix_tokens").alias("n_tokens"))
+    # The row goes along as one value, so that no name of it meets one of the columns made here.
+    packed = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("mix_row"),
+        *[level_key(column).alias(new) for new, column in zip(names, levels.values(), strict=True)],
+        F.struct(*[column.alias(name) for name, column in levels.items()]).alias("mix_levels"),
+        F.col(id_col).alias("mix_id"),
+        token_count(text_col).alias("mix_tokens"),
+        F.md5(F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8")).alias("mix_md5"),
+    )
+    lean = packed.select(*names, F.col("mix_id").alias("doc_id"), F.col("mix_md5").alias("text_md5"), F.col("mix_tokens").alias("n_tokens"))
     leaves = lean.groupBy(*names).agg(F.sum("n_tokens").alias("leaf_tokens"))
     if budget_tokens is None:
         total = leaves.agg(F.sum("leaf_tokens")).head()[0] or 0
@@ -157,16 +163,9 @@ def mix_to_weights(
     # ones both sides are shuffled for the join alone, where a hot leaf can be split.
     budgets = stored(leaf_budgets(leaves, names, by_name, F.lit(budget_tokens).cast("long"), max_epochs, default_weight), "mix-budgets")
     plans = stored(leaf_plans(lean, names, budgets, seed).select(*names, F.col("budget").alias("mix_budget"), "full_epochs", "cutoff"), "mix-plans")
-    placed = docs.withColumns(own).join(plans, names)
-    partial = epoch_order(seed, F.col("full_epochs"), F.col(id_col), F.col("mix_md5")) <= F.col("cutoff")
-    epochs = F.col("full_epochs") + F.when(partial, 1).otherwise(0)
-    chosen = placed.withColumn("mix_epochs", epochs).where("mix_epochs > 0")
+    place = lambda epoch: epoch_order(seed, F.col(epoch), F.col("mix_id"), F.col("mix_md5"))
+    epochs = F.col("full_epochs") + F.when(place("full_epochs") <= F.col("cutoff"), 1).otherwise(0)
+    chosen = packed.join(plans, names).withColumn("mix_epochs", epochs).where("mix_epochs > 0")
     unfolded = chosen.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_epochs") - 1)))
-    return unfolded.select(
-        *[docs[c] for c in docs.columns],
-        F.struct(*[column.alias(name) for name, column in levels.items()]).alias("mix_levels"),
-        "mix_tokens",
-        "mix_epoch",
-        epoch_order(seed, F.col("mix_epoch"), F.col(id_col), F.col("mix_md5")).alias("mix_place"),
-        "mix_budget",
-    )
+    added = {"mix_levels": F.col("mix_levels"), "mix_tokens": F.col("mix_tokens"), "mix_epoch": F.col("mix_epoch"), "mix_place": place("mix_epoch"), "mix_budget": F.col("mix_budget")}
+    return unfolded.select("mix_row.*", *[column.alias(free_name(name, docs.columns)) for name, column in added.items()])

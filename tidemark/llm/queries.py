@@ -69,7 +69,8 @@ def op7_unigram_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str =
 
 def op8_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of all words, domain before language before source, at most two epochs."""
-    mixed = mixing.mix_to_weights(_table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix_to_weights(docs, mix_levels(), MIX_WEIGHTS)
     return mixed.select("doc_id", "mix_levels.*", F.col("mix_tokens").alias("n_tokens"), F.col("mix_epoch").alias("epoch"), F.col("mix_place").alias("place"), F.col("mix_budget").alias("leaf_budget"))
 
 
