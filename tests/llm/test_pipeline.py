@@ -71,3 +71,33 @@ def test_empty_documents(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, sf), "test-empty")
         assert docs.count() == 0
+
+
+CLASHES = [
+    "hit_id", "text_id", "own_id", "text_hash", "mix_budget", "full_epochs", "cutoff", "mix_tokens", "mix_md5", "mix_epochs", "mix_epoch", "mix_levels",
+    "mix_0_domain", "mix_row", "mix_id", "component_id", "n_shingles", "set_id", "score", "predicted", "label", "row_number", "position", "size", "shard", "slot", "law", "count", "low", "high",
+]
+
+
+def test_stages_beside_clashing_names(spark, sf):
+    """Extra columns, whatever their names, come through every stage as they are, and decide nothing."""
+    plain = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = plain.select("*", *[F.concat(F.lit(f"{name} "), "doc_id").alias(name) for name in CLASHES])
+    for name, stage in corpus_pipeline.STAGES:
+        plain, odd = (stored(stage(spark, docs, sf), "test-clash") for docs in (plain, odd))
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert rows_of(odd.select(plain.columns)) == rows_of(plain)
+            assert all(r[c] == f"{c} {r.doc_id}" for r in odd.select("doc_id", *CLASHES).collect() for c in CLASHES)
+    assert rows_of(odd.select(plain.columns)) == rows_of(plain)
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark, sf):
+    text = lambda n, k=40: " ".join(f"w{n}x{i}" for i in range(k))
+    rows = [(1, text(1)), (1, text(2)), (1, text(3)), (1, text(3)), (2, text(2) + " more"), (3, text(4)), (3, text(4)), (4, None), (4, text(5)), (None, text(6)), (None, text(6)), (5, ""), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.keep_first_of_group(spark, docs, sf)
+    assert kept.columns == docs.columns
+    # Of the near copies the row of id 2 stays, as rows of an id with several texts come last.
+    assert rows_of(kept.select("doc_id", "text")) == Counter(
+        [(1, text(1)), (1, text(3)), (2, text(2) + " more"), (3, text(4)), (4, None), (4, text(5)), (None, text(6)), (None, text(6)), (5, "")]
+    )
