@@ -160,13 +160,27 @@ def test_all_cells_give_exact_neighbours(spark):
     assert all(abs(a - b) < 1e-12 for q in want for (a, _), (b, _) in zip(by_query[q], want[q], strict=True))
 
 
-def test_recall_of_the_query(spark):
-    sf = "/root/testdata/sf0.1"
-    frame = spark.read.parquet(f"{sf}/embeddings.parquet")
+def clustered(n, seed=2):
+    """Vectors around a tenth as many centres."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 10, 16))
+    return centres[rng.integers(0, len(centres), n)] + rng.normal(scale=0.2, size=(n, 16))
+
+
+@pytest.mark.parametrize("points, most", [(500, 0.9), (2000, 0.65), (clustered(2000), 0.2), (clustered(12000), 0.05)], ids=["500", "2000", "clustered 2000", "clustered 12000"])
+def test_recall_of_the_visited_share(spark, monkeypatch, points, most):
+    """A recall of 0.9 against brute force, with fewer vectors visited the more there are and the more structure they have."""
+    if isinstance(points, int):
+        sf = {500: "0.01", 2000: "0.1"}[points]
+        frame = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
+    else:
+        frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
     rows = [(r.vec_id, r.embedding) for r in frame.collect()]
     matrix, ids = np.array([x for _, x in rows], np.float64), np.array([i for i, _ in rows])
+    measured, visited = neighbours._wanted, []
+    monkeypatch.setattr(neighbours, "_wanted", lambda *a: visited.append(measured(*a)) or visited[-1])
     got = {}
-    for r in neighbours.nearest(frame, F.col("vec_id") % 100 == 0, least_visited=0).collect():
+    for r in neighbours.nearest(frame, F.col("vec_id") % 100 == 0).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
     hits = total = 0
     for q, x in rows:
@@ -176,6 +190,7 @@ def test_recall_of_the_query(spark):
             near = set(ids[np.argsort(d, kind="stable")[:10]].tolist())
             hits, total = hits + len(near & got[q]), total + len(near)
     assert hits / total >= 0.9
+    assert visited[0] <= most * len(rows)
 
 
 def test_neighbour_edges(spark):

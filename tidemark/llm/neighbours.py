@@ -86,15 +86,57 @@ def cells_by_distance(first: np.ndarray, second: np.ndarray) -> Iterator[tuple[i
                 heapq.heappush(heap, (first[rows[p]] + second[columns[q]], p, q))
 
 
+def centroids_for(vectors: int) -> int:
+    """A power of two, so that there are at least as many cells as vectors; a million cells at most."""
+    return int(min(1024, 2 ** np.ceil(np.log2(max(vectors, 1)) / 2)))
+
+
+def _wanted(index: DataFrame, probes: np.ndarray, books: Codebooks, held: np.ndarray, k: int, recall: float) -> int:
+    """How many vectors a query has to visit for the recall, measured on the probes.
+
+    The nearest vectors of each probe are found among all vectors.  The vectors that lie in
+    cells up to that of a neighbour are what finding it costs; the recall asked for is a
+    quantile of these.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors, cells = _matrix(batch.column("vector")), batch.column("cell").to_numpy()
+                squares = (vectors * vectors).sum(1)
+                out = []
+                for number, probe in enumerate(probes):
+                    scores = squares - 2 * vectors @ probe
+                    for i in np.argpartition(scores, min(k, len(scores) - 1))[: k + 1]:
+                        out.append((number, float(scores[i]), int(cells[i])))
+                columns = [pa.array(values, type_) for values, type_ in zip(zip(*out, strict=True), (pa.int32(), pa.float64(), pa.int32()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["probe", "score", "cell"])
+
+    # The probe itself is one of the k + 1.
+    near = index.select("vector", "cell").mapInArrow(scan, "probe int, score double, cell int")
+    rank = F.row_number().over(Window.partitionBy("probe").orderBy("score", "cell"))
+    found = near.withColumn("rank", rank).where(F.col("rank").between(2, k + 1)).select("probe", "cell").toArrow()  # k for each probe
+    first, second = books.distances(probes)
+    costs = []
+    for number in range(len(probes)):
+        order = np.argsort((first[number][:, None] + second[number][None, :]).reshape(-1), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        cells = found.column("cell").to_numpy()[found.column("probe").to_numpy() == number]
+        costs += np.cumsum(held[order])[place[cells]].tolist()
+    return max(k + 1, int(np.quantile(costs, recall, method="higher"))) if costs else k + 1
+
+
 def nearest(
     embeddings: DataFrame,
     queries: Column,
     k: int = 10,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    centroids: int = 128,
-    visited_share: float = 0.42,
-    least_visited: int = 2000,
+    centroids: int | None = None,
+    recall: float = 0.96,
+    probes: int = 64,
+    visited_share: float | None = None,
     sample_rows: int = 20_000,
     block_rows: int = 2048,
     seed: int = 3,
@@ -103,15 +145,18 @@ def nearest(
 
     Returns query_id, rank (from 1), vec_id and score: Euclidean distance in double
     precision on the vectors as given, ties to the smaller id.  Every row but the query's
-    own is indexed and can be found.  A query visits cells until they hold ``visited_share``
-    of the distinct vectors and ``least_visited`` of them, or until none are left.  The
-    share that a recall needs follows from the data: vectors without much structure need
-    a third for 0.9, clustered ones far less.
+    own is indexed and can be found.  The codebooks have ``centroids`` each, by default as
+    the number of vectors asks for.  A query visits cells until they hold as many vectors
+    as ``recall`` takes, which is measured: for up to ``probes`` of the queries, the first
+    by a hash, the nearest vectors are looked up among all.  ``visited_share`` gives the
+    share of the vectors to visit instead.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor
     do rows with a null id or of another length than most.  Of equal vectors the k + 1
     smallest ids are kept, as no other can be among the k nearest; a repeated id counts
-    once for each different vector.  An empty table gives no rows.
+    once for each different vector.  A table of k + 1 vectors or fewer is visited whole; an
+    empty one gives no rows.  Only the id and the vector are read, so extra columns may
+    have any name.
     """
     spark = embeddings.sparkSession
     read = (
@@ -119,15 +164,15 @@ def nearest(
         .select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), "is_query")
         .where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     )
-    length = read.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").select("length").head()
+    length = read.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").select("length", "count").head()
     if length is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    read = read.where(F.size("vector") == length[0])
+    read = read.where(F.size("vector") == length["length"])
     # The partial limit of the window leaves k + 1 rows of a vector to each task's output.
     same = Window.partitionBy("vector").orderBy("vec_id")
     kept = read.select("vec_id", "vector").distinct().withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n")
     grouped = kept.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    fitted = fit_codebooks(read, centroids, sample_rows, seed)
+    fitted = fit_codebooks(read, centroids or centroids_for(length["count"]), sample_rows, seed)
     # Arrays travel, so that workers need nothing of this package by name.
     books = spark.sparkContext.broadcast((fitted.split, fitted.first, fitted.second))
     width = len(fitted.second)
@@ -145,7 +190,11 @@ def nearest(
     for row in index.groupBy("cell").count().collect():
         held[row["cell"]] = row["count"]
     counts = spark.sparkContext.broadcast(held)
-    wanted = max(least_visited, int(visited_share * held.sum()))
+    if visited_share is not None:
+        wanted = max(k + 1, int(np.ceil(visited_share * held.sum())))
+    else:
+        asking = read.where("is_query").select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(probes).toArrow()
+        wanted = _wanted(index, _matrix(asking.column("vector")), fitted, held, k, recall) if asking.num_rows else k + 1
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
