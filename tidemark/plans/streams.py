@@ -208,7 +208,7 @@ def stream_delivery(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_delete_stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Delete from and update a table that a stamped stream of JSON rows has filled."""
+    """Delete from and update a table that a stamped stream of JSON rows has filled; then its first batch is stored again, as by a retry."""
     path = new_path(spark, "streamed")
     spec = jobs.JobSpec(
         name="streamed", topic=new_path(spark, "rows"), source="messages",
@@ -218,6 +218,7 @@ def stream_delete_stored(spark: SparkSession, sf: str) -> DataFrame:
     _in_steps(spark, rows.select("event_id", F.to_json(F.struct(*rows.columns)).alias("value")), spec, "event_id", text=True)
     mutable.delete_from(spark, path, F.col("website") == "click")
     mutable.update_table(spark, path, F.col("plat") == 2, {"k": "k * 2 + 1"})
+    jobs.SINKS[spec.sink](spark.read.text(f"{spec.topic}/step-0"), 0, **spec.sink_options)
     return mutable.read_table(spark, path).select("event_id", "plat", "website", "k")
 
 
@@ -257,6 +258,28 @@ def stream_job_hourly(spark: SparkSession, sf: str) -> DataFrame:
 QUEUED = 3
 
 
+def stream_two_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two jobs of one list side by side on the same rows, each with a parallelism, sink and checkpoint of its own."""
+    path, topic = new_path(spark, "two"), new_path(spark, "traffic")
+    cs.traffic(spark, sf).write.json(f"{topic}/step-0")
+    source = {"source": "json", "source_options": {"schema": TRAFFIC_SCHEMA}, "topic": f"{topic}/step-*", "until_drained": True}
+    specs = [
+        jobs.JobSpec(
+            name="pages", operator=lambda df: state.running_counts(df, "website"), sink="keyed",
+            sink_options={"path": f"{path}/pages", "keys": ["website"], "order": ["n"]}, output_mode="update", parallelism=2, **source,
+        ),
+        jobs.JobSpec(
+            name="channels", operator=lambda df: df.filter("channel <> ''").select("website", "channel"), sink="parquet",
+            sink_options={"path": f"{path}/channels"}, parallelism=3, **source,
+        ),
+    ]
+    for query in jobs.start_jobs(spark, specs):
+        jobs.drain(query)
+    pages = read_latest(spark, f"{path}/pages", ["website"]).select("website", F.lit(None).cast("string").alias("channel"), "n")
+    channels = spark.read.parquet(f"{path}/channels").groupBy("website", "channel").agg(F.count("*").alias("n"))
+    return pages.unionByName(channels)
+
+
 def stream_queue_positions(spark: SparkSession, sf: str) -> DataFrame:
     """A queue read batch by batch, set back by one batch, then read on with one more.
 
@@ -356,7 +379,7 @@ select case when not early and req_time // 1800 * 1800 + 5400 <= w then 'late' e
     Plan("stream_delivery", "SNK-8 SNK-10", stream_delivery, f"""
 with {TRAFFIC} select visit_id as sign, case when visit_id like '%7' then 3 else 1 end as attempts,
   case when visit_id like '%7' then 0 else 1 end as ok, count(*) as n from traffic where website = 'purchase' group by all"""),
-    Plan("stream_delete_stored", "MU-1 MU-2 SNK-3 SNK-10", stream_delete_stored, f"""
+    Plan("stream_delete_stored", "MU-1 MU-2 SNK-3 SNK-10 SRC-5", stream_delete_stored, f"""
 with {TRAFFIC} select event_id, plat, website, case when plat = 2 then k * 2 + 1 else k end as k
 from traffic where website <> 'click'"""),
     Plan("stream_merge_stored", "SNK-3 SNK-6 MU-2", stream_merge_stored, f"""
@@ -372,6 +395,9 @@ placed as (select *, (event_id - low) // width as quarter from traffic, bounds)
 select 'quarter-' || quarter as batch_key, website, count(*) as n_events,
   count(*) * any_value(case when quarter = {QUEUED - 1} then 2 else 1 end) as n_reads,
   any_value(case when quarter = {QUEUED - 1} then 2 else 1 end) as n_batches from placed group by quarter, website"""),
+    Plan("stream_two_jobs", "ST-5 ST-4 PL-2", stream_two_jobs, f"""
+with {TRAFFIC} select website, cast(null as varchar) as channel, count(*) as n from traffic group by all
+union all select website, channel, count(*) from traffic where channel <> '' group by all"""),
     Plan("stream_route_branches", "RT-1 RT-2 SNK-8 SNK-10 DEC-7 DEC-8 DEC-11", stream_route_branches, f"""
 {SENT}, reasoned as (
   select *, case when topic = 'unknown' then 'error topic' when topic in ('view', 'click') and broken = 'bad data' then null

@@ -47,7 +47,8 @@ class QueueFiles:
 
         # A local path is not a URI, as it may hold any character.
         local = path.removeprefix("file:").removeprefix("//") if path.startswith(("file:", "/")) else None
-        self.fs, self.root = (fs.LocalFileSystem(), local) if local else fs.FileSystem.from_uri(path)
+        # Hadoop's name of an object store and the common one differ.
+        self.fs, self.root = (fs.LocalFileSystem(), local) if local else fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
     def names(self, folder: str) -> list[str]:
         from pyarrow import fs

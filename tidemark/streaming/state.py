@@ -211,7 +211,8 @@ def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = Non
     State is a map of the visits of a block of slots and bucket, as calling Python once per
     visit costs far more than the work itself; it goes whole when its slots are past. By
     default there are as many buckets as the session has shuffle partitions; a checkpoint
-    belongs to one number of buckets, as it does to one of partitions.
+    belongs to one number of buckets, as it does to one of partitions. Needs the RocksDB
+    state store, which declared jobs set.
     """
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
