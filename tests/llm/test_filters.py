@@ -95,6 +95,22 @@ def test_license_lines_as_they_are_written(spark):
         assert {found for share, found in best.get(i, []) if share == max(best[i])[0]} == {name}
 
 
+def test_whole_license_texts_among_other_words(spark):
+    """A text of its own, with a holder's line before, line breaks and a few other words: its license fits best, or as well as one that it holds."""
+    rng = random.Random(9)
+    texts = []
+    for i, (name, text) in enumerate(licenses.WHOLE_TEXTS.items()):
+        kept = text.replace(". ", ".\n\n").split(" ")
+        for at in rng.sample(range(len(kept)), len(kept) // 50):
+            kept[at] = "changed"
+        texts.append((i, f"{name} License\n\nCopyright (c) 2020 {' '.join(words(40 * i, seed=i))}\n\n" + " ".join(kept) + "\n" + " ".join(words(90))))
+    best = {}
+    for r in licenses.license_scan(docs_of(spark, texts)).collect():
+        best.setdefault(r.doc_id, {}).setdefault(r.license, []).append(r.containment)
+    for i, name in enumerate(licenses.WHOLE_TEXTS):
+        assert max(best[i][name]) >= max(max(shares) for shares in best[i].values()) - 0.06
+
+
 # --- decontamination --------------------------------------------------------------------
 
 

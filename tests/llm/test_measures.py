@@ -220,6 +220,8 @@ def test_whitening_edges(spark):
         exact = sum((5 * a - s) ** 2 for a, s in zip(x[r.vec_id], sums, strict=True))
         assert r.deviation_exact == str(exact) and r.deviation == (exact if exact < 1 << 63 else None)
     assert len(got) == 10 and max(r.identity_error for r in got) < 1e-6
+    beyond = whitening.whitened(vectors_of(spark, [(1, [1e300, 1.0]), (2, [-1e300, 2.0]), (3, [5.0, 9.0])])).collect()
+    assert len(beyond) == 6 and max(r.identity_error for r in beyond) < 1e-6
 
 
 # --- periodic runs ------------------------------------------------------------------------------

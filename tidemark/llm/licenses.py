@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes
+from tidemark.llm.license_texts import WHOLE_TEXTS
 
 #: Words of a shingle, bands of one MinHash each, least words of a window step.
 WORDS, BANDS, LEAST_STEP = 3, 64, 8
@@ -156,7 +157,7 @@ def _commons(version: str) -> dict[str, tuple[str, ...]]:
     }
 
 
-for _more in (MORE, *map(_commons, ("4.0", "3.0", "2.5", "2.0", "1.0"))):
+for _more in (MORE, *map(_commons, ("4.0", "3.0", "2.5", "2.0", "1.0")), {name: (text,) for name, text in WHOLE_TEXTS.items()}):
     for _name, _notices in _more.items():
         TEMPLATES[_name] = TEMPLATES.get(_name, ()) + _notices
 

@@ -406,7 +406,8 @@ def whitened(embeddings: DataFrame, count: int = 4, id_col: str = "vec_id", vect
     component without variance has no scale, so it is left out: equal vectors only, as an empty
     table, give no rows.  Equal eigenvalues have any orthonormal components of their space.
 
-    Only the id and the vector are read, so extra columns may have any name.
+    Only the id and the vector are read, so extra columns may have any name.  What the
+    driver does depends on the dimensions alone: seconds for 64, with the cube of them.
     """
     spark = embeddings.sparkSession
     rows = integer_vectors(embeddings, id_col, vector_col, scale)
