@@ -105,9 +105,10 @@ def leaf_plans(docs: DataFrame, levels: Sequence[str], leaves: DataFrame, seed:
     sums = sums.withColumn("sum_to_here", F.sum("bucket_tokens").over(to_here))
     crossing = sums.where("sum_to_here > rest").groupBy(*levels).agg(F.min(F.struct("bucket", (F.col("sum_to_here") - F.col("bucket_tokens")).alias("before"))).alias("at")).select(*levels, "at.bucket", "at.before")
     inside = Window.partitionBy(*levels).orderBy("place")
+    # Rows at one place, which come in or stay out together, are one row of the window.
+    at_places = placed.join(crossing, [*levels, "bucket"]).groupBy(*levels, "rest", "before", "place").agg(F.sum("n_tokens").alias("n_tokens"))
     taken = (
-        placed.join(crossing, [*levels, "bucket"])
-        .withColumn("sum_to_here", F.col("before") + F.sum("n_tokens").over(inside))
+        at_places.withColumn("sum_to_here", F.col("before") + F.sum("n_tokens").over(inside))
         .where("sum_to_here <= rest")
         .groupBy(*levels)
         .agg(F.max("place").alias("last_place"))
