@@ -293,7 +293,7 @@ def test_reads_and_folds_shuffle_the_batches_only(spark, tmp_path, monkeypatch):
         assert "Exchange" not in plan_of(before)
         # The joined side of the fold has its buckets and no exchange above them.
         plain = spark.createDataFrame([(f"k{i}", i, 1, "x") for i in range(200)], schema)
-        other = str(tmp_path / "plain")
+        other = str(tmp_path / "it's plain")
         keyed.upsert(plain, other, 0, keys, ["o"])
         keyed.compact(spark, other, keys, 0, buckets=5)
         keyed.upsert(plain.limit(3), other, 1, keys, ["o"])

@@ -47,15 +47,24 @@ def folds(spark: SparkSession, path: str) -> dict[int, dict]:
     return {fold["last_batch"]: fold for fold in (json.loads(r.value) for r in rows)}
 
 
+def _named(spark: SparkSession, path: str, data: str) -> tuple[str, str]:
+    """Where a fold is, and its name in the catalog."""
+    location = qualified(spark, f"{path}/{FOLDED}/{data}")
+    return location, f"tidemark_fold_{hashlib.md5(location.encode()).hexdigest()}"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _fold_table(spark: SparkSession, path: str, fold: dict) -> DataFrame:
     """A fold with its buckets, which Spark knows of tables only: so the session's catalog names it."""
-    location = qualified(spark, f"{path}/{FOLDED}/{fold['data']}")
-    name = f"tidemark_fold_{hashlib.md5(location.encode()).hexdigest()}"
+    location, name = _named(spark, path, fold["data"])
     if not spark.catalog.tableExists(name):
         schema = StructType.fromJson(fold["schema"])
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         keys = ", ".join(f"`{key}`" for key in fold["keys"])
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {fold['buckets']} BUCKETS LOCATION '{location}'")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {fold['buckets']} BUCKETS LOCATION {_quoted(location)}")
     return spark.table(name)
 
 
@@ -114,8 +123,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], last_batch: int
     buckets = buckets or (before["buckets"] if before else int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = read_latest(spark, path, keys, last_batch)
     data = f"upto-{last_batch:012d}-{buckets}"
-    location = qualified(spark, f"{path}/{FOLDED}/{data}")
-    name = f"tidemark_fold_{hashlib.md5(location.encode()).hexdigest()}"
+    location, name = _named(spark, path, data)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     writer = rows.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
     writer.option("path", location).format("parquet").saveAsTable(name)
@@ -132,7 +140,10 @@ def remove_folded(spark: SparkSession, path: str) -> int:
     done = folds(spark, path)
     last = max(done, default=-1)
     old = [name for name in names(spark, path) if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= last]
-    earlier = [f"{FOLDED}/{fold['data']}" for n, fold in done.items() if n < last]
+    gone = [fold["data"] for n, fold in done.items() if n < last]
+    earlier = [f"{FOLDED}/{data}" for data in gone]
+    for data in gone:
+        spark.sql(f"DROP TABLE IF EXISTS {_named(spark, path, data)[1]}")
     for name in [*old, *[f"{data}.json" for data in earlier], *earlier]:
         fs, target = filesystem(spark, f"{path}/{name}")
         fs.delete(target, True)

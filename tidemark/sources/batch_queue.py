@@ -33,6 +33,8 @@ SCHEMA = "value STRING, batch_key STRING, batch_number BIGINT"
 ENTRY = "number BIGINT, key STRING, files ARRAY<STRING>"
 #: Entries of the index that share a folder, so that finding the last one lists few names.
 FOLDER_ENTRIES = 1000
+#: Messages that a task holds at once.
+READ_ROWS = 1024
 
 
 def _entry_path(number: int) -> str:
@@ -168,7 +170,7 @@ class QueueReader(DataSourceStreamReader):
         name, key, number = partition.value
         files = QueueFiles(self.path)
         with files.fs.open_input_file(f"{files.root}/{name}") as source:
-            for batch in pq.ParquetFile(source).iter_batches(columns=["value"]):
+            for batch in pq.ParquetFile(source).iter_batches(READ_ROWS, columns=["value"]):
                 n = batch.num_rows
                 columns = [batch.column(0).cast(pa.string()), pa.array([key] * n, pa.string()), pa.array([number] * n, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["value", "batch_key", "batch_number"])

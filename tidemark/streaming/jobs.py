@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -170,7 +171,9 @@ def write_branches(rows: DataFrame, batch_id: int, branches: Mapping[str, Branch
     branches without a marker run, on the rows that the others have had.
     """
     spark = rows.sparkSession
-    done, staged = f"{folder}/done/{batch_id}", f"{folder}/rows/{batch_id}"
+    # Rows that were kept for other branches do not serve these.
+    names_key = hashlib.md5("/".join(sorted(branches)).encode()).hexdigest()
+    done, staged = f"{folder}/done/{batch_id}", f"{folder}/rows/{batch_id}/{names_key}"
     missing = sorted(branches.keys() - set(names(spark, done)))
     if not missing:
         return
@@ -190,7 +193,7 @@ def write_branches(rows: DataFrame, batch_id: int, branches: Mapping[str, Branch
     if errors:
         raise RuntimeError(f"batch {batch_id}: branches {[name for name, _ in errors]} failed") from errors[0][1]
     # The markers of the batch stay until the next one is done, as Spark may repeat it.
-    for old in (staged, f"{folder}/done/{batch_id - 2}"):
+    for old in (f"{folder}/rows/{batch_id}", f"{folder}/done/{batch_id - 2}"):
         fs, path = filesystem(spark, old)
         fs.delete(path, True)
 
