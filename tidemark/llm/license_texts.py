@@ -82,6 +82,7 @@ WHOLE_TEXTS: dict[str, str] = {
         "name is changed. DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION 0. You just DO "
         "WHAT THE FUCK YOU WANT TO."
     ),
+    # The paragraph that names it; the two after it are disclaimers.
     "PostgreSQL": (
         "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written "
         "agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies."
