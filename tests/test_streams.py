@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import decode, dwell
 from tidemark.schemas import TRAFFIC
-from tidemark.streaming import jobs, state
+from tidemark.streaming import jobs, packing, state
 
 BASE = 1704067200
 
@@ -224,3 +224,34 @@ def test_merged_rows_are_counted(spark):
     df = spark.createDataFrame([("a", i, 1) for i in range(50)] + [("b", 99, 1)], "k string, i long, n long").coalesce(1)
     assert sorted(tuple(r) for r in state.merge_repeats(df, ["k"], "i", count="n").collect()) == [("a", 0, 50), ("b", 99, 1)]
     assert sorted(tuple(r) for r in state.merge_repeats(df, ["k"], "i", ends=True, count="n").collect()) == [("a", 0, 49), ("a", 49, 1), ("b", 99, 1)]
+
+
+def state_rows(query):
+    return max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+
+
+def test_many_visits_share_a_page_of_state(spark, tmp_path):
+    """State does not grow by one value a visit, and views come back from it."""
+    spec = replace(dwell_job(tmp_path), operator=lambda df: state.dwell_stream(df, buckets=1))
+    rows = [(1000 * step + i, BASE + 60 * step + i // 100, f"u{i}", 1, 1, "AB"[step], "ip", "", 0) for step in range(2) for i in range(300)]
+    df = spark.createDataFrame(rows, TRAFFIC)
+    for step in range(2):
+        write_json(df.filter(F.floor(F.col("event_id") / 1000) == step), str(tmp_path / "in"), step)
+        query = jobs.start_job(spark, spec)
+        jobs.drain(query)
+        assert 0 < state_rows(query) <= state.PAGES
+    columns = ["event_id", "visit_id", "website", "sign", "view_time"]
+    got = spark.read.parquet(spec.sink_options["path"]).select(*columns)
+    assert got.count() == 300
+    assert sorted(map(str, got.collect())) == sorted(map(str, dwell.dwell_rows(df).select(*columns).collect()))
+
+
+def test_packed_rows_keep_keys_and_values(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PACK_ROWS", 4)
+    rows = [("a", 1, "x"), (None, 2, None), ("a", 3, None), ("b", None, "y"), (None, 5, "z"), ("a", 6, "w")]
+    df = spark.createDataFrame(rows, "k string, v long, s string").coalesce(1)
+    packed = packing.pack_rows(df, ["k"]).collect()
+    back = [(row.k, *values) for row in packed for values in packing.unpacked([row], 1)]
+    assert sorted(back, key=str) == sorted(rows, key=str)
+    assert max(len(row.v) for row in packed) > 1
+    assert [v for k, v, _ in back if k == "a"] == [1, 3, 6]

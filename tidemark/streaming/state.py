@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValu
 from tidemark.functions.nulls import NOT_SET
 from tidemark.functions.times import slot_start
 from tidemark.operators.dwell import VISIT_KEYS
+from tidemark.streaming.packing import pack_rows, unpacked
 
 # The length of a dwell slot and how long its state is kept, in seconds.
 SLOT = 1800
@@ -113,6 +115,10 @@ class ViewLog:
             self._open(page, t)
         return self._stretch(current, t)
 
+    def listed(self) -> list[tuple]:
+        """The views, as a text can hold them."""
+        return [(*view, *times) for view, times in self.views.items()]
+
     def _open(self, page: str, t: int) -> None:
         key = (t, page)
         if key not in self.views:
@@ -144,15 +150,15 @@ _DWELL = (
 )
 _OUTCOMES = f"{_DWELL}, late BOOLEAN, n BIGINT"
 _EVENT_COLUMNS = ["slot", "plat", "agent_type", "visit_id", "req_time", "event_id", "website", "channel", "n"]
-#: Slots that share a block of state: two hours.
-BLOCK = 4 * SLOT
+#: Slots that share a block of state: two hours; and pages of a block's visits in a bucket.
+BLOCK, PAGES = 4 * SLOT, 8
 
 
 class DwellProcessor(StatefulProcessor):
-    """The views of a block of slots and bucket of visits, as a map from slot and visit to its views.
+    """The views of a block of slots and bucket of visits, as a map from a page to its visits and slots.
 
-    A batch reads and writes the visits that it has events of.  A visit travels as one text,
-    and so do its views: converting lists for the state store costs more than the work itself.
+    A batch reads and writes the pages of the visits that it has events of, as a call to
+    the state store costs more than the work on many visits.  A page travels as one text.
     """
 
     def __init__(self, outcomes: bool):
@@ -160,35 +166,40 @@ class DwellProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.views = handle.getMapState("views", "slot BIGINT, visit STRING", "views STRING")
+        self.pages = handle.getMapState("pages", "page BIGINT", "visits STRING")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() // 1000
-        known, logs, block = self.views.exists(), {}, key[0]
-        events = sorted(rows, key=lambda e: (e[4], e[5] is not None, e[5] or 0))
-        for slot, plat, agent_type, visit_id, t, event_id, page, channel, n, *_ in events:
+        known, pages, block = self.pages.exists(), {}, key[0]
+        events = sorted(unpacked(rows, len(key)), key=lambda e: (e[4], e[5] is not None, e[5] or 0))
+        for slot, plat, agent_type, visit_id, t, event_id, page, channel, n in events:
             grown, late = None, slot + SLOT + DWELL_TTL <= watermark
             if not late:
-                visit = slot, json.dumps((plat, agent_type, visit_id))
-                if visit not in logs:
-                    logs[visit] = ViewLog(self._stored(visit) if known else {})
-                grown = logs[visit].add(page, t)
+                visit = json.dumps((slot, plat, agent_type, visit_id))
+                at = crc32(visit.encode()) % PAGES
+                if at not in pages:
+                    pages[at] = self._stored(at) if known else {}
+                log = pages[at].get(visit)
+                if not isinstance(log, ViewLog):
+                    log = pages[at][visit] = ViewLog({(sign, name): times for sign, name, *times in log or ()})
+                grown = log.add(page, t)
             if grown or self.outcomes:
                 website, sign, seconds = grown or (page, t, None if late else 0)
                 told = dict(event_id=event_id, plat=plat, agent_type=agent_type, visit_id=visit_id, slot=slot)
                 told |= dict(channel=channel or NOT_SET, website=website, sign=sign, view_time=seconds)
                 yield Row(**told, late=late, n=n) if self.outcomes else Row(**told)
-        if logs and not known:
+        if pages and not known:
             self.handle.registerTimer((block + BLOCK + DWELL_TTL) * 1000)
-        for visit, log in logs.items():
-            self.views.updateValue(visit, (json.dumps([(*view, *times) for view, times in log.views.items()]),))
+        for at, visits in pages.items():
+            self.pages.updateValue((at,), (json.dumps(visits, default=ViewLog.listed),))
 
-    def _stored(self, visit: tuple[int, str]) -> dict[tuple[int, str], list[int]]:
-        stored = self.views.getValue(visit)
-        return {(sign, page): times for sign, page, *times in json.loads(stored[0])} if stored else {}
+    def _stored(self, at: int) -> dict[str, list | ViewLog]:
+        """The visits of a page; views stay a list until an event of the visit comes."""
+        stored = self.pages.getValue((at,))
+        return json.loads(stored[0]) if stored else {}
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        self.views.clear()
+        self.pages.clear()
         return iter(())
 
     def close(self) -> None:
@@ -208,8 +219,9 @@ def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = Non
     ``n`` counts the events that a row stands for: those of a visit with the same second and page
     are one where they come together. A ``Branch`` on ``late`` stores them apart.
 
-    State is a map of the visits of a block of slots and bucket, as calling Python once per
-    visit costs far more than the work itself; it goes whole when its slots are past. By
+    State is a map of pages of visits of a block of slots and bucket, as calling Python or the
+    state store once per visit costs far more than the work itself, and events come packed;
+    it goes whole when its slots are past. By
     default there are as many buckets as the session has shuffle partitions; a checkpoint
     belongs to one number of buckets, as it does to one of partitions. Needs the RocksDB
     state store, which declared jobs set.
@@ -228,7 +240,7 @@ def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = Non
         F.lit(1).cast("long").alias("n"),
     )
     merged = merge_repeats(events, [*visit, "req_time", "website"], "event_id", ends=True, count="n")
-    return (
+    timed = (
         merged.withWatermark("ts", delay)
         # Without the time itself Spark leaves rows behind the watermark to the operator.
         .select(
@@ -236,6 +248,7 @@ def dwell_stream(df: DataFrame, delay: str = "1 hour", buckets: int | None = Non
             (F.col("slot") - F.pmod("slot", F.lit(BLOCK))).alias("block"),
             F.pmod(F.xxhash64(*visit), F.lit(buckets)).alias("bucket"),
         )
-        .groupBy("block", "bucket")
-        .transformWithState(DwellProcessor(outcomes), _OUTCOMES if outcomes else _DWELL, "Append", "EventTime")
     )
+    keys = ["block", "bucket"]
+    processor = DwellProcessor(outcomes)
+    return pack_rows(timed, keys).groupBy(*keys).transformWithState(processor, _OUTCOMES if outcomes else _DWELL, "Append", "EventTime")
