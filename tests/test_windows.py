@@ -93,6 +93,41 @@ def test_sessions_join_and_end(spark, tmp_path, monkeypatch):
     }
 
 
+def state_rows(query):
+    return max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+
+
+def test_the_rows_of_a_window_are_kept_in_chunks(spark, tmp_path):
+    spec = window_job(tmp_path, lambda df: windows.apply_tumbling(df, ["k"], "ts", 100, told, TOLD))
+    rows = [("hot", i % 100, i) for i in range(1000)]
+    spark.createDataFrame(rows, ROWS).coalesce(1).write.json(f"{tmp_path}/in/step-0")
+    query = jobs.start_job(spark, spec)
+    jobs.drain(query)
+    assert state_rows(query) <= 5  # two chunks, their number and the timer, not 1,000 rows
+    spark.createDataFrame([("end", 5000, 0)], ROWS).write.json(f"{tmp_path}/in/step-1")
+    jobs.drain(jobs.start_job(spark, spec))
+    (row,) = [r for r in results(spark, tmp_path) if r.k == "hot"]
+    assert eval(row.seen) == sorted((t, v) for _, t, v in rows)
+
+
+def test_many_keys_share_the_state_of_their_sessions(spark, tmp_path):
+    """One state and one timer for all keys; null and equal-looking keys stay apart."""
+    rows = [(f"u{i % 100}", i // 100 * 5 + (500 if i >= 200 else 0), i) for i in range(400)] + [(None, 0, 1000), ("", 0, 1001), ("null", 0, 1002)]
+    spec = window_job(tmp_path, lambda df: windows.apply_sessions(df, ["k"], "ts", 10, told, TOLD, delay="30 seconds", buckets=1))
+    spark.createDataFrame(rows, ROWS).coalesce(1).write.json(f"{tmp_path}/in/step-0")
+    query = jobs.start_job(spark, spec)
+    jobs.drain(query)
+    timers = [p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(timers) == 1
+    spark.createDataFrame([("end", 5000, 0)], ROWS).write.json(f"{tmp_path}/in/step-1")
+    jobs.drain(jobs.start_job(spark, spec))
+    want = defaultdict(list)
+    for k, t, v in rows:
+        want[k, t >= 500].append((t, v))
+    got = [(r.k, r.window_start >= 500, r.seen) for r in results(spark, tmp_path) if r.k != "end"]
+    assert sorted(got, key=str) == sorted(((k, late, str(sorted(x))) for (k, late), x in want.items()), key=str)
+
+
 # --- partial rows -------------------------------------------------------------------------
 
 

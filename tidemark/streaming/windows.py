@@ -16,14 +16,18 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+from tidemark.streaming.packing import pack_rows, unpacked
 
 #: Gets the key, the window (start and end, in epoch seconds) and its values, some rows at a
 #: time; gives the columns of the result, one tuple for each row.
 WindowFunction = Callable[[tuple, tuple[int, int], Iterator[list[Row]]], Iterable[tuple]]
 
-#: Rows of a window that are handed over together, and that are one value of a session's state.
+#: Rows of a window that are handed over together, and that are one value of the state.
 PART_ROWS, STATE_ROWS = 10_000, 500
+#: Groups of keys that share the state of their sessions, and rows of one that are put in order together.
+BUCKETS, ORDERED_ROWS = 1024, 1 << 15
 
 
 def in_parts(rows: Iterable, size: int) -> Iterator[list]:
@@ -42,8 +46,8 @@ class _Windows(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
 
-    def given(self, row: Row) -> tuple:
-        return tuple(row[name] for name in self.values.names)
+    def chunk_type(self) -> StructType:
+        return StructType([StructField("rows", ArrayType(self.values))])
 
     def call(self, key: tuple, window: tuple[int, int], values: Iterable[tuple]) -> Iterator[Row]:
         told = dict(zip(self.keys, key, strict=True)) | {"window_start": window[0], "window_end": window[1]}
@@ -65,70 +69,87 @@ class TumblingWindows(_Windows):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.rows = handle.getListState("rows", self.values)
+        self.rows = handle.getMapState("chunks", "number BIGINT", self.chunk_type())
+        self.chunks = handle.getValueState("n_chunks", "n BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         end = key[-2] + self.size
         # Rows of a window that is gone are late.
         if end * 1000 > timerValues.getCurrentWatermarkInMs():
-            if not self.rows.exists():
+            known = self.chunks.get()
+            if known is None:
                 self.handle.registerTimer(end * 1000)
-            for part in in_parts(map(self.given, rows), self.part_rows):
-                self.rows.appendList(part)
+            number = known[0] if known else 0
+            for chunk in in_parts(unpacked(rows, len(key)), STATE_ROWS):
+                self.rows.updateValue((number,), (chunk,))
+                number += 1
+            self.chunks.update((number,))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         *own, start, _ = key
-        yield from self.call(tuple(own), (start, start + self.size), self.rows.get())
+        chunks = (self.rows.getValue((number,))[0] for number in range(self.chunks.get()[0]))
+        yield from self.call(tuple(own), (start, start + self.size), map(tuple, itertools.chain.from_iterable(chunks)))
         self.rows.clear()
+        self.chunks.clear()
 
 
 class SessionWindows(_Windows):
-    """State of a key: its open sessions, and their rows in numbered parts.
+    """State of a bucket of keys: their open sessions, and the rows of these in numbered chunks.
 
     Rows that arrive together make sessions, which are joined to the stored ones that they
-    touch: a session is the parts that it took over, so joining moves no row.
+    touch: a session is the chunks that it took over, so joining moves no row.  The timer is
+    that of the session that ends first.
     """
 
-    def __init__(self, gap: int, *rest):
+    def __init__(self, gap: int, key_type: StructType, *rest):
         super().__init__(*rest)
-        self.gap = gap
+        self.gap, self.key_type = gap, key_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.sessions = handle.getMapState("sessions", "start BIGINT", "last BIGINT, parts ARRAY<BIGINT>")
-        chunk = StructType([StructField("rows", ArrayType(self.values))])
-        self.rows = handle.getMapState("rows", "part BIGINT, number BIGINT", chunk)
-        self.next_part = handle.getValueState("next_part", "n BIGINT")
+        session = StructType().add("who", "string").add("key", self.key_type).add("start", "long").add("last", "long").add("chunks", ArrayType(LongType()))
+        self.sessions = handle.getValueState("sessions", StructType().add("next", "long").add("open", ArrayType(session)))
+        self.rows = handle.getMapState("chunks", "number BIGINT", self.chunk_type())
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        open_ = {start: (last, list(parts)) for (start,), (last, parts) in self.sessions.iterator()}
-        number = self.next_part.get()[0] if self.next_part.exists() else 0
-        for arrived in in_parts(((row["_t"], self.given(row)) for row in rows), self.part_rows):
-            for session in self._cut(sorted(arrived, key=lambda e: e[0])):
-                start, last = session[0][0], session[-1][0]
-                touched = sorted(s for s, (e, _) in open_.items() if s <= last + self.gap and e >= start - self.gap)
+        number, stored = self.sessions.get() or (0, [])
+        open_: dict[str, dict[int, tuple]] = {}
+        for who, own, start, last, chunks in stored:
+            open_.setdefault(who, {})[start] = (tuple(own), last, list(chunks))
+        n_keys = len(self.keys)
+        for arrived in in_parts(unpacked(rows, len(key)), ORDERED_ROWS):
+            for session in self._cut(sorted(arrived, key=lambda e: e[:2])):
+                (who, start), last = session[0][:2], session[-1][1]
+                others = open_.setdefault(who, {})
+                touched = sorted(s for s, (_, e, _) in others.items() if s <= last + self.gap and e >= start - self.gap)
                 if not touched and (last + self.gap) * 1000 <= watermark:
                     continue  # late: no session is left that it belongs to
-                for at, chunk in enumerate(in_parts((values for _, values in session), STATE_ROWS)):
-                    self.rows.updateValue((number, at), (chunk,))
-                taken = [open_.pop(s) for s in touched]
-                for s in touched:
-                    self.sessions.removeKey((s,))
-                start, last = min([start, *touched]), max([last, *(e for e, _ in taken)])
-                open_[start] = last, [part for _, parts in taken for part in parts] + [number]
-                self.sessions.updateValue((start,), open_[start])
-                self.handle.registerTimer((last + self.gap) * 1000)
-                number += 1
-        self.next_part.update((number,))
+                taken = [others.pop(s) for s in touched]
+                chunks = [chunk for *_, chunks in taken for chunk in chunks]
+                for chunk in in_parts((event[2 + n_keys :] for event in session), STATE_ROWS):
+                    self.rows.updateValue((number,), (chunk,))
+                    chunks.append(number)
+                    number += 1
+                start, last = min([start, *touched]), max([last, *(e for _, e, _ in taken)])
+                others[start] = session[0][2 : 2 + n_keys], last, chunks
+        self._store(number, [(who, own, start, last, chunks) for who, own_ in open_.items() for start, (own, last, chunks) in own_.items()])
         return iter(())
 
-    def _cut(self, events: list[tuple[int, tuple]]) -> Iterator[list[tuple[int, tuple]]]:
-        """Events in order, cut where a gap is."""
-        session: list[tuple[int, tuple]] = []
+    def _store(self, number: int, sessions: list[tuple]) -> None:
+        """Keep the open sessions, and a timer for the first end; an earlier one that is left finds nothing to do."""
+        if sessions:
+            self.sessions.update((number, sessions))
+            self.handle.registerTimer((min(session[3] for session in sessions) + self.gap) * 1000)
+        else:
+            self.sessions.clear()
+
+    def _cut(self, events: list[tuple]) -> Iterator[list[tuple]]:
+        """Events in order of their key and time, cut where a gap is."""
+        session: list[tuple] = []
         for event in events:
-            if session and event[0] > session[-1][0] + self.gap:
+            if session and (event[0] != session[-1][0] or event[1] > session[-1][1] + self.gap):
                 yield session
                 session = []
             session.append(event)
@@ -137,21 +158,22 @@ class SessionWindows(_Windows):
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        for (start,), (last, parts) in list(self.sessions.iterator()):
+        number, stored = self.sessions.get() or (0, [])
+        left = []
+        for who, own, start, last, chunks in stored:
             if (last + self.gap) * 1000 <= watermark:
-                yield from self.call(tuple(key), (start, last + self.gap), self._taken(parts))
-                self.sessions.removeKey((start,))
-        if not self.sessions.exists():
-            self.next_part.clear()
-
-    def _taken(self, parts: Sequence[int]) -> Iterator[tuple]:
-        """The rows of a session's parts, each removed once it is read."""
-        for part in parts:
-            number = 0
-            while (chunk := self.rows.getValue((part, number))) is not None:
-                self.rows.removeKey((part, number))
-                yield from map(tuple, chunk[0])
-                number += 1
+                yield from self.call(tuple(own), (start, last + self.gap), self._taken(chunks))
+            else:
+                left.append((who, tuple(own), start, last, list(chunks)))
+        if len(left) < len(stored):
+            self._store(number, left)
+
+    def _taken(self, chunks: Sequence[int]) -> Iterator[tuple]:
+        """The rows of a session's chunks, each removed once it is read."""
+        for number in chunks:
+            (chunk,) = self.rows.getValue((number,))
+            self.rows.removeKey((number,))
+            yield from map(tuple, chunk)
 
 
 def _result(df: DataFrame, keys: Sequence[str], schema: str) -> tuple[str, list[str]]:
@@ -181,24 +203,35 @@ def apply_tumbling(
         "_at": F.col(ts),
     })
     # Without the time itself Spark leaves rows behind the watermark to the operator.
-    rows = rows.withWatermark("_at", delay).drop("_at")
+    own = [*keys, "_start", "_part"]
+    rows = rows.withWatermark("_at", delay).select(*own, *given.names)
     processor = TumblingWindows(size, keys, given, function, names, part_rows)
-    return rows.groupBy(*keys, "_start", "_part").transformWithState(processor, whole, "Append", "EventTime")
+    return pack_rows(rows, own).groupBy(*own).transformWithState(processor, whole, "Append", "EventTime")
 
 
 def apply_sessions(
     df: DataFrame, keys: Sequence[str], ts: str, gap: int, function: WindowFunction, schema: str,
-    delay: str = "10 minutes", part_rows: int = PART_ROWS,
+    delay: str = "10 minutes", part_rows: int = PART_ROWS, buckets: int = BUCKETS,
 ) -> DataFrame:
     """Call ``function`` for every session of a key: rows with no more than ``gap`` seconds between them.
 
     A session ends when the watermark is ``gap`` past its last row; ``window_end`` is that
     time.  Its values come as they arrived, those that came together by time.  Rows that
-    touch no open session and would make one that has ended are late and left out.
+    touch no open session and would make one that has ended are late and left out.  Keys are
+    dealt into ``buckets`` that share a state, as calling Python and the state store once per
+    key costs more than the work itself; a checkpoint belongs to one number of them.
     """
     given = StructType([f for f in df.schema.fields if f.name not in keys])
     whole, names = _result(df, keys, schema)
-    rows = df.filter(F.col(ts).isNotNull()).withColumns({"_t": F.unix_timestamp(ts), "_at": F.col(ts)})
-    rows = rows.withWatermark("_at", delay).drop("_at")
-    processor = SessionWindows(gap, keys, given, function, names, part_rows)
-    return rows.groupBy(*keys).transformWithState(processor, whole, "Append", "EventTime")
+    # A text of the key tells keys apart, as their values may come back from the state in another form.
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    rows = df.filter(F.col(ts).isNotNull()).withColumns({
+        "_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)),
+        "_who": F.to_json(F.struct(*keys), exact),
+        "_t": F.unix_timestamp(ts),
+        "_at": F.col(ts),
+    })
+    rows = rows.withWatermark("_at", delay).select("_bucket", "_who", "_t", *keys, *given.names)
+    key_type = StructType([df.schema[key] for key in keys])
+    processor = SessionWindows(gap, key_type, keys, given, function, names, part_rows)
+    return pack_rows(rows, ["_bucket"]).groupBy("_bucket").transformWithState(processor, whole, "Append", "EventTime")
