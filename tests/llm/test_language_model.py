@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +154,22 @@ def test_changes_are_averaged_by_row(spark):
 def test_null_id_is_held_out(spark):
     frame = spark.createDataFrame([(None,), (0,)], "doc_id long").select("doc_id", maxent_lm.held_out(F.col("doc_id")).alias("h"))
     assert {(r.doc_id, r.h) for r in frame.collect()} == {(None, True), (0, is_held_out(0))}
+
+
+def test_texts_are_encoded_some_at_a_time():
+    """What a worker holds while it encodes a batch does not grow with the batch."""
+    texts = [f"w{i} " * 20_000 + f"end{i}" for i in range(160)]  # 12 MB in one batch
+    columns = [pa.array(range(160)), pa.array(range(160)), pa.array([False] * 160), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "text"])
+    parts = list(maxent_lm._encoded(iter([batch])))
+    largest = max(len(t) for t in texts)
+    at = 0
+    for part in parts:
+        assert sum(map(len, texts[at : at + part.num_rows])) < (1 << 21) + largest
+        at += part.num_rows
+    assert at == 160 and [i for part in parts for i in part.column("row").to_pylist()] == list(range(160))
+    coder = maxent_lm.Coder()
+    assert coder.limit <= 1 << 18
+    for i in (0, 77, 159):
+        (codes,) = [c.as_py() for part in parts for r, c in zip(part.column("row").to_pylist(), part.column("codes")) if r == i]
+        assert codes == coder.encode(texts[i]).tobytes()

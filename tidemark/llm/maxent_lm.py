@@ -34,8 +34,9 @@ ANY = 0
 BLOCKS, FAN = 64, 32
 #: Tokens of a gradient step, rounds over shares of the training texts.
 STEP_TOKENS, ROUNDS, RATE = 1 << 15, 3, 0.3
-#: Bytes of texts that are encoded together.
-ENCODED_BYTES = 1 << 24
+#: Bytes of texts that are encoded together, which take some ten times as much while that
+#: is done, in every worker of an executor; and words whose codes a worker remembers.
+ENCODED_BYTES, CODED_WORDS = 1 << 21, 1 << 18
 #: Words whose counts travel to the tasks, in a table of so many places; a word whose
 #: place a more frequent one has, and all others, are joined to their counts.
 KNOWN_LIMIT, PLACES = 1 << 18, 1 << 20
@@ -50,7 +51,7 @@ class Coder(WordHashes):
     bits of its key, which hashes its last three bytes."""
 
     def __init__(self):
-        super().__init__(limit=1 << 20)
+        super().__init__(limit=CODED_WORDS)
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -99,24 +100,24 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """A stored table of every row's words as codes, eight bytes a word, so that texts are taken apart once."""
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
 
-    @giving_back
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder()
-        for batch in batches:
-            size, first = 0, 0
-            # Some texts at a time, as codes are larger than words.
-            for i, n in enumerate(batch.column("text")):
-                size += len(n.as_buffer() or b"") if n.is_valid else 0
-                if size >= ENCODED_BYTES or i == batch.num_rows - 1:
-                    part = batch.slice(first, i + 1 - first)
-                    codes, lengths = coder.encode_all(part.column("text"))
-                    ends = np.append(0, np.cumsum(lengths) * 8).astype(np.int64)
-                    packed = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(codes)]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held_out"), packed], ["row", "doc_id", "held_out", "codes"])
-                    size, first = 0, i + 1
-
     # Stored, so that the numbers of the rows stay as they are.
-    return stored(read.mapInArrow(run, ENCODED), "encoded")
+    return stored(read.mapInArrow(giving_back(_encoded), ENCODED), "encoded")
+
+
+def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their words as codes, some texts at a time, as codes are larger than words."""
+    coder = Coder()
+    for batch in batches:
+        size, first = 0, 0
+        for i, n in enumerate(batch.column("text")):
+            size += len(n.as_buffer() or b"") if n.is_valid else 0
+            if size >= ENCODED_BYTES or i == batch.num_rows - 1:
+                part = batch.slice(first, i + 1 - first)
+                codes, lengths = coder.encode_all(part.column("text"))
+                ends = np.append(0, np.cumsum(lengths) * 8).astype(np.int64)
+                packed = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(codes)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held_out"), packed], ["row", "doc_id", "held_out", "codes"])
+                size, first = 0, i + 1
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
