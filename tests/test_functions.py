@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
+from tidemark.functions import text as words_of
 
 JSON_EDGES = [
     "1", "null", "", "01", "[1,2", '{"a":1} x', "1,2", "{'a':1}", "1],[2", '1,"b":2', '"x"', " 1 ",
@@ -161,3 +162,10 @@ def test_nulls(spark):
 def test_stamp_gives_each_row_its_own_id(spark):
     rows = fn.stamp(spark.range(1000)).collect()
     assert len({r.id for r in rows}) == 1000
+
+
+def test_joined_words_are_the_words(spark):
+    texts = [None, "", " ", "a", " A b", "a\u00a0\u2003B\n\n\x85c ", "\u3000\u0130x\ty\x1cz\r\n", "\x00 \x01 a\u200bb", "\u00e9\U0001f600 \u00df"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(F.array_remove(words_of.words("t"), "").alias("want"), words_of.split_joined(words_of.joined_words("t")).alias("got")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] and rows[5].got == ["a", "b", "c"]

@@ -29,6 +29,16 @@ def words(c: Column | str) -> Column:
     return F.split(F.lower(_col(c)), WHITESPACE)
 
 
+def joined_words(c: Column | str) -> Column:
+    """The words that are not empty, joined by one blank: packed for moving, and split fast."""
+    return F.trim(F.regexp_replace(F.lower(_col(c)), WHITESPACE, " "))
+
+
+def split_joined(c: Column | str) -> Column:
+    """The words of ``joined_words``."""
+    return F.array_remove(F.split(_col(c), " "), "")
+
+
 # Spark's JSON functions stop after the first complete value. A text is exactly one
 # value if it parses both as the only content of an array and as that of an object.
 

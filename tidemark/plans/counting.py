@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import words
+from tidemark.functions.text import joined_words, split_joined
 from tidemark.operators import aggregate, custom, iterate, shape
 from tidemark.plans.base import Plan
 from tidemark.session import new_path
@@ -15,10 +15,10 @@ from tidemark.sinks.files import write_text
 from tidemark.sources.files import table, text_lines
 from tidemark.sources.generate import pair_text
 
-# Event ids, and documents, per block of a running count: what one task holds of one key
-# at most is the rows of a block.
+# Event ids, and documents, per block of a running count: what one task holds of one key,
+# and of documents, at most is a block.
 BLOCK = 1 << 11
-DOC_BLOCK = 1 << 7
+DOC_BLOCK = 1 << 10
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,13 +40,9 @@ def running_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def running_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    tokens = table(spark, sf, "documents").select(
-        "doc_id", F.posexplode(F.array_remove(words("text"), "")).alias("pos", "word")
-    )
-    counted = aggregate.running_sum(
-        tokens, ["word"], ["doc_id", "pos"], block=F.floor(F.col("doc_id") / DOC_BLOCK)
-    )
-    return counted.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "n", "word")
+    joined = table(spark, sf, "documents").select("doc_id", joined_words("text").alias("words"))
+    block = aggregate.even_blocks(joined.select("doc_id"), "doc_id", DOC_BLOCK)
+    return aggregate.running_item_count(joined, split_joined("words"), "doc_id", block, item="word")
 
 
 def keyed_reduce(spark: SparkSession, sf: str) -> DataFrame:
