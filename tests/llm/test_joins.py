@@ -1,6 +1,7 @@
 """The Jaccard join, its components, and neighbour search, against brute force."""
 
 import itertools
+import tracemalloc
 import random
 
 import numpy as np
@@ -193,6 +194,72 @@ def test_recall_of_the_visited_share(spark, monkeypatch, points, most):
     assert visited[0] <= most * len(rows)
 
 
+def test_centroids_are_fitted_a_part_at_a_time():
+    """The distances of a sample to all centroids would be the driver's largest table."""
+    points = np.random.default_rng(1).normal(size=(20_000, 4))
+    tracemalloc.start()
+    neighbours.k_means(points, 1024, 3, rounds=1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6
+
+
+def test_driver_gets_no_row_for_a_cell(spark, monkeypatch):
+    """Counts of up to a million cells reach the driver as numbers, not as rows."""
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(clustered(500))], "vec_id long, embedding array<float>")
+    collect, rows = type(frame).collect, []
+    monkeypatch.setattr(type(frame), "collect", lambda self: rows.append(collect(self)) or rows[-1])
+    found = neighbours.nearest(frame, F.col("vec_id") < 3)
+    monkeypatch.undo()
+    assert found.count() == 30
+    assert all(len(some) <= 1 for some in rows)
+
+
+def test_reaches_visit_the_cells_of_the_heap():
+    rng = np.random.default_rng(6)
+    firsts, seconds = rng.random((4, 40)), rng.random((4, 50))
+    held = rng.integers(0, 4, (40, 50)) * rng.integers(0, 2, (40, 50))
+    for wanted in (1, 17, 900, held.sum()):
+        for close in (1, 256, 5000):
+            for first, second, sum_ in zip(firsts, seconds, neighbours.reaches(firsts, seconds, held, wanted, close), strict=True):
+                seen, cells = 0, set()
+                for p, q in neighbours.cells_by_distance(first, second):
+                    cells.add((p, q))
+                    seen += held[p, q]
+                    if seen >= wanted:
+                        break
+                assert {(p, q) for p in range(40) for q in range(50) if first[p] + second[q] <= sum_} == cells
+    assert np.isinf(neighbours.reaches(firsts, seconds, held, held.sum() + 1)).all()
+
+
+@pytest.mark.parametrize("cells, scale", [(2, 1.0), (300, 1.0), (2, 1e30), (300, 1e-30)], ids=["few cells", "many cells", "large", "small"])
+def test_blocks_meet(cells, scale):
+    """All blocks of a list against the nearest of the vectors that lie in visited cells, ids that come again among them."""
+    rng = np.random.default_rng(9)
+    books = neighbours.Codebooks(3, rng.normal(size=(2, 3)) * scale, rng.normal(size=(cells, 5)) * scale)
+    points, queries = rng.normal(size=(600, 8)) * scale, rng.normal(size=(300, 8)) * scale
+    queries[0] = points[0]
+    ids, own = rng.integers(0, 90, 600), np.arange(1000, 1300)
+    own[:20] = np.arange(20)
+    first, second = books.distances(queries)
+    sums = np.quantile(first[:, :, None] + second[:, None, :], 0.7, axis=(1, 2))
+    asked = neighbours.Asked(own, queries, sums, books, 5)
+    cell = rng.integers(0, cells, 600)
+    for part in np.array_split(np.arange(600), 4):
+        part = part[np.argsort(cell[part], kind="stable")]
+        asked.meet(1, cell[part].astype(np.int32), points[part], np.ones(len(part), np.int32), ids[part])
+    rows = asked.best.rows().to_pylist()
+    want = []
+    for i in range(300):
+        near = {}
+        for j in np.flatnonzero(second[i][cell] <= (sums[i] - first[i][1])):
+            score = float(np.sqrt(((points[j] - queries[i]) ** 2).sum()))
+            if ids[j] != own[i] and score < near.get(ids[j], np.inf):
+                near[ids[j]] = score
+        want += [{"query_id": own[i], "vec_id": v, "score": s} for s, v in sorted((s, v) for v, s in near.items())[:5]]
+    assert rows == want
+
+
 def test_neighbour_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [0.0, 1.0]), (7, [0.0, 1.0]), (8, [1.0, 1.0, 1.0]), (None, [1.0, 0.0]), (9, [])]

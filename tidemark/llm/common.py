@@ -6,7 +6,7 @@ import functools
 import inspect
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import new_path
@@ -15,15 +15,15 @@ from tidemark.session import new_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back.
+def stored(df: DataFrame, label: str, session: SparkSession | None = None, **options: str) -> DataFrame:
+    """Write to the shared folder, with options of the writer, and read back, in another session if one is given.
 
     Cuts the lineage at files that outlive lost executors, and gives the planner the
     true size of what follows.
     """
     path = new_path(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def free_name(name: str, taken: Iterable[str]) -> str:
